@@ -40,20 +40,27 @@ def _overwritten(columns: Sequence[str], attributes: Sequence[str]):
 
 
 def scd1_merge(
-    dim: DataFrame | None, source: DataFrame, key: str, attributes: Sequence[str], sk: str
+    dim: DataFrame | None,
+    source: DataFrame,
+    key: str,
+    attributes: Sequence[str],
+    sk: str,
+    last: int | None = None,
 ) -> DataFrame:
     """Overwrite the attributes of known keys, append unknown keys.
 
     The dimension is the streamed side of a left join, so a small source is
-    broadcast and the dimension is not shuffled.
+    broadcast and the dimension is not shuffled. ``last`` is the highest
+    surrogate key in use when ``dim`` is only a part of the dimension.
     """
     source = source.select(key, *attributes)
+    last = last_key(dim, sk) if last is None else last
     if dim is None:
-        return assign_keys(source, sk, [key])
+        return assign_keys(source, sk, [key], last)
     joined = _with_source(dim, source, key, attributes, on_current=False)
     kept = joined.select(*_overwritten(dim.columns, attributes))
     fresh = unmatched(source, dim, [key])
-    return kept.unionByName(assign_keys(fresh, sk, [key], last_key(dim, sk)))
+    return kept.unionByName(assign_keys(fresh, sk, [key], last))
 
 
 def scd2_merge(
@@ -64,6 +71,7 @@ def scd2_merge(
     versioned: Sequence[str],
     sk: str,
     as_of: date,
+    last: int | None = None,
 ) -> DataFrame:
     """Type 1 attributes overwrite the current version, type 2 attributes
     close it (the day before ``as_of``) and open a new one.
@@ -83,8 +91,9 @@ def scd2_merge(
             F.lit(True).alias(CURRENT),
         )
 
+    last = last_key(dim, sk) if last is None else last
     if dim is None:
-        return assign_keys(opened(source), sk, [key])
+        return assign_keys(opened(source), sk, [key], last)
 
     joined = _with_source(dim, source, key, attributes, on_current=True)
     pairs = ((F.col(c), F.col(f"_new_{c}")) for c in versioned)
@@ -100,7 +109,7 @@ def scd2_merge(
     )
     fresh = unmatched(source, dim.filter(CURRENT), [key])
     added = opened(changed.unionByName(fresh))
-    return kept.unionByName(assign_keys(added, sk, [key], last_key(dim, sk)))
+    return kept.unionByName(assign_keys(added, sk, [key], last))
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

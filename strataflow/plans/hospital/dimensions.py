@@ -203,11 +203,13 @@ def load_dimension(
     existing: DataFrame | None,
     as_of: date,
     changed: DataFrame | None = None,
+    last: int | None = None,
 ) -> DataFrame:
     """The dimension after loading the cleansed ``tables``.
 
     ``changed`` restricts the load to those rows of the main table, one per
     key, as an incremental refresh does; lookups still see the whole tables.
+    ``last`` is needed when ``existing`` is only the part those rows belong to.
     """
     if name == "dim_fecha":
         return calendar(spark)
@@ -220,8 +222,8 @@ def load_dimension(
         tables = {**tables, spec.main: changed}
     source = spec.attributes(tables)
     if spec.versioned:
-        return scd2_merge(existing, source, spec.key, spec.overwrite, spec.versioned, spec.sk, as_of)
-    dim = scd1_merge(existing, source, spec.key, spec.overwrite, spec.sk)
+        return scd2_merge(existing, source, spec.key, spec.overwrite, spec.versioned, spec.sk, as_of, last)
+    dim = scd1_merge(existing, source, spec.key, spec.overwrite, spec.sk, last)
     if name == "dim_departamento":
         dim = with_parent_key(
             dim, "id_departamento", "id_departamento_padre", "sk_departamento", "sk_departamento_padre"

@@ -249,7 +249,8 @@ def cdc_stream_refresh(spark, sf_dir):
     )
     hop = Hop("eventos", ("id_usuario",), without_technical(landed).schema, root, buckets=4)
     landed.repartitionByRange(3, "fecha_modificacion").write.parquet(f"{root}/landing/eventos")
-    follow_raw(spark, hop, f"{root}/landing", landed.schema, files_per_batch=1).awaitTermination()
+    # files of one write come in any order, so older rows must not win
+    follow_raw(spark, hop, f"{root}/landing", landed.schema, guard=True, files_per_batch=1).awaitTermination()
     rules = positive("value") + allowed("event_type", "view", "click", "purchase")
     follow_cleansed(spark, hop, rules).awaitTermination()
     tables = hop.cleansed(spark)

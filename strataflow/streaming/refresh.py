@@ -130,11 +130,14 @@ def follow(
     return writer.trigger(**trigger).start()
 
 
-def follow_raw(spark: SparkSession, hop: Hop, landing: str, schema: T.StructType, **options) -> StreamingQuery:
-    """Landing to raw."""
+def follow_raw(
+    spark: SparkSession, hop: Hop, landing: str, schema: T.StructType, guard: bool = False, **options
+) -> StreamingQuery:
+    """Landing to raw. A later batch wins over an earlier one; with ``guard``,
+    only if its rows are not older."""
     return follow(
         spark, f"{landing}/{hop.name}", schema, f"{hop.root}/raw/{hop.name}/checkpoint",
-        lambda rows, batch: raw_batch(hop, without_technical(rows), batch), **options,
+        lambda rows, batch: raw_batch(hop, without_technical(rows), batch, guard), **options,
     )
 
 

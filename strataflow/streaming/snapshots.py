@@ -23,7 +23,7 @@ class Snapshots:
         self,
         spark: SparkSession,
         path: str,
-        schemas: Mapping[str, T.StructType],
+        schemas: Mapping[str, T.StructType | None],
         keys: Sequence[str],
         buckets: int = 64,
     ):
@@ -50,8 +50,11 @@ class Snapshots:
         """Buckets the changes fall in; never more than there are buckets."""
         return [r[0] for r in changes.select(self.bucket()).distinct().collect()]
 
-    def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The table as of the newest batch, or only some of its buckets."""
+    def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """The table as of the newest batch, or only some of its buckets.
+
+        Without rows: an empty table, or None where no schema was given.
+        """
         schema = self.schemas[table]
         _, held = self._record()
         wanted = None if buckets is None else set(buckets)
@@ -61,8 +64,9 @@ class Snapshots:
             if name == table and (wanted is None or bucket in wanted)
         ]
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*paths)
 
     def publish(self, batch: int, rows: Mapping[str, DataFrame], buckets: Sequence[int]) -> None:
         """Replace the given buckets of the given tables by ``rows``."""
@@ -73,8 +77,7 @@ class Snapshots:
             # buckets of any size: large ones are split over tasks, small ones merged
             placed = df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
             placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
-            schema = T.StructType([*self.schemas[table].fields, T.StructField("bucket", T.IntegerType())])
-            written = self.spark.read.schema(schema).parquet(target).select("bucket").distinct().collect()
+            written = self.spark.read.schema("bucket int").parquet(target).distinct().collect()
             held = {k: v for k, v in held.items() if k[0] != table or k[1] not in replaced}
             held |= {(table, r.bucket): batch for r in written}
         lines = [(batch, None, None, None)] + [(batch, t, b, v) for (t, b), v in held.items()]
