@@ -13,6 +13,7 @@ from strataflow.functions.columns import micros
 from strataflow.operators.changes import rows_with_keys, unmatched
 
 MAX_DAYS = 3650
+DAYS_PER_TASK = 2_000_000
 DAY_MICROS = 86_400_000_000
 
 
@@ -94,9 +95,10 @@ def daily_rows(
     A day without a visit gives one row of NULLs, a day with several visits
     several rows. Days already in ``loaded`` ``(key, day)`` are left out.
 
-    The day grain is produced last and never shuffled: visited and loaded days
-    are gathered as arrays of at most ``MAX_DAYS`` dates per interval, the days
-    left over are exploded in place, and visits join the interval itself.
+    The day grain is produced last and never shuffled: the distinct days with a
+    visit, and those already loaded, are gathered as one array of dates per
+    interval, the days left over are exploded in place, and visits join the
+    interval itself. ``intervals`` is read three times: store it if it is costly.
     """
     last = F.least(
         F.coalesce(F.to_date(end), F.lit(as_of).cast("date")), F.date_add(F.to_date(start), MAX_DAYS - 1)
@@ -108,31 +110,32 @@ def daily_rows(
     )
     seen = [c for c in visits.columns if c not in (key, visit_day)]
     dated = visits.select(key, F.to_date(visit_day).alias(day), *seen)
-
-    bounds = spans.select(key, "_from", "_to")
     inside = F.col(day).between(F.col("_from"), F.col("_to"))
-    visited = (
-        dated.select(key, day)
-        .join(bounds, key)
-        .filter(inside)
-        .groupBy(key)
-        .agg(F.collect_set(day).alias("_visited"))
-    )
-    spans = spans.join(visited, key, "left")
+
+    def gathered(rows: DataFrame, name: str) -> DataFrame:
+        days = rows.filter(F.col(day).isNotNull())
+        return days.groupBy(key).agg(F.collect_set(day).alias(name))
+
+    # a task takes as many intervals as make a fair number of days
+    days = spans.agg(F.sum(F.datediff("_to", "_from") + 1)).first()[0] or 0
+    least = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spans = spans.repartition(max(least, days // DAYS_PER_TASK), key)
+
     no_days = F.array().cast("array<date>")
+    spans = spans.join(gathered(dated, "_visited"), key, "left")
     if loaded is None:
         spans = spans.withColumn("_loaded", no_days)
     else:
-        held = rows_with_keys(loaded.select(key, day), bounds, [key])
-        held = held.join(bounds, key).filter(inside).groupBy(key).agg(F.collect_set(day).alias("_loaded"))
-        spans = spans.join(held, key, "left").withColumn("_loaded", F.coalesce("_loaded", no_days))
+        held = rows_with_keys(loaded.select(key, day), spans, [key])
+        spans = spans.join(gathered(held, "_loaded"), key, "left")
+        spans = spans.withColumn("_loaded", F.coalesce("_loaded", no_days))
 
     every_day = F.sequence("_from", "_to", F.expr("interval 1 day"))
     taken = F.concat(F.coalesce("_visited", no_days), F.col("_loaded"))
     columns = intervals.columns
     quiet = spans.select(*columns, F.explode(F.array_except(every_day, taken)).alias(day))
     with_visit = (
-        dated.join(spans.filter(F.size("_visited") > 0), key)
+        dated.join(spans.drop("_visited"), key)
         .filter(inside & ~F.array_contains("_loaded", F.col(day)))
         .select(*columns, day, *seen)
     )

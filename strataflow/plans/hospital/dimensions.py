@@ -217,6 +217,8 @@ def load_dimension(
         sk, axes = PROFILES[name]
         return junk_dimension(spark, axes, sk, existing)
     spec = DIMENSIONS[name]
+    if name == "dim_departamento" and existing is not None:
+        existing = existing.drop("sk_departamento_padre")
     # levels depend on all departments, so that table is always read whole
     if changed is not None and name != "dim_departamento":
         tables = {**tables, spec.main: changed}

@@ -23,6 +23,7 @@ from strataflow.operators.facts import (
 )
 from strataflow.operators.keys import last_key
 from strataflow.operators.scd import current_rows
+from strataflow.session import materialize
 
 Tables = Mapping[str, DataFrame]
 
@@ -225,6 +226,7 @@ def trial_fact(
         "id_participacion", "fecha_inicio_participacion", "fecha_fin_participacion",
         "sk_ensayo", "sk_paciente", "sk_medico", "sk_diagnostico", "sk_departamento", "sk_perfil_ensayo",
     )
+    intervals = materialize(intervals, "participations")  # one narrow row each, read again below
     visits = tables["visitas_ensayo"].select(
         "id_participacion", "fecha_visita", "dosis_administrada", "unidad_dosis",
         "numero_efectos_adversos", "resultado_medicion_principal", "resultado_medicion_secundaria",

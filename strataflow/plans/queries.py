@@ -8,7 +8,16 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflow.functions import columns as fx
-from strataflow.functions.rules import allowed, matches, non_negative, not_null, positive, rules_of, within
+from strataflow.functions.rules import (
+    allowed,
+    matches,
+    non_negative,
+    not_null,
+    passes,
+    positive,
+    rules_of,
+    within,
+)
 from strataflow.operators import changes as cdc
 from strataflow.operators.dimensions import calendar, junk_dimension
 from strataflow.operators.facts import (
@@ -20,7 +29,7 @@ from strataflow.operators.facts import (
 )
 from strataflow.operators.hierarchy import hierarchy_levels, with_parent_key
 from strataflow.operators.keys import assign_keys
-from strataflow.operators.quality import failure_report, quarantined_rows, split_rows, valid_rows
+from strataflow.operators.quality import failure_report, quarantined_rows, valid_rows
 from strataflow.operators.scd import current_rows, scd1_merge, scd2_merge
 from strataflow.plans.hospital.catalog import EMAIL, quality_rules
 from strataflow.plans.hospital.dimensions import (
@@ -307,12 +316,9 @@ def cleansed_layer(spark, sf_dir):
     """Valid and quarantined rows of all 21 source tables."""
     rules, counts = quality_rules(), []
     for name, df in role_tables(spark, sf_dir).items():
-        valid, errors = split_rows(df, rules_of(rules, name.upper()))
-        both = valid.select(F.lit(1).alias("ok")).unionByName(errors.select(F.lit(0).alias("ok")))
-        counts.append(both.agg(
-            F.lit(name).alias("tabla"),
-            F.count_if(F.col("ok") == 1).alias("validas"),
-            F.count_if(F.col("ok") == 0).alias("errores"),
+        good = passes(rules_of(rules, name.upper()), df)
+        counts.append(df.agg(
+            F.lit(name).alias("tabla"), F.count_if(good).alias("validas"), F.count_if(~good).alias("errores")
         ))
     result = counts[0]
     for df in counts[1:]:
@@ -333,7 +339,7 @@ def dim_scd1_merge(spark, sf_dir):
         F.when(F.col("p_size") > 10, F.col("p_brand")).alias("p_brand"),
         (F.col("p_retailprice") + 1).alias("p_retailprice"),
     )
-    dim = scd1_merge(None, first, "p_partkey", data, "sk_part")
+    dim = materialize(scd1_merge(None, first, "p_partkey", data, "sk_part"), "dim")
     return scd1_merge(dim, second, "p_partkey", data, "sk_part")
 
 
@@ -354,11 +360,12 @@ def _customer_rounds(spark, sf_dir, second_day: date | None):
         .when(F.col("c_nationkey") == 7, None).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
         "c_nationkey",
     )
-    dim = _scd2(None, first, date(2024, 1, 1))
+    # a warehouse stores the dimension after every load
+    dim = materialize(_scd2(None, first, date(2024, 1, 1)), "dim")
     dim = _scd2(dim, second, date(2024, 2, 1))
     if second_day is None:
         return dim
-    return _scd2(dim, customer.select(*columns), second_day)
+    return _scd2(materialize(dim, "dim"), customer.select(*columns), second_day)
 
 
 @query
@@ -566,7 +573,9 @@ FACT_INPUTS = {
 
 
 def _fact(spark, sf_dir, name, parity=False, fact=None, as_of=AS_OF):
-    tables = cleansed_tables(spark, sf_dir, *FACT_INPUTS[name][0])
+    tables = {
+        t: stored(spark, sf_dir, t, lambda t=t: cleansed_tables(spark, sf_dir, t)[t]) for t in FACT_INPUTS[name][0]
+    }
     dims = star_dimensions(spark, sf_dir, *FACT_INPUTS[name][1])
     return load_fact(name, tables[FACTS[name]], tables, dims, as_of, fact, parity)
 

@@ -14,7 +14,9 @@ CSV_OPTIONS = {"sep": ";", "header": "true", "encoding": "UTF-8"}
 
 
 def _with_lineage(df: DataFrame, ingested_at) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias(FILE)).withColumn(INGESTED, ingested_at)
+    # the name comes percent-encoded, with "+" standing for itself
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return df.select("*", name.alias(FILE)).withColumn(INGESTED, ingested_at)
 
 
 def new_files(spark: SparkSession, folder: str, landed: DataFrame | None) -> list[str]:
@@ -23,7 +25,7 @@ def new_files(spark: SparkSession, folder: str, landed: DataFrame | None) -> lis
     Only names are listed; no file is opened.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    files = listing.select("path", F.url_decode(F.element_at(F.split("path", "/"), -1)).alias(FILE))
+    files = listing.select("path", F.substring_index("path", "/", -1).alias(FILE))
     if landed is not None:
         files = files.join(landed.select(FILE).distinct(), FILE, "left_anti")
     return sorted(row.path for row in files.select("path").collect())

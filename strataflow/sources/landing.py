@@ -15,10 +15,10 @@ from strataflow.sources.relational import incremental_rows
 from strataflow.sources.schema import landing_columns
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A parquet table, or None when nothing was written there yet."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

@@ -9,6 +9,7 @@ repeated finds its record and does nothing.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -18,6 +19,10 @@ from strataflow.sources.landing import read_or_none
 RECORD = "batch long, table string, bucket int, version long"
 
 
+def _number(folder: str, path: str) -> int:
+    return int(re.search(rf"/{folder}=(\d+)/", path)[1])
+
+
 class Snapshots:
     def __init__(
         self,
@@ -30,14 +35,26 @@ class Snapshots:
         self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
         self.schemas = dict(schemas)
 
+        self._known: tuple[int, dict[tuple[str, int], int]] | None = None
+
     def _record(self) -> tuple[int, dict[tuple[str, int], int]]:
-        """Newest batch, and the version that holds each bucket of each table."""
-        records = read_or_none(self.spark, f"{self.path}/records")
-        if records is None:
+        """Newest batch, and the version that holds each bucket of each table.
+
+        One stream writes a table, so what this object has seen stays true.
+        """
+        if self._known is None:
+            self._known = self._newest_record()
+        return self._known
+
+    def _newest_record(self) -> tuple[int, dict[tuple[str, int], int]]:
+        listing = read_or_none(self.spark, f"{self.path}/records", RECORD)
+        # file names only; of all records one is opened
+        files = {_number("at", f): f for f in listing.inputFiles()} if listing is not None else {}
+        if not files:
             return -1, {}
-        last = records.agg(F.max("at")).first()[0]
+        last = max(files)
         # at most one row per table and bucket, plus one for the batch itself
-        rows = records.filter(F.col("at") == last).collect()
+        rows = self.spark.read.schema(RECORD).parquet(files[last]).collect()
         return last, {(r.table, r.bucket): r.version for r in rows if r.table is not None}
 
     def holds(self, batch: int) -> bool:
@@ -77,9 +94,10 @@ class Snapshots:
             # buckets of any size: large ones are split over tasks, small ones merged
             placed = df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
             placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
-            written = self.spark.read.schema("bucket int").parquet(target).distinct().collect()
+            written = {_number("bucket", f) for f in self.spark.read.schema("bucket int").parquet(target).inputFiles()}
             held = {k: v for k, v in held.items() if k[0] != table or k[1] not in replaced}
-            held |= {(table, r.bucket): batch for r in written}
+            held |= {(table, bucket): batch for bucket in written}
         lines = [(batch, None, None, None)] + [(batch, t, b, v) for (t, b), v in held.items()]
         record = self.spark.createDataFrame(lines, RECORD).coalesce(1)
         record.write.mode("overwrite").parquet(f"{self.path}/records/at={batch}")
+        self._known = batch, held
