@@ -12,6 +12,8 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strataflow.session import materialize
+
 ACTION = "accion"
 INSERT, DELETE = "INSERT", "DELETE"
 
@@ -133,8 +135,12 @@ def merge_changes(
     soft_delete: str | None = None,
     guard: str | None = None,
 ) -> DataFrame:
-    """Newest change per key, merged into ``target``."""
-    newest = newest_change(changes, keys, order)
+    """Newest change per key, merged into ``target``.
+
+    The batch is stored once reduced: it is used twice, and its real size lets
+    Spark broadcast it.
+    """
+    newest = materialize(newest_change(changes, keys, order), "changes")
     return apply_changes(target, effective_changes(target, newest, keys, soft_delete, guard), keys)
 
 

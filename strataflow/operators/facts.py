@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strataflow.functions.columns import micros
 from strataflow.operators.changes import rows_with_keys, unmatched
+from strataflow.session import materialize
 
 MAX_DAYS = 3650
 DAYS_PER_TASK = 2_000_000
@@ -38,7 +39,8 @@ def recurrence_flag(
     step is always near enough, so the step's earliest one decides; from the
     step before only the latest one can be near enough. Two values per key and
     step therefore answer every event: they are pre-aggregated before the
-    shuffle, and a hot key is spread over its steps.
+    shuffle, and a hot key is spread over its steps. They are stored before the
+    join, which leaves Spark free to split a step that is still hot.
     """
     width = days * DAY_MICROS
     spot = micros(F.col(at))
@@ -54,6 +56,7 @@ def recurrence_flag(
         .groupBy(key, "_step")
         .agg(F.min("_first").alias("_first"), F.max("_before").alias("_before"))
     )
+    summary = materialize(summary, "recurrence")
     near = (F.col("_first") < spot) | (F.col("_before") >= spot - F.lit(width))
     return (
         events.withColumn("_step", step)
@@ -110,7 +113,7 @@ def daily_rows(
     )
     seen = [c for c in visits.columns if c not in (key, visit_day)]
     dated = visits.select(key, F.to_date(visit_day).alias(day), *seen)
-    inside = F.col(day).between(F.col("_from"), F.col("_to"))
+    columns = intervals.columns
 
     def gathered(rows: DataFrame, name: str) -> DataFrame:
         days = rows.filter(F.col(day).isNotNull())
@@ -119,24 +122,19 @@ def daily_rows(
     # a task takes as many intervals as make a fair number of days
     days = spans.agg(F.sum(F.datediff("_to", "_from") + 1)).first()[0] or 0
     least = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spans = spans.repartition(max(least, days // DAYS_PER_TASK), key)
+    spread = spans.repartition(max(least, days // DAYS_PER_TASK), key)
+    spread = spread.join(gathered(dated, "_visited"), key, "left")
 
+    inside = F.col(day).between(F.col("_from"), F.col("_to"))
+    with_visit = dated.join(spans, key).filter(inside)
     no_days = F.array().cast("array<date>")
-    spans = spans.join(gathered(dated, "_visited"), key, "left")
-    if loaded is None:
-        spans = spans.withColumn("_loaded", no_days)
-    else:
+    taken = F.coalesce("_visited", no_days)
+    if loaded is not None:
         held = rows_with_keys(loaded.select(key, day), spans, [key])
-        spans = spans.join(gathered(held, "_loaded"), key, "left")
-        spans = spans.withColumn("_loaded", F.coalesce("_loaded", no_days))
+        spread = spread.join(gathered(held, "_loaded"), key, "left")
+        taken = F.concat(taken, F.coalesce("_loaded", no_days))
+        with_visit = with_visit.join(held, [key, day], "left_anti")
 
     every_day = F.sequence("_from", "_to", F.expr("interval 1 day"))
-    taken = F.concat(F.coalesce("_visited", no_days), F.col("_loaded"))
-    columns = intervals.columns
-    quiet = spans.select(*columns, F.explode(F.array_except(every_day, taken)).alias(day))
-    with_visit = (
-        dated.join(spans.drop("_visited"), key)
-        .filter(inside & ~F.array_contains("_loaded", F.col(day)))
-        .select(*columns, day, *seen)
-    )
-    return quiet.unionByName(with_visit, allowMissingColumns=True)
+    quiet = spread.select(*columns, F.explode(F.array_except(every_day, taken)).alias(day))
+    return quiet.unionByName(with_visit.select(*columns, day, *seen), allowMissingColumns=True)

@@ -21,7 +21,6 @@ from strataflow.operators.facts import (
     outside_ranges,
     recurrence_flag,
 )
-from strataflow.operators.keys import last_key
 from strataflow.operators.scd import current_rows
 from strataflow.session import materialize
 
@@ -107,10 +106,12 @@ def maintenance_fact(
         .join(_keys(dims["dim_fabricante"], "id_fabricante", "sk_fabricante"), "id_fabricante")
         .drop("id_departamento", "id_ubicacion", "id_fabricante")
     )
-    technicians = (
+    # stored, so that the order side of the join below may be split at a hot technician
+    technicians = materialize(
         tables["tecnicos"]
         .select("id_tecnico", "tarifa_hora")
-        .join(_keys(current_rows(dims["dim_tecnico"]), "id_tecnico", "sk_tecnico"), "id_tecnico")
+        .join(_keys(current_rows(dims["dim_tecnico"]), "id_tecnico", "sk_tecnico"), "id_tecnico"),
+        "technicians",
     )
     corrective = CORRECTIVE_PARITY if parity else CORRECTIVE
     flagged = recurrence_flag(
@@ -278,11 +279,11 @@ def load_fact(
     raise ValueError(f"unknown fact {name!r}")
 
 
-def numbered(rows: DataFrame, name: str, fact: DataFrame | None) -> DataFrame:
-    """Give new fact rows a row key: unique and above all earlier ones.
+def numbered(rows: DataFrame, name: str, last: int = 0) -> DataFrame:
+    """Give new fact rows a row key: unique and above ``last``.
 
     Nothing refers to these keys, so gaps are allowed and no shuffle is spent.
     """
-    sk = FACT_SK[name]
-    start = last_key(fact, sk) + 1
-    return rows.select((F.monotonically_increasing_id() + F.lit(start)).alias(sk), *rows.columns)
+    return rows.select(
+        (F.monotonically_increasing_id() + F.lit(last + 1)).alias(FACT_SK[name]), *rows.columns
+    )

@@ -6,6 +6,7 @@ facts. Called again, each hop continues where its checkpoint stands.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
@@ -18,7 +19,7 @@ from strataflow.operators.dimensions import calendar, junk_dimension
 from strataflow.operators.keys import last_key
 from strataflow.plans.hospital.catalog import TABLES, quality_rules
 from strataflow.plans.hospital.dimensions import ALL_DIMENSIONS, DIMENSIONS, PROFILES, load_dimension
-from strataflow.plans.hospital.facts import FACT_KEYS, FACTS, load_fact, numbered
+from strataflow.plans.hospital.facts import FACT_KEYS, FACT_SK, FACTS, load_fact, numbered
 from strataflow.plans.hospital.views import serving_views
 from strataflow.session import materialize
 from strataflow.sources.landing import read_or_none
@@ -27,6 +28,23 @@ from strataflow.streaming.refresh import Hop, follow_changed, follow_cleansed, f
 from strataflow.streaming.snapshots import Snapshots
 
 
+def initial_star(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    as_of: date,
+    days: tuple[date, date] | None = None,
+    parity: bool = False,
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All dimensions, stored, and all facts of a first load from cleansed tables."""
+    dims = {"dim_fecha": calendar(spark, *days) if days else calendar(spark)}
+    for name in (*DIMENSIONS, *PROFILES):
+        dims[name] = materialize(load_dimension(spark, name, tables, None, as_of), name)
+    facts = {}
+    for name, main in FACTS.items():
+        facts[name] = numbered(load_fact(name, tables[main], tables, dims, as_of, None, parity), name)
+    return dims, facts
+
+
 class Warehouse:
     """``schemas`` are those of the landing tables in use, by table name.
 
@@ -85,9 +103,23 @@ class Warehouse:
         found = ((name, self.dimension(name)) for name in ALL_DIMENSIONS)
         return {name: dim for name, dim in found if dim is not None}
 
+    def _fact_before(self, name: str, batch: int | None) -> tuple[DataFrame | None, int]:
+        """A fact without what ``batch`` may have written, and its last row key.
+
+        Rows lie by month and by load, so only the newest load is searched for
+        the last key.
+        """
+        fact = read_or_none(self.spark, f"{self.root}/conformed/{name}")
+        loads = [] if fact is None else {int(re.search(r"/lote=(\d+)/", f)[1]) for f in fact.inputFiles()}
+        loads = [n for n in loads if batch is None or n < batch]
+        if not loads:
+            return None, 0
+        newest = last_key(fact.filter(F.col("lote") == max(loads)), FACT_SK[name])
+        return fact.filter(F.col("lote") <= max(loads)).drop("mes", "lote"), newest
+
     def fact(self, name: str) -> DataFrame | None:
         fact = read_or_none(self.spark, f"{self.root}/conformed/{name}")
-        return None if fact is None else fact.drop("mes")
+        return None if fact is None else fact.drop("mes", "lote")
 
     def views(self, all_versions: bool = False) -> dict[str, DataFrame]:
         facts = {name: self.fact(name) for name in FACTS}
@@ -127,15 +159,20 @@ class Warehouse:
             if last is not None:
                 before = earlier.filter(F.col("lote") == last).drop("lote")
                 rows = rows.unionByName(unmatched(before, rows, main_keys))
-        fact = self.fact(name)
+        fact, newest = self._fact_before(name, batch)
         dims, tables = self.dimensions(), self._cleansed_tables()
         fresh = load_fact(name, rows, tables, dims, as_of, fact, self.parity)
-        placed = numbered(fresh, name, fact).withColumn("mes", F.floor(F.col("sk_fecha") / 100).cast("int"))
-        placed.hint("rebalance", "mes").write.mode("append").partitionBy("mes").parquet(
-            f"{self.root}/conformed/{name}"
+        placed = numbered(fresh, name, newest).withColumns({
+            "mes": F.floor(F.col("sk_fecha") / 100).cast("int"), "lote": F.lit(batch),
+        })
+        # a repeated batch replaces what it wrote before
+        (
+            placed.hint("rebalance", "mes").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("mes", "lote")
+            .parquet(f"{self.root}/conformed/{name}")
         )
-        if self.retry:
-            loaded = self.fact(name).withColumnRenamed(FACT_KEYS[name][0], main_keys[0])
+        if self.retry and (loaded := self.fact(name)) is not None:
+            loaded = loaded.withColumnRenamed(FACT_KEYS[name][0], main_keys[0])
             left = unmatched(rows, loaded, main_keys)
             left.write.mode("overwrite").parquet(f"{waiting}/lote={batch}")
 

@@ -15,7 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -196,6 +196,20 @@ def test_views_leave_closed_versions_out(spark, warehouse):
     assert whole == fact.count() and narrow == whole - closed and closed > 0
 
 
+def test_repeated_fact_batch_replaces_itself(spark, warehouse):
+    store, _, tables, _ = warehouse
+    name = "fact_mantenimiento_equipos"
+    known = store.fact(name).select("id_orden")
+    order = store.cleansed("ordenes_mantenimiento").join(known, "id_orden", "left_semi").limit(1)
+    order = order.withColumn("id_orden", F.lit(20_000_000).cast("long"))
+    before, last = store.fact(name).count(), store.fact(name).agg(F.max("sk_mantenimiento")).first()[0]
+    for _ in range(2):
+        store._load_fact(name, order, 50, DAY2)
+        fact = store.fact(name)
+        assert fact.count() == before + 1
+        assert fact.filter("id_orden = 20000000").first().sk_mantenimiento > last
+
+
 def test_load_object(spark, warehouse):
     store = warehouse[0]
     assert store.load_object("fact_mantenimiento_equipos", DAY2).isEmpty()
