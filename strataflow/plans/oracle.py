@@ -1,70 +1,54 @@
 """SQL equivalents of the registered queries, for an independent engine.
 
-Every query is written from the meaning of the operation, mostly in the
-statement-by-statement form a warehouse would run (update, close, insert;
-correlated EXISTS; cross join with a row generator), not from the Spark plan.
+The fixed values (rules, code texts, profile axes) come from the configuration;
+what is done with them is stated here in SQL of its own: range windows, USING
+joins, list lookups and set operations rather than the Spark formulation.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 
+from strataflow.functions.rules import Rule
+from strataflow.operators.dimensions import MONTHS, WEEKDAYS
+from strataflow.plans.hospital import dimensions as dim, facts as fact
+from strataflow.plans.hospital.catalog import EMAIL, quality_rules
 from strataflow.plans.roles import ROLES
 
 AS_OF = "DATE '2001-08-10'"
+TEXT_NUMBERS = ("vida_util_anios", "precio_referencia_eur")
+
+
+def _literal(value) -> str:
+    return str(value).upper() if isinstance(value, bool) else str(value) if not isinstance(value, str) else f"'{value}'"
+
+
+def _test(rule: Rule) -> str:
+    """A rule as a SQL predicate."""
+    column = f"TRY_CAST({rule.column} AS DOUBLE)" if rule.column in TEXT_NUMBERS else rule.column
+    if rule.kind == "not_null":
+        return f"{rule.column} IS NOT NULL"
+    if rule.kind == "positive":
+        return f"{column} > 0"
+    if rule.kind == "non_negative":
+        return f"{column} >= 0"
+    if rule.kind == "allowed_values":
+        return f"{rule.column} IN ({', '.join(map(_literal, rule.args))})"
+    if rule.kind == "regex":
+        return f"regexp_matches({rule.column}, '{rule.args[0]}')"
+    low, high = rule.args
+    return f"{column} BETWEEN {low} AND {high}"
+
+
+VALID = {table: " AND ".join(f"({_test(r)})" for r in rules) for table, rules in quality_rules().items()}
+
+
+def _texts(column: str, texts: Mapping) -> str:
+    """Code to text through a map literal; other codes give NULL."""
+    pairs = ", ".join(f"{_literal(code)}: {_literal(text)}" for code, text in texts.items())
+    return f"MAP {{{pairs}}}[{column}]"
 
-EMAIL = r"'^[^@]+@[^@]+\.[^@]+$'"
-
-
-def _mail(column: str) -> str:
-    return f"regexp_matches({column}, {EMAIL})"
-
-
-VALID = {
-    "departamentos": "codigo_departamento IS NOT NULL AND nombre_departamento IS NOT NULL AND "
-    + _mail("email_departamento"),
-    "ubicaciones": "codigo_ubicacion IS NOT NULL AND edificio IS NOT NULL AND sala IS NOT NULL AND capacidad > 0 "
-    "AND tipo_sala IN ('Quirófano', 'UCI', 'Consulta', 'Laboratorio', 'Almacén')",
-    "fabricantes": "codigo_fabricante IS NOT NULL AND razon_social IS NOT NULL AND " + _mail("email_contacto"),
-    "tecnicos": "codigo_empleado IS NOT NULL AND nombre_tecnico IS NOT NULL AND id_departamento IS NOT NULL "
-    "AND nivel_certificacion IN (1, 2, 3, 4) AND tarifa_hora > 0 AND " + _mail("email_corporativo"),
-    "equipos": "codigo_equipo IS NOT NULL AND nombre_equipo IS NOT NULL AND numero_serie IS NOT NULL "
-    "AND id_fabricante IS NOT NULL AND id_departamento IS NOT NULL AND id_ubicacion IS NOT NULL "
-    "AND estado_codigo IN (1, 2, 3, 4) AND clase_riesgo IN ('I', 'IIa', 'IIb', 'III') AND precio_adquisicion > 0",
-    "pacientes": "numero_historia IS NOT NULL AND nombre IS NOT NULL AND apellido1 IS NOT NULL "
-    "AND fecha_nacimiento IS NOT NULL AND sexo IN ('M', 'F', 'O') AND tipo_cobertura IN ('BAS', 'COM', 'PRE') "
-    "AND grupo_sanguineo IN ('A+', 'A-', 'B+', 'B-', 'AB+', 'AB-', 'O+', 'O-') AND " + _mail("email"),
-    "medicos": "codigo_medico IS NOT NULL AND nombre IS NOT NULL AND apellido1 IS NOT NULL "
-    "AND numero_colegiado IS NOT NULL AND " + _mail("email"),
-    "especialidades": "codigo_especialidad IS NOT NULL AND nombre_especialidad IS NOT NULL",
-    "diagnosticos_cie10": "codigo_cie10 IS NOT NULL AND descripcion IS NOT NULL",
-    "ensayos_clinicos": "codigo_ensayo IS NOT NULL AND titulo_ensayo IS NOT NULL AND fecha_inicio IS NOT NULL "
-    "AND estado_ensayo IN ('PLN', 'ACT', 'COM', 'SUS') AND objetivo_reclutamiento > 0",
-    "ordenes_mantenimiento": "numero_orden IS NOT NULL AND id_equipo IS NOT NULL AND id_tecnico IS NOT NULL "
-    "AND tipo_mantenimiento IN ('PREV', 'CORR', 'CALIB', 'INSP') AND prioridad BETWEEN 1 AND 4 "
-    "AND gravedad BETWEEN 1 AND 3 AND horas_trabajadas > 0",
-    "consumo_repuestos": "id_orden IS NOT NULL AND id_repuesto IS NOT NULL AND cantidad > 0 "
-    "AND precio_unitario_en_momento > 0",
-    "repuestos": "codigo_repuesto IS NOT NULL AND nombre_repuesto IS NOT NULL AND precio_unitario > 0",
-    "categoria_equipos": "codigo_categoria IS NOT NULL AND nombre_categoria IS NOT NULL",
-    "planificacion_preventivos": "id_equipo IS NOT NULL AND fecha_planificada IS NOT NULL",
-    "paciente_diagnostico": "id_paciente IS NOT NULL AND id_diagnostico IS NOT NULL AND fecha_diagnostico IS NOT NULL",
-    "monitorizaciones": "id_paciente IS NOT NULL AND id_medico IS NOT NULL AND codigo_equipo IS NOT NULL "
-    "AND fecha_monitorizacion IS NOT NULL",
-    "lecturas_signos_vitales": "id_monitorizacion IS NOT NULL AND frecuencia_cardiaca BETWEEN 20 AND 300 "
-    "AND presion_sistolica BETWEEN 40 AND 300 AND presion_diastolica BETWEEN 20 AND 200 "
-    "AND temperatura BETWEEN 30 AND 45 AND saturacion_oxigeno BETWEEN 50 AND 100 "
-    "AND nivel_glucosa BETWEEN 20 AND 600",
-    "participacion_ensayos": "id_ensayo IS NOT NULL AND id_paciente IS NOT NULL "
-    "AND fecha_inicio_participacion IS NOT NULL AND fase IN ('F1', 'F2', 'F3', 'F4') "
-    "AND tipo_ciego IN ('AB', 'SC', 'DC') AND tipo_aleatorizacion IN ('AL', 'NA') "
-    "AND grupo_asignado IN ('EXP', 'CTR', 'PLA') AND via_administracion IN ('ORL', 'IV', 'SC', 'TOP', 'INH')",
-    "visitas_ensayo": "id_participacion IS NOT NULL AND fecha_visita IS NOT NULL AND numero_visita > 0 "
-    "AND nivel_eficacia BETWEEN 0 AND 1 AND dosis_administrada > 0 AND numero_efectos_adversos >= 0",
-    "productos_sanitarios": "codigo_producto IS NOT NULL AND nombre_producto IS NOT NULL "
-    "AND clase_riesgo IN ('I', 'IIa', 'IIb', 'III') AND TRY_CAST(vida_util_anios AS DOUBLE) > 0 "
-    "AND TRY_CAST(precio_referencia_eur AS DOUBLE) > 0",
-}
 
 # Named subqueries; a query pulls in those it mentions, and theirs.
 PARTS: dict[str, str] = {}
@@ -77,25 +61,21 @@ def _dates(day: str) -> str:
     return f"CAST(year({day}) * 10000 + month({day}) * 100 + day({day}) AS BIGINT)"
 
 
+def _nth(words: Sequence[str], position: str) -> str:
+    return f"[{', '.join(map(_literal, words))}][{position}]"
+
+
 def _calendar(first: str, last: str) -> str:
+    numbers = {
+        "anio": "year(fecha)", "semestre": "(quarter(fecha) + 1) // 2", "trimestre": "quarter(fecha)",
+        "mes": "month(fecha)", "semana_anio": "weekofyear(fecha)", "dia": "day(fecha)",
+        "dia_semana": "isodow(fecha)",
+    }
+    whole = ", ".join(f"CAST({e} AS BIGINT) AS {n}" for n, e in numbers.items())
     return f"""
-        SELECT {_dates('fecha')} AS sk_fecha, fecha,
-               CAST(year(fecha) AS BIGINT) AS anio,
-               CAST(CASE WHEN month(fecha) <= 6 THEN 1 ELSE 2 END AS BIGINT) AS semestre,
-               CAST(quarter(fecha) AS BIGINT) AS trimestre,
-               CAST(month(fecha) AS BIGINT) AS mes,
-               CASE month(fecha) WHEN 1 THEN 'Enero' WHEN 2 THEN 'Febrero' WHEN 3 THEN 'Marzo' WHEN 4 THEN 'Abril'
-                    WHEN 5 THEN 'Mayo' WHEN 6 THEN 'Junio' WHEN 7 THEN 'Julio' WHEN 8 THEN 'Agosto'
-                    WHEN 9 THEN 'Septiembre' WHEN 10 THEN 'Octubre' WHEN 11 THEN 'Noviembre' ELSE 'Diciembre'
-                    END AS nombre_mes,
-               CAST(weekofyear(fecha) AS BIGINT) AS semana_anio,
-               CAST(day(fecha) AS BIGINT) AS dia,
-               CAST(isodow(fecha) AS BIGINT) AS dia_semana,
-               CASE isodow(fecha) WHEN 1 THEN 'Lunes' WHEN 2 THEN 'Martes' WHEN 3 THEN 'Miercoles'
-                    WHEN 4 THEN 'Jueves' WHEN 5 THEN 'Viernes' WHEN 6 THEN 'Sabado' ELSE 'Domingo'
-                    END AS nombre_dia,
-               isodow(fecha) >= 6 AS es_fin_semana,
-               FALSE AS es_festivo
+        SELECT fecha, {_dates('fecha')} AS sk_fecha, {whole},
+               {_nth(MONTHS, 'month(fecha)')} AS nombre_mes, {_nth(WEEKDAYS, 'isodow(fecha)')} AS nombre_dia,
+               isodow(fecha) > 5 AS es_fin_semana, FALSE AS es_festivo
         FROM (SELECT CAST(unnest(generate_series({first}, {last}, INTERVAL 1 DAY)) AS DATE) AS fecha) AS dias"""
 
 
@@ -112,55 +92,61 @@ def _first_load(sk: str, key: str, body: str, versioned: bool = False) -> str:
 PARTS["jerarquia"] = """
         SELECT id_departamento, CAST(1 AS BIGINT) AS nivel FROM v_departamentos WHERE id_departamento_padre IS NULL
         UNION ALL
-        SELECT d.id_departamento, j.nivel + 1 FROM v_departamentos d
-        JOIN jerarquia j ON j.id_departamento = d.id_departamento_padre"""
+        SELECT hijo.id_departamento, jerarquia.nivel + 1
+        FROM v_departamentos hijo, jerarquia WHERE hijo.id_departamento_padre = jerarquia.id_departamento"""
 PARTS["dep_base"] = _first_load("sk_departamento", "id_departamento", """
-        SELECT d.id_departamento, nombre_departamento, id_departamento_padre, nivel AS nivel_jerarquia,
+        SELECT id_departamento, nombre_departamento, id_departamento_padre, nivel AS nivel_jerarquia,
                nombre_responsable AS responsable, telefono_departamento, email_departamento
-        FROM v_departamentos d JOIN jerarquia j ON j.id_departamento = d.id_departamento""")
+        FROM v_departamentos JOIN jerarquia USING (id_departamento)""")
 PARTS["dim_departamento"] = """
-        SELECT b.*, (SELECT p.sk_departamento FROM dep_base p
-                     WHERE p.id_departamento = b.id_departamento_padre) AS sk_departamento_padre
-        FROM dep_base b"""
+        SELECT hijo.*, padre.sk_departamento AS sk_departamento_padre
+        FROM dep_base hijo LEFT JOIN dep_base padre ON padre.id_departamento = hijo.id_departamento_padre"""
 PARTS["dim_ubicacion"] = _first_load("sk_ubicacion", "id_ubicacion", """
         SELECT id_ubicacion, edificio, planta, ala, sala, tipo_sala, capacidad FROM v_ubicaciones""")
 PARTS["dim_fabricante"] = _first_load("sk_fabricante", "id_fabricante", """
         SELECT id_fabricante, razon_social AS nombre_fabricante, pais_origen, telefono_contacto,
                email_contacto, sitio_web, certificacion_iso FROM v_fabricantes""")
-PARTS["dim_medico"] = _first_load("sk_medico", "id_medico", """
-        SELECT m.id_medico, m.nombre, m.apellido1 || ' ' || m.apellido2 AS apellidos, m.numero_colegiado,
-               m.telefono, m.email, COALESCE(e.nombre_especialidad, 'Sin especialidad') AS especialidad,
-               d.nombre_departamento AS departamento
-        FROM v_medicos m LEFT JOIN v_especialidades e ON e.id_especialidad = m.id_especialidad
-        LEFT JOIN v_departamentos d ON d.codigo_departamento = m.codigo_departamento""", True)
-_WORDS = "len(string_split(t.nombre_tecnico, ' '))"
+PARTS["dim_medico"] = _first_load("sk_medico", "id_medico", f"""
+        SELECT id_medico, nombre, concat_ws(' ', apellido1, apellido2) AS apellidos, numero_colegiado, telefono, email,
+               ifnull(nombre_especialidad, '{dim.NO_SPECIALTY}') AS especialidad,
+               nombre_departamento AS departamento
+        FROM v_medicos LEFT JOIN v_especialidades USING (id_especialidad)
+        LEFT JOIN v_departamentos USING (codigo_departamento)""", True)
+
+
+def _given(name: str) -> str:
+    return f"ifnull(nullif(regexp_extract({name}, '{FOUR_WORDS}', 1), ''), regexp_extract({name}, '^[^ ]*'))"
+
+
+def _surnames(name: str) -> str:
+    return (
+        f"CASE WHEN regexp_matches({name}, '{FOUR_WORDS}') THEN regexp_extract({name}, '{FOUR_WORDS}', 2) "
+        f"ELSE nullif(regexp_replace({name}, '^[^ ]* ?', ''), '') END"
+    )
+
+
+FOUR_WORDS = "^([^ ]* [^ ]*) ([^ ]* [^ ]*)$"
 PARTS["dim_tecnico"] = _first_load("sk_tecnico", "id_tecnico", f"""
-        SELECT t.id_tecnico,
-               CASE WHEN {_WORDS} = 4 THEN split_part(t.nombre_tecnico, ' ', 1) || ' ' ||
-                    split_part(t.nombre_tecnico, ' ', 2) ELSE split_part(t.nombre_tecnico, ' ', 1) END AS nombre,
-               CASE WHEN {_WORDS} = 4 THEN split_part(t.nombre_tecnico, ' ', 3) || ' ' ||
-                    split_part(t.nombre_tecnico, ' ', 4)
-                    ELSE NULLIF(substr(t.nombre_tecnico, length(split_part(t.nombre_tecnico, ' ', 1)) + 2), '')
-                    END AS apellidos,
-               t.especialidad, t.anios_experiencia, t.telefono_movil AS telefono, t.email_corporativo AS email,
-               d.nombre_departamento AS departamento,
-               CASE t.nivel_certificacion WHEN 1 THEN 'Junior' WHEN 2 THEN 'Senior' WHEN 3 THEN 'Especialista'
-                    WHEN 4 THEN 'Jefe' END AS nivel_certificacion
-        FROM v_tecnicos t LEFT JOIN v_departamentos d ON d.id_departamento = t.id_departamento""", True)
+        SELECT id_tecnico, {_given('nombre_tecnico')} AS nombre, {_surnames('nombre_tecnico')} AS apellidos,
+               especialidad, anios_experiencia, telefono_movil AS telefono, email_corporativo AS email,
+               nombre_departamento AS departamento,
+               {_texts('nivel_certificacion', dim.CERTIFICATION)} AS nivel_certificacion
+        FROM v_tecnicos LEFT JOIN v_departamentos USING (id_departamento)""", True)
 PARTS["dim_paciente"] = _first_load("sk_paciente", "id_paciente", """
-        SELECT id_paciente, nombre, apellido1 || ' ' || apellido2 AS apellidos, fecha_nacimiento, sexo AS genero,
+        SELECT id_paciente, nombre,
+               CASE WHEN apellido2 IS NOT NULL THEN concat_ws(' ', apellido1, apellido2) END AS apellidos, fecha_nacimiento, sexo AS genero,
                telefono_movil AS telefono, email, grupo_sanguineo, direccion, ciudad, codigo_postal,
                compania_seguro AS seguro_medico, tipo_cobertura AS tipo_seguro FROM v_pacientes""", True)
-PARTS["dim_equipo"] = _first_load("sk_equipo", "id_equipo", """
-        SELECT e.id_equipo, e.nombre_equipo,
-               CASE WHEN left(e.descripcion, length(e.nombre_equipo) + 3) = e.nombre_equipo || ' - '
-                    THEN substr(e.descripcion, length(e.nombre_equipo) + 4) ELSE e.descripcion END AS descripcion,
-               e.numero_serie, e.modelo, e.fecha_adquisicion, e.fecha_fin_garantia, e.clase_riesgo,
-               CASE e.estado_codigo WHEN 1 THEN 'Activo' WHEN 2 THEN 'En Reparacion'
-                    WHEN 3 THEN 'Fuera de Servicio' WHEN 4 THEN 'Baja' END AS estado_equipo,
-               d.nombre_departamento AS departamento_actual, u.edificio || ' - ' || u.sala AS ubicacion_actual
-        FROM v_equipos e LEFT JOIN v_departamentos d ON d.id_departamento = e.id_departamento
-        LEFT JOIN v_ubicaciones u ON u.id_ubicacion = e.id_ubicacion""", True)
+PARTS["dim_equipo"] = _first_load("sk_equipo", "id_equipo", f"""
+        SELECT id_equipo, nombre_equipo,
+               CASE WHEN starts_with(descripcion, nombre_equipo || ' - ')
+                    THEN right(descripcion, length(descripcion) - length(nombre_equipo) - 3)
+                    ELSE descripcion END AS descripcion,
+               numero_serie, modelo, fecha_adquisicion, fecha_fin_garantia, clase_riesgo,
+               {_texts('estado_codigo', dim.EQUIPMENT_STATE)} AS estado_equipo,
+               nombre_departamento AS departamento_actual, concat(edificio, ' - ', sala) AS ubicacion_actual
+        FROM v_equipos LEFT JOIN v_departamentos USING (id_departamento)
+        LEFT JOIN v_ubicaciones USING (id_ubicacion)""", True)
 PARTS["dim_ensayo"] = _first_load("sk_ensayo", "id_ensayo", """
         SELECT id_ensayo, codigo_ensayo, titulo_ensayo AS nombre_ensayo, descripcion_ensayo AS descripcion,
                patrocinador, fecha_inicio AS fecha_inicio_ensayo, fecha_fin_prevista, estado_ensayo,
@@ -170,38 +156,50 @@ PARTS["dim_diagnostico"] = _first_load("sk_diagnostico", "id_diagnostico", """
                grupo AS subcategoria, es_cronico FROM v_diagnosticos_cie10""")
 
 
-def _values(column: str, *values) -> str:
-    rows = ", ".join(f"({v})" if isinstance(v, bool) else f"('{v}')" for v in values)
-    return f"(VALUES {rows}) AS {column[0]}_{column}({column})"
-
-
-def _profile(sk: str, **axes) -> str:
+def _profile(sk: str, axes: Mapping[str, Sequence]) -> str:
     order = ", ".join(axes)
-    joined = " CROSS JOIN ".join(_values(c, *v) for c, v in axes.items())
-    return f"SELECT row_number() OVER (ORDER BY {order}) AS {sk}, {order} FROM {joined}"
+    lists = ", ".join(
+        f"(SELECT unnest([{', '.join(map(_literal, values))}]) AS {axis}) AS l_{axis}" for axis, values in axes.items()
+    )
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS {sk}, {order} FROM {lists}"
+
+
+for _perfil, (_sk, _axes) in dim.PROFILES.items():
+    PARTS[_perfil] = _profile(_sk, _axes)
+
+# keys of everything that hangs on one business key
+PARTS["k_equipo"] = """
+        SELECT id_equipo, sk_equipo, sk_departamento, sk_ubicacion, sk_fabricante
+        FROM (SELECT id_equipo, id_departamento, id_ubicacion, id_fabricante FROM v_equipos)
+        JOIN (SELECT id_equipo, sk_equipo FROM dim_equipo WHERE es_actual) USING (id_equipo)
+        JOIN dim_departamento USING (id_departamento) JOIN dim_ubicacion USING (id_ubicacion)
+        JOIN dim_fabricante USING (id_fabricante)"""
+PARTS["k_tecnico"] = """
+        SELECT id_tecnico, tarifa_hora, sk_tecnico FROM v_tecnicos
+        JOIN (SELECT id_tecnico, sk_tecnico FROM dim_tecnico WHERE es_actual) USING (id_tecnico)"""
+PARTS["costes"] = """
+        SELECT id_orden, SUM(cantidad * precio_unitario_en_momento) AS repuestos, SUM(cantidad) AS piezas
+        FROM v_consumo_repuestos GROUP BY id_orden"""
+
+
+def _earlier(counted: str, key: str, at: str) -> str:
+    """Whether a counted row of the same key lies up to 30 days before."""
+    return (
+        f"COALESCE(bool_or({counted}) OVER (PARTITION BY {key} ORDER BY {at} "
+        "RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING), FALSE)"
+    )
 
 
-PARTS["dim_perfil_mantenimiento"] = _profile(
-    "sk_perfil_mantenimiento",
-    tipo_mantenimiento=("Preventivo", "Correctivo", "Calibracion", "Inspeccion"),
-    prioridad=("Baja", "Media", "Alta", "Critica"),
-    gravedad=("Leve", "Moderada", "Grave"),
-    es_garantia=(True, False),
-    requiere_parada_equipo=(True, False),
-)
-PARTS["dim_perfil_ensayo"] = _profile(
-    "sk_perfil_ensayo",
-    fase_ensayo=("Fase I", "Fase II", "Fase III", "Fase IV"),
-    tipo_ciego=("Abierto", "Simple Ciego", "Doble Ciego"),
-    tipo_aleatorizacion=("Aleatorizado", "No Aleatorizado"),
-    grupo_tratamiento=("Experimental", "Control", "Placebo"),
-    via_administracion=("Oral", "Intravenosa", "Subcutanea", "Topica", "Inhalatoria"),
-)
+def _coded_orders(table: str, types: Mapping) -> str:
+    return f"""SELECT id_orden, id_equipo, id_tecnico, horas_trabajadas, fecha_inicio_trabajo, fecha_fin_trabajo,
+               tipo_mantenimiento AS codigo, {_texts('tipo_mantenimiento', types)} AS tipo_mantenimiento,
+               {_texts('prioridad', fact.PRIORITY)} AS prioridad, {_texts('gravedad', fact.SEVERITY)} AS gravedad,
+               es_cubierto_por_garantia AS es_garantia, requiere_parada AS requiere_parada_equipo FROM {table}"""
+
 
-_TYPE = """CASE o.tipo_mantenimiento WHEN 'PREV' THEN 'Preventivo' WHEN 'CORR' THEN 'Correctivo'
-           WHEN '{cal}' THEN 'Calibracion' WHEN 'INSP' THEN 'Inspeccion' END"""
-_PRIORITY = "CASE o.prioridad WHEN 1 THEN 'Baja' WHEN 2 THEN 'Media' WHEN 3 THEN 'Alta' WHEN 4 THEN 'Critica' END"
-_SEVERITY = "CASE o.gravedad WHEN 1 THEN 'Leve' WHEN 2 THEN 'Moderada' WHEN 3 THEN 'Grave' END"
+PARTS["ordenes_texto"] = _coded_orders("v_ordenes_mantenimiento", fact.MAINTENANCE_TYPE_ADMITTED)
+PARTS["ordenes_texto_parity"] = _coded_orders("v_ordenes_mantenimiento", fact.MAINTENANCE_TYPE)
+PARTS["ordenes_todas"] = _coded_orders("r_ordenes_mantenimiento", fact.MAINTENANCE_TYPE_ADMITTED)
 
 
 def _cents(whole_100: str, count: str = "1") -> str:
@@ -209,73 +207,58 @@ def _cents(whole_100: str, count: str = "1") -> str:
     return f"CAST((2 * CAST({whole_100} AS BIGINT) + {count}) // (2 * {count}) AS DOUBLE) / 100"
 
 
-def _maintenance(corrective: str, calibration: str) -> str:
-    minutes = "date_diff('minute', o.fecha_inicio_trabajo, o.fecha_fin_trabajo)"
+def _maintenance(orders: str, corrective: str) -> str:
+    minutes = "date_diff('minute', fecha_inicio_trabajo, fecha_fin_trabajo)"
+    earlier = _earlier(f"codigo = '{corrective}'", "id_equipo", "fecha_inicio_trabajo")
     return f"""
-        SELECT {_dates('o.fecha_inicio_trabajo')} AS sk_fecha, eq.sk_equipo, tc.sk_tecnico, dp.sk_departamento,
-               ub.sk_ubicacion, fa.sk_fabricante, pm.sk_perfil_mantenimiento, o.id_orden,
-               CAST(o.horas_trabajadas AS DOUBLE) AS horas_trabajadas, CAST(ts.tarifa_hora AS DOUBLE) AS tarifa_hora,
-               CAST(cr.coste AS DOUBLE) AS costo_repuestos,
-               CAST(o.horas_trabajadas * ts.tarifa_hora AS DOUBLE) AS costo_mano_obra,
-               CAST(COALESCE(cr.coste, 0) + o.horas_trabajadas * ts.tarifa_hora AS DOUBLE) AS costo_total,
-               CAST((200 * {minutes} + 60) // 120 AS DOUBLE) / 100 AS duracion_horas,
-               CAST(cr.piezas AS BIGINT) AS numero_piezas_reemplazadas,
-               EXISTS (SELECT 1 FROM v_ordenes_mantenimiento p
-                       WHERE p.id_equipo = o.id_equipo AND p.tipo_mantenimiento = '{corrective}'
-                         AND p.fecha_inicio_trabajo < o.fecha_inicio_trabajo
-                         AND p.fecha_inicio_trabajo >= o.fecha_inicio_trabajo - INTERVAL 30 DAY)
-                   AS indicador_reincidencia
-        FROM v_ordenes_mantenimiento o
-        JOIN v_equipos es ON es.id_equipo = o.id_equipo
-        JOIN v_tecnicos ts ON ts.id_tecnico = o.id_tecnico
-        LEFT JOIN (SELECT id_orden, SUM(cantidad * precio_unitario_en_momento) AS coste, SUM(cantidad) AS piezas
-                   FROM v_consumo_repuestos GROUP BY id_orden) cr ON cr.id_orden = o.id_orden
-        JOIN dim_equipo eq ON eq.id_equipo = o.id_equipo AND eq.es_actual
-        JOIN dim_tecnico tc ON tc.id_tecnico = o.id_tecnico AND tc.es_actual
-        JOIN dim_departamento dp ON dp.id_departamento = es.id_departamento
-        JOIN dim_ubicacion ub ON ub.id_ubicacion = es.id_ubicacion
-        JOIN dim_fabricante fa ON fa.id_fabricante = es.id_fabricante
-        JOIN dim_perfil_mantenimiento pm ON pm.tipo_mantenimiento = {_TYPE.format(cal=calibration)}
-             AND pm.prioridad = {_PRIORITY} AND pm.gravedad = {_SEVERITY}
-             AND pm.es_garantia = o.es_cubierto_por_garantia AND pm.requiere_parada_equipo = o.requiere_parada"""
-
-
-PARTS["fact_mantenimiento_equipos"] = _maintenance("CORR", "CALIB")
-PARTS["fact_mantenimiento_parity"] = _maintenance("Correctivo", "CAL")
-
-_VITALS = ("frecuencia_cardiaca", "presion_sistolica", "presion_diastolica", "temperatura", "saturacion_oxigeno",
-           "nivel_glucosa")
+        SELECT id_orden, {_dates('fecha_inicio_trabajo')} AS sk_fecha, sk_equipo, sk_tecnico, sk_departamento,
+               sk_ubicacion, sk_fabricante, sk_perfil_mantenimiento, indicador_reincidencia,
+               CAST(piezas AS BIGINT) AS numero_piezas_reemplazadas,
+               CAST(horas_trabajadas AS DOUBLE) AS horas_trabajadas, CAST(tarifa_hora AS DOUBLE) AS tarifa_hora,
+               CAST(repuestos AS DOUBLE) AS costo_repuestos, CAST(mano_obra AS DOUBLE) AS costo_mano_obra,
+               CAST(mano_obra + ifnull(repuestos, 0) AS DOUBLE) AS costo_total,
+               CAST((200 * {minutes} + 60) // 120 AS DOUBLE) / 100 AS duracion_horas
+        FROM (SELECT *, horas_trabajadas * tarifa_hora AS mano_obra
+              FROM (SELECT *, {earlier} AS indicador_reincidencia FROM {orders})
+              JOIN k_equipo USING (id_equipo) JOIN k_tecnico USING (id_tecnico)
+              JOIN dim_perfil_mantenimiento
+                   USING (tipo_mantenimiento, prioridad, gravedad, es_garantia, requiere_parada_equipo)
+              LEFT JOIN costes USING (id_orden))"""
+
+
+PARTS["fact_mantenimiento_equipos"] = _maintenance("ordenes_texto", fact.CORRECTIVE)
+PARTS["fact_mantenimiento_parity"] = _maintenance("ordenes_texto_parity", fact.CORRECTIVE_PARITY)
+
+_VITALS = tuple(fact.ALERT_RANGES)
 PARTS["lecturas_sesion"] = (
     "SELECT id_monitorizacion, count(*) AS n, "
     + ", ".join(f"SUM(CAST({v} * 100 AS BIGINT)) AS s_{v}" for v in _VITALS)
     + " FROM v_lecturas_signos_vitales GROUP BY id_monitorizacion"
 )
-_LIMITS = {
-    "frecuencia_cardiaca": (6000, 10000),
-    "presion_sistolica": (9000, 14000),
-    "presion_diastolica": (6000, 9000),
-    "temperatura": (3600, 3750),
-    "saturacion_oxigeno": (9500, 999999),
-    "nivel_glucosa": (7000, 14000),
-}
-_ALERT = " OR ".join(f"l.s_{v} < {lo} * l.n OR l.s_{v} > {hi} * l.n" for v, (lo, hi) in _LIMITS.items())
+
+
+def _beyond(measure: str, low, high) -> str:
+    """Whether the mean of a session is out of range, in whole hundredths."""
+    above = "" if high is None else f" OR s_{measure} > {int(high * 100)} * n"
+    return f"s_{measure} < {int(low * 100)} * n{above}"
+
+
 PARTS["fact_monitorizacion_pacientes"] = f"""
-        SELECT {_dates('m.fecha_monitorizacion')} AS sk_fecha, pa.sk_paciente, me.sk_medico, eq.sk_equipo,
-               dp.sk_departamento, ub.sk_ubicacion, di.sk_diagnostico, m.id_monitorizacion AS id_sesion,
-               CAST(date_diff('minute', m.hora_inicio, m.hora_fin) AS BIGINT) AS duracion_monitorizacion_min,
-               {', '.join(f"{_cents(f'l.s_{v}', 'l.n')} AS {v}" for v in _VITALS)},
-               ({_ALERT}) AS alerta_generada
-        FROM v_monitorizaciones m
-        JOIN lecturas_sesion l ON l.id_monitorizacion = m.id_monitorizacion
-        JOIN v_equipos es ON es.codigo_equipo = m.codigo_equipo
-        JOIN v_departamentos ds ON ds.codigo_departamento = m.codigo_departamento
-        JOIN v_ubicaciones us ON us.codigo_ubicacion = m.codigo_ubicacion
-        JOIN dim_paciente pa ON pa.id_paciente = m.id_paciente AND pa.es_actual
-        JOIN dim_medico me ON me.id_medico = m.id_medico AND me.es_actual
-        JOIN dim_equipo eq ON eq.id_equipo = es.id_equipo AND eq.es_actual
-        JOIN dim_departamento dp ON dp.id_departamento = ds.id_departamento
-        JOIN dim_ubicacion ub ON ub.id_ubicacion = us.id_ubicacion
-        JOIN dim_diagnostico di ON di.id_diagnostico = m.id_diagnostico"""
+        SELECT id_monitorizacion AS id_sesion, {_dates('fecha_monitorizacion')} AS sk_fecha, sk_paciente, sk_medico,
+               sk_equipo, sk_departamento, sk_ubicacion, sk_diagnostico,
+               CAST(date_diff('minute', hora_inicio, hora_fin) AS BIGINT) AS duracion_monitorizacion_min,
+               {', '.join(f"{_cents(f's_{v}', 'n')} AS {v}" for v in _VITALS)},
+               ({' OR '.join(_beyond(v, *limits) for v, limits in fact.ALERT_RANGES.items())}) AS alerta_generada
+        FROM v_monitorizaciones JOIN lecturas_sesion USING (id_monitorizacion)
+        JOIN (SELECT codigo_equipo, sk_equipo FROM v_equipos JOIN dim_equipo USING (id_equipo) WHERE es_actual)
+             USING (codigo_equipo)
+        JOIN (SELECT codigo_departamento, sk_departamento FROM v_departamentos
+              JOIN dim_departamento USING (id_departamento)) USING (codigo_departamento)
+        JOIN (SELECT codigo_ubicacion, sk_ubicacion FROM v_ubicaciones JOIN dim_ubicacion USING (id_ubicacion))
+             USING (codigo_ubicacion)
+        JOIN (SELECT id_paciente, sk_paciente FROM dim_paciente WHERE es_actual) USING (id_paciente)
+        JOIN (SELECT id_medico, sk_medico FROM dim_medico WHERE es_actual) USING (id_medico)
+        JOIN (SELECT id_diagnostico, sk_diagnostico FROM dim_diagnostico) USING (id_diagnostico)"""
 
 
 def _days(table: str, start: str, end: str, as_of: str) -> str:
@@ -285,42 +268,46 @@ def _days(table: str, start: str, end: str, as_of: str) -> str:
                FROM (SELECT a.*, unnest(range(0, greatest({length}, 0))) AS n FROM {table} a) b"""
 
 
-def _trial(as_of: str) -> str:
-    return f"""
-        SELECT {_dates('p.dia_fecha')} AS sk_fecha, {_dates('p.fecha_inicio_participacion')} AS sk_fecha_inicio,
-               {_dates('p.fecha_fin_participacion')} AS sk_fecha_fin,
-               en.sk_ensayo, pa.sk_paciente, me.sk_medico, di.sk_diagnostico, dp.sk_departamento,
-               pe.sk_perfil_ensayo, p.id_participacion,
-               CAST(v.dosis_administrada AS DOUBLE) AS dosis_administrada, v.unidad_dosis,
-               CAST(v.numero_efectos_adversos AS BIGINT) AS numero_efectos_adversos,
-               CAST(v.resultado_medicion_principal AS DOUBLE) AS resultado_medicion_principal,
-               CAST(v.resultado_medicion_secundaria AS DOUBLE) AS resultado_medicion_secundaria,
-               CAST(v.nivel_eficacia AS DOUBLE) AS nivel_eficacia
-        FROM ({_days('v_participacion_ensayos', 'fecha_inicio_participacion', 'fecha_fin_participacion', as_of)}) p
-        JOIN v_ensayos_clinicos ec ON ec.id_ensayo = p.id_ensayo
-        JOIN v_departamentos ds ON ds.codigo_departamento = ec.codigo_departamento
-        JOIN dim_ensayo en ON en.id_ensayo = p.id_ensayo
-        JOIN dim_paciente pa ON pa.id_paciente = p.id_paciente AND pa.es_actual
-        JOIN dim_medico me ON me.id_medico = p.id_medico_asignado AND me.es_actual
-        JOIN dim_diagnostico di ON di.id_diagnostico = p.id_diagnostico
-        JOIN dim_departamento dp ON dp.id_departamento = ds.id_departamento
-        JOIN dim_perfil_ensayo pe
-          ON pe.fase_ensayo = CASE p.fase WHEN 'F1' THEN 'Fase I' WHEN 'F2' THEN 'Fase II' WHEN 'F3' THEN 'Fase III'
-                                   WHEN 'F4' THEN 'Fase IV' END
-         AND pe.tipo_ciego = CASE p.tipo_ciego WHEN 'AB' THEN 'Abierto' WHEN 'SC' THEN 'Simple Ciego'
-                                  WHEN 'DC' THEN 'Doble Ciego' END
-         AND pe.tipo_aleatorizacion = CASE p.tipo_aleatorizacion WHEN 'AL' THEN 'Aleatorizado'
-                                           WHEN 'NA' THEN 'No Aleatorizado' END
-         AND pe.grupo_tratamiento = CASE p.grupo_asignado WHEN 'EXP' THEN 'Experimental' WHEN 'CTR' THEN 'Control'
-                                         WHEN 'PLA' THEN 'Placebo' END
-         AND pe.via_administracion = CASE p.via_administracion WHEN 'ORL' THEN 'Oral' WHEN 'IV' THEN 'Intravenosa'
-                                          WHEN 'SC' THEN 'Subcutanea' WHEN 'TOP' THEN 'Topica'
-                                          WHEN 'INH' THEN 'Inhalatoria' END
-        LEFT JOIN v_visitas_ensayo v ON v.id_participacion = p.id_participacion
-             AND CAST(v.fecha_visita AS DATE) = p.dia_fecha"""
-
-
-PARTS["fact_ensayos_clinicos"] = _trial(AS_OF)
+def _coded_trials(table: str) -> str:
+    return f"""SELECT id_participacion, id_ensayo, id_paciente, id_medico_asignado AS id_medico, id_diagnostico,
+               fecha_inicio_participacion, fecha_fin_participacion, {_texts('fase', fact.PHASE)} AS fase_ensayo,
+               {_texts('tipo_ciego', fact.BLINDING)} AS tipo_ciego,
+               {_texts('tipo_aleatorizacion', fact.RANDOMISATION)} AS tipo_aleatorizacion,
+               {_texts('grupo_asignado', fact.ARM)} AS grupo_tratamiento,
+               {_texts('via_administracion', fact.ROUTE)} AS via_administracion FROM {table}"""
+
+
+PARTS["participaciones_texto"] = _coded_trials("v_participacion_ensayos")
+PARTS["participaciones_todas"] = _coded_trials("r_participacion_ensayos")
+PARTS["visitas_dia"] = """
+        SELECT id_participacion, CAST(fecha_visita AS DATE) AS dia_fecha,
+               CAST(dosis_administrada AS DOUBLE) AS dosis_administrada, unidad_dosis,
+               CAST(numero_efectos_adversos AS BIGINT) AS numero_efectos_adversos,
+               CAST(resultado_medicion_principal AS DOUBLE) AS resultado_medicion_principal,
+               CAST(resultado_medicion_secundaria AS DOUBLE) AS resultado_medicion_secundaria,
+               CAST(nivel_eficacia AS DOUBLE) AS nivel_eficacia
+        FROM v_visitas_ensayo"""
+PARTS["k_ensayo"] = """
+        SELECT id_ensayo, sk_ensayo, sk_departamento
+        FROM (SELECT id_ensayo, codigo_departamento FROM v_ensayos_clinicos)
+        JOIN (SELECT id_ensayo, sk_ensayo FROM dim_ensayo) USING (id_ensayo)
+        JOIN (SELECT codigo_departamento, sk_departamento FROM v_departamentos
+              JOIN dim_departamento USING (id_departamento)) USING (codigo_departamento)"""
+_DAYS = _days("participaciones_texto", "fecha_inicio_participacion", "fecha_fin_participacion", AS_OF)
+PARTS["fact_ensayos_clinicos"] = f"""
+        SELECT id_participacion, {_dates('dia_fecha')} AS sk_fecha,
+               {_dates('fecha_inicio_participacion')} AS sk_fecha_inicio,
+               {_dates('fecha_fin_participacion')} AS sk_fecha_fin,
+               sk_ensayo, sk_paciente, sk_medico, sk_diagnostico, sk_departamento, sk_perfil_ensayo,
+               dosis_administrada, unidad_dosis, numero_efectos_adversos, resultado_medicion_principal,
+               resultado_medicion_secundaria, nivel_eficacia
+        FROM ({_DAYS}) JOIN k_ensayo USING (id_ensayo)
+        JOIN (SELECT id_paciente, sk_paciente FROM dim_paciente WHERE es_actual) USING (id_paciente)
+        JOIN (SELECT id_medico, sk_medico FROM dim_medico WHERE es_actual) USING (id_medico)
+        JOIN (SELECT id_diagnostico, sk_diagnostico FROM dim_diagnostico) USING (id_diagnostico)
+        JOIN dim_perfil_ensayo
+             USING (fase_ensayo, tipo_ciego, tipo_aleatorizacion, grupo_tratamiento, via_administracion)
+        LEFT JOIN visitas_dia USING (id_participacion, dia_fecha)"""
 
 
 def _versions(name: str, before: str, source: str, as_of: str) -> None:
@@ -401,7 +388,7 @@ _EVENT_TESTS = {
     ("user_id", "non_negative"): "user_id >= 0",
     ("event_type", "allowed_values"): "event_type IN ('view', 'click', 'purchase', 'signup')",
     ("dia", "allowed_values"): "dia BETWEEN 1 AND 28",
-    ("email", "regex"): _mail("email"),
+    ("email", "regex"): f"regexp_matches(email, '{EMAIL}')",
     ("value", "range"): "value >= 1 AND value <= 200",
 }
 _EVENT_OK = " AND ".join(f"({t})" for t in _EVENT_TESTS.values())
@@ -433,12 +420,73 @@ PARTS["partes_2"] = """
                p_retailprice + 1 AS p_retailprice FROM part WHERE p_type <> 'LARGE'"""
 
 
-def _wide(fact: str, columns: str, joins: str) -> str:
-    return f"SELECT {columns} FROM {fact} f {joins}"
+# What each wide view shows of its fact and of every dimension.
+WIDE = {
+    "fact_mantenimiento_equipos": {
+        "fact": "id_orden, horas_trabajadas, tarifa_hora, costo_repuestos, costo_mano_obra, costo_total, "
+                "duracion_horas, numero_piezas_reemplazadas, indicador_reincidencia",
+        "dim_fecha": "fecha, anio, semestre, trimestre, mes, nombre_mes, semana_anio, dia, nombre_dia, es_fin_semana",
+        "dim_equipo": "nombre_equipo, numero_serie, modelo, clase_riesgo, estado_equipo, fecha_adquisicion, "
+                      "fecha_fin_garantia, departamento_actual AS departamento_equipo, "
+                      "ubicacion_actual AS ubicacion_equipo",
+        "dim_tecnico": "nombre AS nombre_tecnico, apellidos AS apellidos_tecnico, "
+                       "especialidad AS especialidad_tecnico, nivel_certificacion, anios_experiencia",
+        "dim_departamento": "nombre_departamento, nivel_jerarquia AS nivel_jerarquia_departamento",
+        "dim_ubicacion": "edificio, planta, ala, sala, tipo_sala",
+        "dim_fabricante": "nombre_fabricante, pais_origen, certificacion_iso",
+        "dim_perfil_mantenimiento": "tipo_mantenimiento, prioridad, gravedad, es_garantia, requiere_parada_equipo",
+    },
+    "fact_monitorizacion_pacientes": {
+        "fact": "id_sesion, duracion_monitorizacion_min, frecuencia_cardiaca, presion_sistolica, "
+                "presion_diastolica, temperatura, saturacion_oxigeno, nivel_glucosa, alerta_generada",
+        "dim_fecha": "fecha, anio, trimestre, mes, nombre_mes, nombre_dia, es_fin_semana",
+        "dim_paciente": "nombre AS nombre_paciente, apellidos AS apellidos_paciente, fecha_nacimiento, genero, "
+                        "grupo_sanguineo, ciudad AS ciudad_paciente, seguro_medico, tipo_seguro",
+        "dim_medico": "nombre AS nombre_medico, apellidos AS apellidos_medico, especialidad AS especialidad_medico, "
+                      "numero_colegiado",
+        "dim_equipo": "nombre_equipo, clase_riesgo, estado_equipo",
+        "dim_departamento": "nombre_departamento",
+        "dim_ubicacion": "edificio, sala, tipo_sala",
+        "dim_diagnostico": "codigo_cie10, descripcion_diagnostico, categoria AS categoria_diagnostico, "
+                           "subcategoria AS subcategoria_diagnostico, es_cronico",
+    },
+    "fact_ensayos_clinicos": {
+        "fact": "id_participacion, dosis_administrada, unidad_dosis, numero_efectos_adversos, "
+                "resultado_medicion_principal, resultado_medicion_secundaria, nivel_eficacia",
+        "dim_fecha": "fecha AS fecha_visita, anio AS anio_visita, trimestre AS trimestre_visita, "
+                     "mes AS mes_visita, nombre_mes AS nombre_mes_visita",
+        "dim_ensayo": "codigo_ensayo, nombre_ensayo, patrocinador, estado_ensayo, molecula_farmaco, "
+                      "objetivo_principal, fecha_inicio_ensayo, fecha_fin_prevista",
+        "dim_paciente": "nombre AS nombre_paciente, apellidos AS apellidos_paciente, genero, fecha_nacimiento, "
+                        "grupo_sanguineo",
+        "dim_medico": "nombre AS nombre_medico, apellidos AS apellidos_medico, especialidad AS especialidad_medico",
+        "dim_diagnostico": "codigo_cie10, descripcion_diagnostico, categoria AS categoria_diagnostico, es_cronico",
+        "dim_departamento": "nombre_departamento",
+        "dim_perfil_ensayo": "fase_ensayo, tipo_ciego, tipo_aleatorizacion, grupo_tratamiento, via_administracion",
+    },
+}
 
 
-_SAME_DAY = "fe.sk_fecha = f.sk_fecha"
-_TYPE_ANY = _TYPE.format(cal="CALIB")
+def _wide(name: str) -> str:
+    shown = dict(WIDE[name])
+    wanted = [*shown.pop("fact").split(", ")]
+    joins = []
+    for table, columns in shown.items():
+        sk = table.replace("dim_", "sk_")
+        only = " WHERE es_actual" if table in dim.CURRENT_ONLY else ""
+        joins.append(f"JOIN (SELECT {sk}, {columns} FROM {table}{only}) USING ({sk})")
+        wanted += [c.split(" AS ")[-1] for c in columns.split(", ")]
+    if name == "fact_ensayos_clinicos":
+        for end in ("inicio", "fin"):
+            joins.append(f"LEFT JOIN (SELECT sk_fecha AS sk_fecha_{end}, fecha AS fecha_{end}_participacion "
+                         f"FROM dim_fecha) USING (sk_fecha_{end})")
+            wanted.append(f"fecha_{end}_participacion")
+    return f"SELECT {', '.join(wanted)} FROM {name} {' '.join(joins)}"
+
+
+def _same(left: str, right: str, columns) -> str:
+    return " AND ".join(f"{left}.{c} = {right}.{c}" for c in columns)
+
 
 BODIES: dict[str, str] = {
     "src_high_water_mark": """
@@ -532,30 +580,12 @@ BODIES: dict[str, str] = {
         LEFT JOIN (SELECT id_nodo, row_number() OVER (ORDER BY id_nodo) AS sk FROM nodos) p
                ON p.id_nodo = n.id_padre""",
     "dim_junk_maintenance": f"""
-        SELECT p.*, (SELECT count(*) FROM r_ordenes_mantenimiento o
-                     WHERE {_TYPE_ANY} = p.tipo_mantenimiento AND {_PRIORITY} = p.prioridad
-                       AND {_SEVERITY} = p.gravedad AND o.es_cubierto_por_garantia = p.es_garantia
-                       AND o.requiere_parada = p.requiere_parada_equipo) AS filas
+        SELECT p.*, (SELECT count(*) FROM ordenes_todas o WHERE {_same("o", "p", dim.MAINTENANCE_PROFILE)}) AS filas
         FROM dim_perfil_mantenimiento p""",
-    "dim_junk_trial": """
-        SELECT p.*, COALESCE(n, 0) AS filas FROM dim_perfil_ensayo p
-        LEFT JOIN (SELECT fase, tipo_ciego AS c, tipo_aleatorizacion AS a, grupo_asignado AS g,
-                          via_administracion AS v, count(*) AS n FROM r_participacion_ensayos GROUP BY 1, 2, 3, 4, 5) x
-          ON CASE x.fase WHEN 'F1' THEN 'Fase I' WHEN 'F2' THEN 'Fase II' WHEN 'F3' THEN 'Fase III'
-                         WHEN 'F4' THEN 'Fase IV' END = p.fase_ensayo
-         AND CASE x.c WHEN 'AB' THEN 'Abierto' WHEN 'SC' THEN 'Simple Ciego' ELSE 'Doble Ciego' END = p.tipo_ciego
-         AND CASE x.a WHEN 'AL' THEN 'Aleatorizado' ELSE 'No Aleatorizado' END = p.tipo_aleatorizacion
-         AND CASE x.g WHEN 'EXP' THEN 'Experimental' WHEN 'CTR' THEN 'Control' ELSE 'Placebo' END
-             = p.grupo_tratamiento
-         AND CASE x.v WHEN 'ORL' THEN 'Oral' WHEN 'IV' THEN 'Intravenosa' WHEN 'SC' THEN 'Subcutanea'
-                      WHEN 'TOP' THEN 'Topica' ELSE 'Inhalatoria' END = p.via_administracion""",
-    "dim_name_split": """
-        SELECT p_partkey,
-               CASE WHEN len(string_split(n, ' ')) = 4 THEN split_part(n, ' ', 1) || ' ' || split_part(n, ' ', 2)
-                    ELSE split_part(n, ' ', 1) END AS nombre,
-               CASE WHEN len(string_split(n, ' ')) = 4 THEN split_part(n, ' ', 3) || ' ' || split_part(n, ' ', 4)
-                    ELSE NULLIF(substr(n, length(split_part(n, ' ', 1)) + 2), '') END AS apellidos
-        FROM nombres""",
+    "dim_junk_trial": f"""
+        SELECT p.*, (SELECT count(*) FROM participaciones_todas o WHERE {_same("o", "p", dim.TRIAL_PROFILE)}) AS filas
+        FROM dim_perfil_ensayo p""",
+    "dim_name_split": f"SELECT p_partkey, {_given('n')} AS nombre, {_surnames('n')} AS apellidos FROM nombres",
     "dim_prefix_strip": """
         SELECT p_partkey, CASE p_type WHEN 'SMALL' THEN NULL ELSE p_brand END AS descripcion FROM part""",
     "dim_enriched_lookup": """
@@ -574,63 +604,7 @@ BODIES: dict[str, str] = {
     # loading in two goes ends with the rows of one
     "fact_ensayos_two_loads": "SELECT * FROM fact_ensayos_clinicos",
     "fact_mantenimiento_two_loads": "SELECT * FROM fact_mantenimiento_equipos",
-    "view_mantenimiento_equipos": _wide("fact_mantenimiento_equipos", """
-        f.id_orden, fe.fecha, fe.anio, fe.semestre, fe.trimestre, fe.mes, fe.nombre_mes, fe.semana_anio, fe.dia,
-        fe.nombre_dia, fe.es_fin_semana, eq.nombre_equipo, eq.numero_serie, eq.modelo, eq.clase_riesgo,
-        eq.estado_equipo, eq.departamento_actual AS departamento_equipo, eq.ubicacion_actual AS ubicacion_equipo,
-        eq.fecha_adquisicion, eq.fecha_fin_garantia, tc.nombre AS nombre_tecnico, tc.apellidos AS apellidos_tecnico,
-        tc.especialidad AS especialidad_tecnico, tc.nivel_certificacion, tc.anios_experiencia,
-        dp.nombre_departamento, dp.nivel_jerarquia AS nivel_jerarquia_departamento,
-        ub.edificio, ub.planta, ub.ala, ub.sala, ub.tipo_sala,
-        fa.nombre_fabricante, fa.pais_origen, fa.certificacion_iso, pm.tipo_mantenimiento, pm.prioridad,
-        pm.gravedad, pm.es_garantia, pm.requiere_parada_equipo, f.horas_trabajadas, f.tarifa_hora,
-        f.costo_repuestos, f.costo_mano_obra, f.costo_total, f.duracion_horas, f.numero_piezas_reemplazadas,
-        f.indicador_reincidencia""", f"""
-        JOIN dim_fecha fe ON {_SAME_DAY}
-        JOIN dim_equipo eq ON eq.sk_equipo = f.sk_equipo AND eq.es_actual
-        JOIN dim_tecnico tc ON tc.sk_tecnico = f.sk_tecnico AND tc.es_actual
-        JOIN dim_departamento dp ON dp.sk_departamento = f.sk_departamento
-        JOIN dim_ubicacion ub ON ub.sk_ubicacion = f.sk_ubicacion
-        JOIN dim_fabricante fa ON fa.sk_fabricante = f.sk_fabricante
-        JOIN dim_perfil_mantenimiento pm ON pm.sk_perfil_mantenimiento = f.sk_perfil_mantenimiento"""),
-    "view_monitorizacion_pacientes": _wide("fact_monitorizacion_pacientes", """
-        f.id_sesion, fe.fecha, fe.anio, fe.trimestre, fe.mes, fe.nombre_mes, fe.nombre_dia, fe.es_fin_semana,
-        pa.nombre AS nombre_paciente, pa.apellidos AS apellidos_paciente, pa.fecha_nacimiento, pa.genero,
-        pa.grupo_sanguineo, pa.ciudad AS ciudad_paciente, pa.seguro_medico, pa.tipo_seguro,
-        me.nombre AS nombre_medico, me.apellidos AS apellidos_medico, me.especialidad AS especialidad_medico,
-        me.numero_colegiado, eq.nombre_equipo, eq.clase_riesgo, eq.estado_equipo, dp.nombre_departamento,
-        ub.edificio, ub.sala, ub.tipo_sala, di.codigo_cie10, di.descripcion_diagnostico,
-        di.categoria AS categoria_diagnostico, di.subcategoria AS subcategoria_diagnostico, di.es_cronico,
-        f.duracion_monitorizacion_min, f.frecuencia_cardiaca, f.presion_sistolica, f.presion_diastolica,
-        f.temperatura, f.saturacion_oxigeno, f.nivel_glucosa, f.alerta_generada""", f"""
-        JOIN dim_fecha fe ON {_SAME_DAY}
-        JOIN dim_paciente pa ON pa.sk_paciente = f.sk_paciente AND pa.es_actual
-        JOIN dim_medico me ON me.sk_medico = f.sk_medico AND me.es_actual
-        JOIN dim_equipo eq ON eq.sk_equipo = f.sk_equipo AND eq.es_actual
-        JOIN dim_departamento dp ON dp.sk_departamento = f.sk_departamento
-        JOIN dim_ubicacion ub ON ub.sk_ubicacion = f.sk_ubicacion
-        JOIN dim_diagnostico di ON di.sk_diagnostico = f.sk_diagnostico"""),
-    "view_ensayos_clinicos": _wide("fact_ensayos_clinicos", """
-        f.id_participacion, fe.fecha AS fecha_visita, fe.anio AS anio_visita, fe.trimestre AS trimestre_visita,
-        fe.mes AS mes_visita, fe.nombre_mes AS nombre_mes_visita, fi.fecha AS fecha_inicio_participacion,
-        ff.fecha AS fecha_fin_participacion, en.codigo_ensayo, en.nombre_ensayo, en.patrocinador, en.estado_ensayo,
-        en.molecula_farmaco, en.objetivo_principal, en.fecha_inicio_ensayo, en.fecha_fin_prevista,
-        pa.nombre AS nombre_paciente, pa.apellidos AS apellidos_paciente, pa.genero, pa.fecha_nacimiento,
-        pa.grupo_sanguineo, me.nombre AS nombre_medico, me.apellidos AS apellidos_medico,
-        me.especialidad AS especialidad_medico, di.codigo_cie10, di.descripcion_diagnostico,
-        di.categoria AS categoria_diagnostico, di.es_cronico, dp.nombre_departamento,
-        pe.fase_ensayo, pe.tipo_ciego, pe.tipo_aleatorizacion, pe.grupo_tratamiento, pe.via_administracion,
-        f.dosis_administrada, f.unidad_dosis, f.numero_efectos_adversos, f.resultado_medicion_principal,
-        f.resultado_medicion_secundaria, f.nivel_eficacia""", f"""
-        JOIN dim_fecha fe ON {_SAME_DAY}
-        JOIN dim_fecha fi ON fi.sk_fecha = f.sk_fecha_inicio
-        LEFT JOIN dim_fecha ff ON ff.sk_fecha = f.sk_fecha_fin
-        JOIN dim_ensayo en ON en.sk_ensayo = f.sk_ensayo
-        JOIN dim_paciente pa ON pa.sk_paciente = f.sk_paciente AND pa.es_actual
-        JOIN dim_medico me ON me.sk_medico = f.sk_medico AND me.es_actual
-        JOIN dim_diagnostico di ON di.sk_diagnostico = f.sk_diagnostico
-        JOIN dim_departamento dp ON dp.sk_departamento = f.sk_departamento
-        JOIN dim_perfil_ensayo pe ON pe.sk_perfil_ensayo = f.sk_perfil_ensayo"""),
+    **{name.replace("fact_", "view_"): _wide(name) for name in WIDE},
     "fact_order_cost": f"""
         SELECT o.o_orderkey, {_dates('o.o_orderdate')} AS sk_fecha, n_name,
                round(l.coste, 4) AS coste_repuestos, round(l.piezas, 4) AS piezas,
@@ -649,11 +623,9 @@ BODIES: dict[str, str] = {
         SELECT user_id, CAST(ts AS DATE) AS dia, CAST(date_diff('minute', min(ts), max(ts)) AS BIGINT) AS minutos,
                CAST(date_diff('minute', max(ts), min(ts)) AS BIGINT) AS minutos_atras
         FROM events GROUP BY user_id, CAST(ts AS DATE)""",
-    "fact_recurrence_flag": """
-        SELECT o.o_orderkey, EXISTS (SELECT 1 FROM orders p WHERE p.o_custkey = o.o_custkey
-                 AND p.o_orderpriority = '1-URGENT' AND p.o_orderdate < o.o_orderdate
-                 AND p.o_orderdate >= o.o_orderdate - INTERVAL 30 DAY) AS reincidencia
-        FROM orders o""",
+    "fact_recurrence_flag": f"""
+        SELECT o_orderkey, {_earlier("o_orderpriority = '1-URGENT'", "o_custkey", "o_orderdate")} AS reincidencia
+        FROM orders""",
     "fact_session_alert": """
         SELECT user_id || '/' || CAST(ts AS DATE) AS sesion,
                COALESCE(SUM(CAST(round(value * 100) AS BIGINT)) < 1000 * count(*), FALSE)
