@@ -93,10 +93,13 @@ def catalog_from_table(rows: DataFrame) -> dict[str, list[Rule]]:
     return catalog
 
 
+def conjunction(rules: Sequence[Rule], df: DataFrame) -> Column:
+    """All rules at once; NULL when none fails but one is NULL."""
+    dtypes = dict(df.dtypes)
+    tests = [r.test(dtypes) for r in sorted(rules, key=lambda r: r.column)]
+    return reduce(and_, tests) if tests else F.lit(True)
+
+
 def passes(rules: Sequence[Rule], df: DataFrame) -> Column:
     """True when every rule holds, False when one fails or is NULL."""
-    if not rules:
-        return F.lit(True)
-    dtypes = dict(df.dtypes)
-    tests = (r.test(dtypes) for r in sorted(rules, key=lambda r: r.column))
-    return F.coalesce(reduce(and_, tests), F.lit(False))
+    return F.coalesce(conjunction(rules, df), F.lit(False))

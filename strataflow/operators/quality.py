@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from strataflow.functions.rules import Rule, passes
+from strataflow.functions.rules import Rule, conjunction, passes
 
 
 def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    return df.filter(passes(rules, df))
+    """Rows for which every rule is true. Each rule is pushed to the scan by itself."""
+    return df.filter(conjunction(rules, df))
 
 
 def quarantined_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
