@@ -53,6 +53,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Co
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def _keyless(keys: Sequence[str]) -> Column:
+    return reduce(or_, (F.col(k).isNull() for k in keys))
+
+
 def newest_change(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest change per key; on equal order an INSERT outranks the DELETE.
 
@@ -61,10 +65,9 @@ def newest_change(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     no version of any other row: such rows are all kept.
     """
     image = F.xxhash64(*[c for c in changes.columns if c != ACTION])
-    keyless = reduce(or_, (F.col(k).isNull() for k in keys))
     ranking = [F.col(c).desc_nulls_last() for c in order]
     ranking += [F.col(ACTION).desc(), image.desc()]
-    tagged = changes.withColumn("_own", F.when(keyless, image))
+    tagged = changes.withColumn("_own", F.when(_keyless(keys), image))
     return latest_per_key(tagged, [*keys, "_own"], ranking).drop("_own")
 
 
@@ -156,12 +159,16 @@ def change_log(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Da
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Change rows that turn ``old`` into ``new``; both sides unique per key."""
-    keys = list(keys)
-    data = new.columns
-    left = old.select(*keys, F.struct(*data).alias("_old"))
-    right = new.select(*keys, F.struct(*data).alias("_new"))
-    pairs = left.join(right, keys, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
+    """Change rows that turn ``old`` into ``new``; both sides unique per key.
+
+    Rows without a key match nothing; their own hash joins the key so that
+    many of them do not meet in one task.
+    """
+    on, data = [*keys, "_own"], new.columns
+    own = F.when(_keyless(keys), F.xxhash64(*data)).otherwise(F.lit(0)).alias("_own")
+    left = old.select(*keys, own, F.struct(*data).alias("_old"))
+    right = new.select(*keys, own, F.struct(*data).alias("_new"))
+    pairs = left.join(right, on, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
     images = F.array(
         F.struct(F.lit(DELETE).alias(ACTION), F.col("_old").alias("row")),
         F.struct(F.lit(INSERT).alias(ACTION), F.col("_new").alias("row")),

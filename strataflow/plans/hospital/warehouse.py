@@ -178,8 +178,12 @@ class Warehouse:
 
     # --- refresh ------------------------------------------------------------
 
-    def _run(self, start, names, at_once: int = 4) -> None:
-        """Run one pass of a hop for several tables side by side."""
+    def _run(self, start, paths: Mapping[str, str], at_once: int = 4) -> None:
+        """Run one pass of a hop for several tables side by side.
+
+        ``paths`` tells where each reads from; one with nothing there yet waits.
+        """
+        names = [n for n, path in paths.items() if read_or_none(self.spark, path, "lote long") is not None]
         with ThreadPoolExecutor(at_once) as pool:
             list(pool.map(lambda name: start(name).awaitTermination(), names))
 
@@ -187,25 +191,28 @@ class Warehouse:
         """One pass of all hops; dimensions before facts."""
         spark = self.spark
         self._run(
-            lambda n: follow_raw(spark, self.hops[n], landing, self.landed[n], **options), self.hops
+            lambda n: follow_raw(spark, self.hops[n], landing, self.landed[n], **options),
+            {n: f"{landing}/{n}" for n in self.hops},
+        )
+        self._run(
+            lambda n: follow_cleansed(spark, self.hops[n], rules_of(self.rules, n)),
+            {n: hop.log("raw") for n, hop in self.hops.items()},
         )
-        self._run(lambda n: follow_cleansed(spark, self.hops[n], rules_of(self.rules, n)), self.hops)
         for name in PROFILES:
             self._load_profile(name)
-        dims = [n for n, spec in DIMENSIONS.items() if spec.main in self.hops]
+        logs = {n: hop.log("cleansed") for n, hop in self.hops.items()}
         self._run(
             lambda n: follow_changed(
                 spark, self.hops[DIMENSIONS[n].main], n,
                 lambda rows, batch: self._load_dimension(n, rows, batch, as_of),
             ),
-            dims,
+            {n: logs[spec.main] for n, spec in DIMENSIONS.items() if spec.main in logs},
         )
-        facts = [n for n, main in FACTS.items() if main in self.hops]
         self._run(
             lambda n: follow_changed(
                 spark, self.hops[FACTS[n]], n, lambda rows, batch: self._load_fact(n, rows, batch, as_of)
             ),
-            facts,
+            {n: logs[main] for n, main in FACTS.items() if main in logs},
         )
 
     def load_object(self, name: str, as_of: date) -> DataFrame:

@@ -66,6 +66,14 @@ def test_change_log_shows_old_and_new_rows(spark, rows):
     ]
 
 
+def test_diff_of_rows_without_key(spark, rows):
+    old = spark.createDataFrame([(None, "a"), (1, "x")], "k int, v string")
+    new = spark.createDataFrame([(None, "b"), (None, "c"), (1, "x")], "k int, v string")
+    assert rows(cdc.snapshot_diff(old, new, ["k"])) == [
+        ("DELETE", None, "a"), ("INSERT", None, "b"), ("INSERT", None, "c"),
+    ]
+
+
 VERSION = st.dictionaries(st.integers(0, 5), st.one_of(st.none(), st.sampled_from("abc")), max_size=6)
 
 

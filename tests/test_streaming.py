@@ -125,6 +125,7 @@ def warehouse(spark, tmp_path_factory):
     for name, df in tables.items():
         land(name, df, "2024-01-01 00:00:00")
         schemas[name] = stamped(name, df, "2024-01-01 00:00:00").schema
+    schemas["repuestos"] = role_tables(spark, SF, "repuestos")["repuestos"].schema  # nothing landed yet
     store = Warehouse(
         spark, f"{root}/dw", schemas, buckets=2, calendar_days=(date(1995, 1, 1), date(2030, 12, 31)), retry=True
     )
