@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import compare, connect
+from strataflow.plans.oracle import ORACLE
+from strataflow.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name]) is None
 
