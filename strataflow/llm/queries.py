@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe
+from strataflow.llm import bpe, secrets, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,65 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "owned")
+
+    def listed(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def number(name, value):
+        return F.size(F.filter("spans", lambda s: s[name] == value)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[number("kind", k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        number("verdict", "live").alias("n_live"),
+    )
+
+
+SHARD_BYTES = 1 << 20  # small, so that a small corpus has several shards
+
+
+def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+OP4_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM documents
+), s AS (
+  SELECT depth, h >> (60 - depth) AS prefix, sum(bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+  FROM d, (SELECT unnest(range(0, 41))::INTEGER AS depth) GROUP BY ALL
+), f AS (
+  SELECT doc_id, h, min(depth) AS depth
+  FROM d JOIN s ON h >> (60 - depth) = prefix
+  WHERE shard_bytes <= {SHARD_BYTES} OR shard_rows = 1 GROUP BY ALL
+)
+SELECT doc_id, CASE WHEN f.depth = 0 THEN '' ELSE lpad(bin(prefix), f.depth, '0') END AS shard,
+       f.depth, shard_bytes, shard_rows
+FROM f JOIN s ON f.depth = s.depth AND f.h >> (60 - f.depth) = s.prefix
+"""
+
+
+# The contract's rules.
+URL_RULES = (
+    urls.Rule("com", "/", "allow"),
+    urls.Rule("example.com", "/en/", "block"),
+    urls.Rule("www.example.com", "/en/", "allow"),
+    urls.Rule("net", "/es/", "block"),
+    urls.Rule("net", "/fr/", "block"),
+)
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return coded.select(
@@ -34,7 +93,12 @@ def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_ownership": op1_secret_ownership,
+    "op4_extendible_sharding": op4_extendible_sharding,
     "op9_bpe_transducer": op9_bpe_transducer,
+    "op10_url_rules": op10_url_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_extendible_sharding": OP4_SQL,
+}
