@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, repeats, secrets, sharding, urls
+from strataflow.llm import bpe, repeats, secrets, setjoin, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.similar_sets(_table(spark, sf_dir, "documents"), 3, (90, 100))
+
+
 def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(_table(spark, sf_dir, "documents"), 13)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -99,6 +103,7 @@ def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_ownership": op1_secret_ownership,
+    "op2_grouped_prefix_join": op2_grouped_prefix_join,
     "op3_suffix_repeats": op3_suffix_repeats,
     "op4_extendible_sharding": op4_extendible_sharding,
     "op9_bpe_transducer": op9_bpe_transducer,
