@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, repeats, secrets, setjoin, sharding, urls
+from strataflow.llm import bpe, repeats, secrets, setjoin, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +91,20 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    part = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = toxicity.fit(docs, labels, F.coalesce(part != 2, F.lit(False)))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(part == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "threshold",
+        "toxic",
+    )
+
+
 def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return coded.select(
@@ -106,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op2_grouped_prefix_join": op2_grouped_prefix_join,
     "op3_suffix_repeats": op3_suffix_repeats,
     "op4_extendible_sharding": op4_extendible_sharding,
+    "op6_toxicity_cnn": op6_toxicity_cnn,
     "op9_bpe_transducer": op9_bpe_transducer,
     "op10_url_rules": op10_url_rules,
 }

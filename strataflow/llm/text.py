@@ -65,21 +65,30 @@ def hash_words(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     A word is a longest run without ASCII white space. ``lower`` folds A-Z.
     The second array has one entry more than the column has rows.
     """
+    data, starts, lengths, bounds = word_spans(column, lower=lower)
+    return span_hashes(data, starts, lengths), bounds
+
+
+def word_spans(
+    column: pa.Array, *, lower: bool = False, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all rows, start and length of each word, and where each row's words begin and end.
+
+    ``inside`` says for each byte value whether it is part of a word.
+    """
     data, offsets = _bytes(column)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     if lower:
         data = _LOWER[data]
-    inside = ~_IS_SPACE[data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    edges = offsets[:-1][offsets[:-1] < len(data)]
-    begins[edges] = inside[edges]
-    starts = np.flatnonzero(begins)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    lengths = np.diff(np.append(starts, len(data)))
-    return span_hashes(data, starts, lengths), np.searchsorted(starts, offsets)
+    part = np.zeros(len(data) + 1, bool)
+    part[:-1] = (~_IS_SPACE if inside is None else inside)[data]
+    begins, ends = part.copy(), part.copy()
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    begins[1:] &= ~part[:-1]
+    begins[edges] = part[edges]
+    ends[:-1] &= ~part[1:]
+    ends[edges - 1] = part[edges - 1]
+    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
+    return data, starts, stops + 1 - starts, np.searchsorted(starts, offsets)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
