@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, repeats, secrets, setjoin, sharding, toxicity, urls
+from strataflow.llm import bpe, metric, quality, repeats, secrets, setjoin, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +105,28 @@ def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op8_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = metric.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+
 def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return coded.select(
@@ -121,10 +143,13 @@ QUERIES: dict[str, Query] = {
     "op3_suffix_repeats": op3_suffix_repeats,
     "op4_extendible_sharding": op4_extendible_sharding,
     "op6_toxicity_cnn": op6_toxicity_cnn,
+    "op7_weak_label_quality": op7_weak_label_quality,
+    "op8_mtree_search": op8_mtree_search,
     "op9_bpe_transducer": op9_bpe_transducer,
     "op10_url_rules": op10_url_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op4_extendible_sharding": OP4_SQL,
+    "op8_mtree_search": OP8_SQL,
 }
