@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, metric, quality, repeats, secrets, setjoin, sharding, toxicity, urls
+from strataflow.llm import bpe, decontaminate, metric, quality, repeats, secrets, setjoin, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +91,11 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
     part = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -142,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "op2_grouped_prefix_join": op2_grouped_prefix_join,
     "op3_suffix_repeats": op3_suffix_repeats,
     "op4_extendible_sharding": op4_extendible_sharding,
+    "op5_spaced_seeds": op5_spaced_seeds,
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_weak_label_quality": op7_weak_label_quality,
     "op8_mtree_search": op8_mtree_search,
