@@ -312,41 +312,71 @@ def similar_sets(
     links = materialize(_verify(close, source, size, num, den), "links")
     roots = materialize(components(links), "roots")
 
-    # What stars could not tell: members of one list, or of paired groups, in different components.
-    placed = nodes.join(roots, nodes["sid"] == roots["node"], "left").select(nodes["*"], F.coalesce("root", "sid").alias("root"))
-    placed = materialize(placed, "placed")
-    members = found.where("kind = 1").select("tok", F.col("a").alias("gid"), "early").join(
-        placed.select("gid", "sid", "id", "n", "root", *_BITS), "gid"
-    )
-    open_lists = members.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("tok")
-    left = materialize(members.join(open_lists, "tok"), "open")
-    u, v = left.alias("x"), left.alias("y")
-    within = u.join(
-        v,
-        (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") != F.col("y.root")) & F.col("x.early")
-        & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.sid") != F.col("y.sid"))))
-        & _close(num, den),
-    ).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
     many = leaders.where("members > 1").select("gid")
     wide = group_pairs.join(many, group_pairs["a"] == many["gid"], "left_semi").union(
         group_pairs.join(many, group_pairs["b"] == many["gid"], "left_semi")
     ).union(many.select(F.col("gid").alias("a"), F.col("gid").alias("b"))).distinct()
-    p, q = placed.alias("x"), placed.alias("y")
+    lists = found.where("kind = 1").select("tok", F.col("a").alias("gid"), "early")
+
+    def placed(roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Nodes with their component so far, and the members of lists that hold several components."""
+        out = nodes.join(roots, nodes["sid"] == roots["node"], "left").select(nodes["*"], F.coalesce("root", "sid").alias("root"))
+        out = materialize(out, "placed")
+        members = lists.join(out.select("gid", "sid", "id", "n", "root", *_BITS), "gid")
+        several = members.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("tok")
+        return out, materialize(members.join(several, "tok"), "open")
+
+    ends = [F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")]
+
+    def unordered(pairs: DataFrame) -> DataFrame:
+        swap = F.col("a") > F.col("b")
+        return materialize(
+            pairs.select(
+                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("id_a"),
+                F.when(swap, F.col("id_a")).otherwise(F.col("id_b")).alias("id_b"),
+            ).distinct(),
+            "rest",
+        )
+
+    def linked(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        if pairs.isEmpty():
+            return links, roots
+        more = materialize(links.unionByName(_verify(pairs, source, size, num, den)), "links")
+        return more, materialize(components(more), "roots")
+
+    # Second stars: the centre is now the member that most open lists hold. An
+    # original is in more of them than its copies, whose own words are rare.
+    _, left = placed(roots)
+    often = left.groupBy("sid").agg(F.count("*").alias("lists"))
+    whole = F.struct("sid", "id", "n", "root", *_BITS)
+    centres = left.join(often, "sid").groupBy("tok").agg(F.max_by(whole, F.struct("lists", "sid")).alias("c")).select("tok", "c.*")
+    links, roots = linked(
+        unordered(
+            centres.alias("x").join(
+                left.alias("y"),
+                (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") != F.col("y.root")) & _close(num, den),
+            ).select(*ends)
+        )
+    )
+
+    # What stars could not tell: members of one list, or of paired groups, in different components.
+    nodes_placed, left = placed(roots)
+    within = left.alias("x").join(
+        left.alias("y"),
+        (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") != F.col("y.root")) & F.col("x.early")
+        & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.sid") != F.col("y.sid"))))
+        & _close(num, den),
+    ).select(*ends)
     across = (
-        wide.join(p, F.col("a") == F.col("x.gid"))
-        .join(q, (F.col("b") == F.col("y.gid")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.sid") != F.col("y.sid")) & _close(num, den))
-        .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
+        wide.join(nodes_placed.alias("x"), F.col("a") == F.col("x.gid"))
+        .join(
+            nodes_placed.alias("y"),
+            (F.col("b") == F.col("y.gid")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.sid") != F.col("y.sid")) & _close(num, den),
+        )
+        .select(*ends)
     )
-    swap = F.col("a") > F.col("b")
-    rest = within.unionByName(across).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-        F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("id_a"),
-        F.when(swap, F.col("id_a")).otherwise(F.col("id_b")).alias("id_b"),
-    ).distinct()
-    rest = materialize(rest, "rest")
-    if not rest.isEmpty():
-        links = links.unionByName(_verify(rest, source, size, num, den))
-        roots = materialize(components(links), "roots")
+    links, roots = linked(unordered(within.unionByName(across)))
     least = (
         nodes.join(roots, nodes["sid"] == roots["node"]).groupBy("root").agg(F.min("id").alias("least"))
         .join(roots, "root").select(F.col("node").alias("sid"), "least")
