@@ -169,3 +169,11 @@ def contamination(
         .select(F.col(id_col), "text_hash", spans.alias("spans"))
         .select(id_col, "text_hash", (F.size("spans") > 0).alias("contaminated"), F.transform("spans", lambda s: s["item"]).alias("items"), "spans")
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", **columns) -> DataFrame:
+    """The rows of ``docs`` that ``contamination`` does not flag, with all their columns."""
+    bad = materialize(leaks(docs, benchmark, text_col=text_col, **columns).select("text_hash").distinct(), "contaminated")
+    few = bad.count() <= BROADCAST_ROWS
+    own = F.xxhash64(docs[text_col].cast("string"))
+    return docs.join(F.broadcast(bad) if few else bad, own == bad["text_hash"], "left_anti")

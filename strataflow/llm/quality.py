@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,15 +129,16 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tup
     the answers from the posteriors and the posteriors from the answers.
     """
     bad, good = (patterns == BAD).sum(1), (patterns == GOOD).sum(1)
-    p = np.where(bad > 0, np.where(bad >= good, 0.95, 0.6), 0.02) if len(patterns) else np.zeros(0)
+    p = np.where(bad > 0, np.where(bad >= good, 0.95, 0.5), 0.02) if len(patterns) else np.zeros(0)
     p = np.where(bad + good == 0, 0.5, p)
     answers, share = np.ones((patterns.shape[1], 2, 3)), 0.5
     for _ in range(rounds):
         weight = np.stack([counts * (1 - p), counts * p], 1)
-        share = float((weight[:, 1].sum() + 1) / (counts.sum() + 2))
+        share = float((weight[:, 1].sum() + 1) / (counts.sum() + 5))
         for k in range(patterns.shape[1]):
             for vote in (GOOD, BAD):
                 answers[k, :, vote] = weight[patterns[:, k] == vote].sum(0) + 0.5
+                answers[k, vote, vote] += 4  # until shown otherwise, a labeller is mostly right
         answers[:, :, :SILENT] /= answers[:, :, :SILENT].sum(2, keepdims=True)
         chance = np.log([1 - share, share]) + sum(np.log(answers[k][:, patterns[:, k]]).T for k in range(patterns.shape[1]))
         new = 1 / (1 + np.exp(np.clip(chance[:, 0] - chance[:, 1], -50, 50)))
@@ -178,21 +180,10 @@ class LinearScorer:
         return cls(weights.astype(np.float64), float(bias))
 
 
-def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, reject: float = REJECT) -> DataFrame:
-    """One row per input row: ``id_col``, ``text_hash``, ``score`` (of being good), ``posterior_bad``
-    (of its votes), ``votes`` (a string of g, b and -) and ``rejected``.
-
-    The patterns of all texts are counted (at most 3^8 of them); the scorer is
-    fitted on at most ``rows`` texts, drawn by a hash of the text, with an equal
-    part from likely bad and likely good ones. A text is rejected when its score
-    is below ``reject`` and its labellers do not lean to good. Null and empty
-    texts have no votes and are judged by the prior: they are rejected only if
-    most of the corpus is. Null ids and repeated rows are kept; other columns
-    are not read; an empty table gives an empty result.
-    """
+def _fit(docs: DataFrame, text_col: str, rows: int) -> Broadcast:
+    """Scorer and posterior of each vote pattern, learnt from the texts of ``docs``."""
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    source = docs.select(F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +193,7 @@ def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 names = [bytes(v).decode() for v in np.array(list(b"gb-"), np.uint8)[texts.votes()]]
                 yield pa.RecordBatch.from_arrays([part.column("text_hash"), pa.array(names, pa.string()), pa.array(texts.words <= SAMPLE_WORDS)], ["text_hash", "votes", "short"])
 
-    voted = materialize(source.select("text", "text_hash").mapInArrow(vote, "text_hash bigint, votes string, short boolean"), "votes")
+    voted = materialize(source.mapInArrow(vote, "text_hash bigint, votes string, short boolean"), "votes")
     seen = voted.groupBy("votes").count().orderBy("votes").collect()
     patterns = np.array([["gb-".index(c) for c in r["votes"]] for r in seen], np.int64).reshape(len(seen), len(LABELLERS))
     counts = np.array([r["count"] for r in seen], np.float64)
@@ -225,7 +216,7 @@ def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     yield pa.RecordBatch.from_arrays([part.column("text_hash"), part.column("votes"), pa.array(packed, pa.binary())], ["text_hash", "votes", "features"])
 
         sample = (
-            source.select("text", "text_hash")
+            source
             .join(F.broadcast(chosen), "text_hash")  # ``rows`` hashes at most
             .mapInArrow(read, "text_hash bigint, votes string, features binary")
             .groupBy("text_hash").agg(F.min_by(F.struct("votes", "features"), "votes").alias("x"))
@@ -234,24 +225,55 @@ def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         )
         texts = [np.frombuffer(r["x"]["features"], np.int32) for r in sample]
         targets = [1 - bad[r["x"]["votes"]] for r in sample]
-    shared = spark.sparkContext.broadcast((LinearScorer.train(texts, np.array(targets)), bad))  # fixed size
+    return spark.sparkContext.broadcast((LinearScorer.train(texts, np.array(targets)), bad))  # fixed size
+
+
+def _judge(column: pa.Array, model: tuple[LinearScorer, dict[str, float]], reject: float):
+    """Score, posterior, votes and rejection of each text."""
+    scorer, known = model
+    t = _Texts(column)
+    names = [bytes(v).decode() for v in np.array(list(b"gb-"), np.uint8)[t.votes()]]
+    p = np.array([known[n] for n in names])
+    score = np.where(t.words > 0, scorer.scores(t.features(), t.bounds), 1 - p)
+    return score, p, names, (score < reject) & (p >= 0.5)
+
+
+def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, reject: float = REJECT) -> DataFrame:
+    """One row per input row: ``id_col``, ``score`` (of being good), ``posterior_bad`` (of its
+    votes), ``votes`` (a string of g, b and -) and ``rejected``.
+
+    The patterns of all texts are counted (at most 3^8 of them); the scorer is
+    fitted on at most ``rows`` texts, drawn by a hash of the text, with an equal
+    part from likely bad and likely good ones. A text is rejected when its score
+    is below ``reject`` and its labellers do not lean to good. Null and empty
+    texts have no votes and are judged by the prior: they are rejected only if
+    most of the corpus is. Null ids and repeated rows are kept; other columns
+    are not read; an empty table gives an empty result.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    model = _fit(docs, text_col, rows)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, known = shared.value
-        letters = np.array(list(b"gb-"), np.uint8)
         for batch in batches:
             for lo, hi in chunks(batch, "text"):
                 part = batch.slice(lo, hi - lo)
-                t = _Texts(text_column(part, "text"))
-                score = scorer.scores(t.features(), t.bounds)
-                names = [bytes(v).decode() for v in letters[t.votes()]]
-                p = np.array([known[n] for n in names])
-                score = np.where(t.words > 0, score, 1 - p)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("text_hash"), pa.array(score), pa.array(p), pa.array(names), pa.array((score < reject) & (p >= 0.5))],
-                    ["id", "text_hash", "score", "posterior_bad", "votes", "rejected"],
+                    [part.column("id"), *map(pa.array, _judge(text_column(part, "text"), model.value, reject))],
+                    ["id", "score", "posterior_bad", "votes", "rejected"],
                 )
 
-    return source.mapInArrow(
-        judge, f"id {kind}, text_hash bigint, score double, posterior_bad double, votes string, rejected boolean"
-    ).withColumnRenamed("id", id_col)
+    return source.mapInArrow(judge, f"id {kind}, score double, posterior_bad double, votes string, rejected boolean").withColumnRenamed("id", id_col)
+
+
+def keep_good(docs: DataFrame, *, text_col: str = "text", rows: int = SAMPLE_ROWS, reject: float = REJECT) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` does not reject, with all their columns and without a shuffle."""
+    model = _fit(docs, text_col, rows)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in chunks(batch, text_col):
+                part = batch.slice(lo, hi - lo)
+                yield part.filter(pa.array(~_judge(text_column(part, text_col), model.value, reject)[3]))
+
+    return docs.mapInArrow(judge, docs.schema)

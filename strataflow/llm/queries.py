@@ -111,7 +111,7 @@ def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(_table(spark, sf_dir, "documents")).drop("text_hash")
+    return quality.classify(_table(spark, sf_dir, "documents"))
 
 
 def op8_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -387,3 +387,22 @@ def similar_sets(
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))).alias("component_id"),
     )
+
+
+def keep_one(df: DataFrame, size: int = 5, similarity: tuple[int, int] = (80, 100), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the smallest id of each component, with all its columns.
+
+    Rows without an id all stay. Of several rows with one id that stays, one does.
+    """
+    first = materialize(
+        similar_sets(df, size, similarity, id_col=id_col, text_col=text_col)
+        .where(F.col(id_col).cast("bigint") == F.col("component_id"))
+        .groupBy(F.col("component_id").alias("_first")).agg((F.count("*") > 1).alias("_many")),
+        "first",
+    )
+    few = first.count() <= BROADCAST_IDS
+    kept = df.join(F.broadcast(first) if few else first, df[id_col].cast("bigint") == first["_first"], "left")
+    single = kept.where(f"`{id_col}` is null or not _many").select(*[df[c] for c in df.columns])
+    # Only ids that several rows share are compared with each other.
+    shared = kept.where("_many").select(*[df[c] for c in df.columns]).dropDuplicates([id_col])
+    return single.unionByName(shared)
