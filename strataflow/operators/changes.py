@@ -21,6 +21,8 @@ INSERT, DELETE = "INSERT", "DELETE"
 # columns that order changes, best first.
 SOFT_DELETE_COLUMNS = ("_is_deleted", "_dlt_deleted", "is_deleted", "borrado")
 ORDER_COLUMNS = ("fecha_modificacion", "fecha_registro")
+# What tells deliveries apart where a table has no such column.
+DELIVERY_COLUMNS = ("_dlt_load_id", "fecha_ingestion")
 
 
 def _by_lower(columns: Sequence[str]) -> dict[str, str]:
@@ -33,6 +35,12 @@ def order_column(columns: Sequence[str], fallback: str | None = None) -> str | N
     return next((known[c] for c in ORDER_COLUMNS if c in known), fallback)
 
 
+def change_order(columns: Sequence[str]) -> list[str]:
+    """What orders landed rows: their own date, or else the delivery that brought them."""
+    own, known = order_column(columns), _by_lower(columns)
+    return [own] if own else [known[c] for c in DELIVERY_COLUMNS if c in known]
+
+
 def soft_delete_column(columns: Sequence[str]) -> str | None:
     known = _by_lower(columns)
     return next((known[c] for c in SOFT_DELETE_COLUMNS if c in known), None)

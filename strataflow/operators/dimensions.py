@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from strataflow.functions.columns import date_key, decode
 from strataflow.operators.keys import assign_keys, last_key
@@ -20,28 +20,50 @@ WEEKDAYS = ("Lunes", "Martes", "Miercoles", "Jueves", "Viernes", "Sabado", "Domi
 CALENDAR_START, CALENDAR_END = date(2015, 1, 1), date(2030, 12, 31)
 
 
+def calendar_columns(day: Column) -> dict[str, Column]:
+    """Attributes of a day."""
+    month, weekday = F.month(day), F.weekday(day) + 1
+    return {
+        "sk_fecha": date_key(day),
+        "fecha": day,
+        "anio": F.year(day),
+        "semestre": F.when(month <= 6, 1).otherwise(2),
+        "trimestre": F.quarter(day),
+        "mes": month,
+        "nombre_mes": decode(month, dict(enumerate(MONTHS, 1))),
+        "semana_anio": F.weekofyear(day),
+        "dia": F.dayofmonth(day),
+        "dia_semana": weekday,
+        "nombre_dia": decode(weekday, dict(enumerate(WEEKDAYS, 1))),
+        "es_fin_semana": weekday >= 6,
+        "es_festivo": F.lit(False),
+    }
+
+
+def key_date(key: str) -> Column:
+    """The day of a date key."""
+    number = F.col(key).cast("int")
+    return F.make_date(F.floor(number / 10000).cast("int"), F.floor(number % 10000 / 100).cast("int"), number % 100)
+
+
+def with_day(rows: DataFrame, days: DataFrame, key: str, **named: str) -> DataFrame:
+    """``rows`` with the columns ``named`` (alias=attribute) of the day whose key they hold.
+
+    A day that the calendar ``days`` does not reach is worked out from its key,
+    so no row is lost. A row without a key is left out.
+    """
+    known = days.select(F.col("sk_fecha").alias(key), *(F.col(c).alias(f"_{a}") for a, c in named.items()))
+    own = calendar_columns(key_date(key))
+    joined = rows.filter(F.col(key).isNotNull()).join(F.broadcast(known), key, "left")
+    return joined.withColumns({a: F.coalesce(f"_{a}", own[c]) for a, c in named.items()}).drop(*(f"_{a}" for a in named))
+
+
 def calendar(spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
     days = spark.range((end - start).days + 1).select(
         F.date_add(F.lit(start), F.col("id").cast("int")).alias("fecha")
     )
-    month = F.month("fecha")
-    weekday = F.weekday("fecha") + 1
-    return days.select(
-        date_key(F.col("fecha")).alias("sk_fecha"),
-        "fecha",
-        F.year("fecha").alias("anio"),
-        F.when(month <= 6, 1).otherwise(2).alias("semestre"),
-        F.quarter("fecha").alias("trimestre"),
-        month.alias("mes"),
-        decode(month, dict(enumerate(MONTHS, 1))).alias("nombre_mes"),
-        F.weekofyear("fecha").alias("semana_anio"),
-        F.dayofmonth("fecha").alias("dia"),
-        weekday.alias("dia_semana"),
-        decode(weekday, dict(enumerate(WEEKDAYS, 1))).alias("nombre_dia"),
-        (weekday >= 6).alias("es_fin_semana"),
-        F.lit(False).alias("es_festivo"),
-    )
+    return days.select(*(value.alias(name) for name, value in calendar_columns(F.col("fecha")).items()))
 
 
 def combinations(spark: SparkSession, axes: Mapping[str, Sequence]) -> DataFrame:

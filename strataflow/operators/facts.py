@@ -13,7 +13,6 @@ from strataflow.functions.columns import micros
 from strataflow.operators.changes import rows_with_keys, unmatched
 from strataflow.session import materialize
 
-MAX_DAYS = 3650
 DAYS_PER_TASK = 2_000_000
 DAY_MICROS = 86_400_000_000
 
@@ -91,10 +90,12 @@ def daily_rows(
     day: str,
     as_of: date,
     loaded: DataFrame | None = None,
+    most_days: int | None = None,
 ) -> DataFrame:
     """One row per interval and day, with the visits of that day beside it.
 
-    Open intervals run to ``as_of``; none is expanded past ``MAX_DAYS`` days.
+    Open intervals run to ``as_of``. ``most_days`` cuts every interval after so
+    many days; by default none is cut.
     A day without a visit gives one row of NULLs, a day with several visits
     several rows. Days already in ``loaded`` ``(key, day)`` are left out.
 
@@ -103,9 +104,9 @@ def daily_rows(
     interval, the days left over are exploded in place, and visits join the
     interval itself. ``intervals`` is read three times: store it if it is costly.
     """
-    last = F.least(
-        F.coalesce(F.to_date(end), F.lit(as_of).cast("date")), F.date_add(F.to_date(start), MAX_DAYS - 1)
-    )
+    last = F.coalesce(F.to_date(end), F.lit(as_of).cast("date"))
+    if most_days is not None:
+        last = F.least(last, F.date_add(F.to_date(start), most_days - 1))
     spans = (
         intervals.withColumn("_from", F.to_date(start))
         .withColumn("_to", last)

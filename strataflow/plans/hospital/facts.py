@@ -24,6 +24,9 @@ from strataflow.operators.facts import (
 from strataflow.operators.scd import current_rows
 from strataflow.session import materialize
 
+# Fixed value: days after which the source system stops expanding a participation.
+PARITY_DAYS = 3650
+
 Tables = Mapping[str, DataFrame]
 
 # Codes of the sources and the texts the profiles hold.
@@ -198,9 +201,17 @@ def monitoring_fact(
 
 
 def trial_fact(
-    participations: DataFrame, tables: Tables, dims: Tables, as_of: date, fact: DataFrame | None = None
+    participations: DataFrame,
+    tables: Tables,
+    dims: Tables,
+    as_of: date,
+    fact: DataFrame | None = None,
+    parity: bool = False,
 ) -> DataFrame:
-    """One row per participation and day, up to ``as_of`` while it is open."""
+    """One row per participation and day, up to ``as_of`` while it is open.
+
+    With ``parity`` no participation goes past the source system's day limit.
+    """
     trials = (
         tables["ensayos_clinicos"].select("id_ensayo", "codigo_departamento")
         .join(_keys(dims["dim_ensayo"], "id_ensayo", "sk_ensayo"), "id_ensayo")
@@ -243,7 +254,7 @@ def trial_fact(
         loaded = fact.select("id_participacion", day.alias("fecha"))
     daily = daily_rows(
         intervals, visits, "id_participacion", "fecha_inicio_participacion",
-        "fecha_fin_participacion", "fecha_visita", "fecha", as_of, loaded,
+        "fecha_fin_participacion", "fecha_visita", "fecha", as_of, loaded, PARITY_DAYS if parity else None,
     )
     return daily.select(
         date_key(F.col("fecha")).alias("sk_fecha"),
@@ -275,7 +286,7 @@ def load_fact(
     if name == "fact_monitorizacion_pacientes":
         return monitoring_fact(batch, tables, dims, fact)
     if name == "fact_ensayos_clinicos":
-        return trial_fact(batch, tables, dims, as_of, fact)
+        return trial_fact(batch, tables, dims, as_of, fact, parity)
     raise ValueError(f"unknown fact {name!r}")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from strataflow.operators.dimensions import key_date, with_day
 from strataflow.operators.scd import current_rows
 from strataflow.plans.hospital.dimensions import ALL_DIMENSIONS, CURRENT_ONLY
 
@@ -22,9 +23,8 @@ def _versions(dim: DataFrame, all_versions: bool) -> DataFrame:
 
 
 def maintenance_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> DataFrame:
-    day = _pick(dims["dim_fecha"], "sk_fecha", (
-        "fecha", "anio", "semestre", "trimestre", "mes", "nombre_mes", "semana_anio", "dia",
-        "nombre_dia", "es_fin_semana"))
+    day = ("fecha", "anio", "semestre", "trimestre", "mes", "nombre_mes", "semana_anio", "dia",
+           "nombre_dia", "es_fin_semana")
     equipment = _pick(_versions(dims["dim_equipo"], all_versions), "sk_equipo", (
         "nombre_equipo", "numero_serie", "modelo", "clase_riesgo", "estado_equipo",
         "fecha_adquisicion", "fecha_fin_garantia"),
@@ -40,7 +40,7 @@ def maintenance_view(fact: DataFrame, dims: Tables, all_versions: bool = False)
     profile = _pick(dims["dim_perfil_mantenimiento"], "sk_perfil_mantenimiento", (
         "tipo_mantenimiento", "prioridad", "gravedad", "es_garantia", "requiere_parada_equipo"))
     wide = (
-        fact.join(F.broadcast(day), "sk_fecha")
+        with_day(fact, dims["dim_fecha"], "sk_fecha", **{c: c for c in day})
         .join(equipment, "sk_equipo")
         .join(technician, "sk_tecnico")
         .join(department, "sk_departamento")
@@ -52,8 +52,7 @@ def maintenance_view(fact: DataFrame, dims: Tables, all_versions: bool = False)
 
 
 def monitoring_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> DataFrame:
-    day = _pick(dims["dim_fecha"], "sk_fecha", (
-        "fecha", "anio", "trimestre", "mes", "nombre_mes", "nombre_dia", "es_fin_semana"))
+    day = ("fecha", "anio", "trimestre", "mes", "nombre_mes", "nombre_dia", "es_fin_semana")
     patient = _pick(_versions(dims["dim_paciente"], all_versions), "sk_paciente", (
         "fecha_nacimiento", "genero", "grupo_sanguineo", "seguro_medico", "tipo_seguro"),
         nombre_paciente="nombre", apellidos_paciente="apellidos", ciudad_paciente="ciudad")
@@ -67,7 +66,7 @@ def monitoring_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -
         "codigo_cie10", "descripcion_diagnostico", "es_cronico"),
         categoria_diagnostico="categoria", subcategoria_diagnostico="subcategoria")
     wide = (
-        fact.join(F.broadcast(day), "sk_fecha")
+        with_day(fact, dims["dim_fecha"], "sk_fecha", **{c: c for c in day})
         .join(patient, "sk_paciente")
         .join(physician, "sk_medico")
         .join(equipment, "sk_equipo")
@@ -80,10 +79,6 @@ def monitoring_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -
 
 def trial_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> DataFrame:
     days = dims["dim_fecha"]
-    visit = _pick(days, "sk_fecha", (), fecha_visita="fecha", anio_visita="anio",
-                  trimestre_visita="trimestre", mes_visita="mes", nombre_mes_visita="nombre_mes")
-    first = days.select(F.col("sk_fecha").alias("sk_fecha_inicio"),
-                        F.col("fecha").alias("fecha_inicio_participacion"))
     last = days.select(F.col("sk_fecha").alias("sk_fecha_fin"),
                        F.col("fecha").alias("fecha_fin_participacion"))
     trial = _pick(dims["dim_ensayo"], "sk_ensayo", (
@@ -97,12 +92,16 @@ def trial_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> Dat
     diagnosis = _pick(dims["dim_diagnostico"], "sk_diagnostico", (
         "codigo_cie10", "descripcion_diagnostico", "es_cronico"), categoria_diagnostico="categoria")
     department = _pick(dims["dim_departamento"], "sk_departamento", ("nombre_departamento",))
+    dated = with_day(
+        fact, days, "sk_fecha", fecha_visita="fecha", anio_visita="anio", trimestre_visita="trimestre",
+        mes_visita="mes", nombre_mes_visita="nombre_mes",
+    )
+    dated = with_day(dated, days, "sk_fecha_inicio", fecha_inicio_participacion="fecha")
     profile = _pick(dims["dim_perfil_ensayo"], "sk_perfil_ensayo", (
         "fase_ensayo", "tipo_ciego", "tipo_aleatorizacion", "grupo_tratamiento", "via_administracion"))
     wide = (
-        fact.join(F.broadcast(visit), "sk_fecha")
-        .join(F.broadcast(first), "sk_fecha_inicio")
-        .join(F.broadcast(last), "sk_fecha_fin", "left")
+        dated.join(F.broadcast(last), "sk_fecha_fin", "left")
+        .withColumn("fecha_fin_participacion", F.coalesce("fecha_fin_participacion", key_date("sk_fecha_fin")))
         .join(trial, "sk_ensayo")
         .join(patient, "sk_paciente")
         .join(physician, "sk_medico")

@@ -262,8 +262,8 @@ PARTS["fact_monitorizacion_pacientes"] = f"""
 
 
 def _days(table: str, start: str, end: str, as_of: str) -> str:
-    """Each row once per day of its interval, at most 3650 times."""
-    length = f"least(CAST(COALESCE({end}, {as_of}) - {start} AS BIGINT) + 1, 3650)"
+    """Each row once per day of its interval."""
+    length = f"CAST(COALESCE({end}, {as_of}) - {start} AS BIGINT) + 1"
     return f"""SELECT b.*, b.{start} + CAST(b.n AS INTEGER) AS dia_fecha
                FROM (SELECT a.*, unnest(range(0, greatest({length}, 0))) AS n FROM {table} a) b"""
 
@@ -605,6 +605,7 @@ BODIES: dict[str, str] = {
     "fact_ensayos_two_loads": "SELECT * FROM fact_ensayos_clinicos",
     "fact_mantenimiento_two_loads": "SELECT * FROM fact_mantenimiento_equipos",
     **{name.replace("fact_", "view_"): _wide(name) for name in WIDE},
+    "view_mantenimiento_calendar": _wide("fact_mantenimiento_equipos"),
     "fact_order_cost": f"""
         SELECT o.o_orderkey, {_dates('o.o_orderdate')} AS sk_fecha, n_name,
                round(l.coste, 4) AS coste_repuestos, round(l.piezas, 4) AS piezas,
@@ -638,6 +639,21 @@ BODIES: dict[str, str] = {
                l.l_quantity
         FROM ({_days('pedidos_intervalo', 'desde', 'hasta', AS_OF)}) p
         LEFT JOIN lineitem l ON l.l_orderkey = p.o_orderkey AND CAST(l.l_shipdate AS DATE) = p.dia_fecha""",
+    "fact_daily_long": """
+        SELECT s_suppkey, n_days, DATE '1990-01-01' AS primero, CAST(DATE '1990-01-01' + n_days - 1 AS DATE) AS ultimo
+        FROM (SELECT s_suppkey, CAST(3600 + s_suppkey % 100 AS INTEGER) AS n_days FROM supplier)""",
+    "fact_daily_long_parity": """
+        SELECT s_suppkey, n_days, DATE '1990-01-01' AS primero, CAST(DATE '1990-01-01' + n_days - 1 AS DATE) AS ultimo
+        FROM (SELECT s_suppkey, CAST(CASE WHEN s_suppkey % 100 > 50 THEN 3650 ELSE 3600 + s_suppkey % 100 END AS INTEGER)
+              AS n_days FROM supplier)""",
+    "cdc_load_order": """
+        SELECT lado, p_partkey, p_name, p_size + 1 AS p_size FROM part,
+               (SELECT unnest(['fecha', 'carga']) AS lado)""",
+    "src_csv_dialect": """
+        SELECT CAST(p_partkey AS VARCHAR) AS codigo,
+               p_name || ' ""x"" ; ' || chr(10) || p_brand AS nombre,
+               CASE WHEN p_size <= 25 THEN '' END AS nota
+        FROM part""".replace('""x""', '"x"'),
     "fact_insert_only": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
                CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice FROM orders""",

@@ -39,7 +39,7 @@ from strataflow.plans.hospital.dimensions import (
     TRIAL_PROFILE,
     load_dimension,
 )
-from strataflow.plans.hospital.facts import FACTS, load_fact
+from strataflow.plans.hospital.facts import FACTS, PARITY_DAYS, load_fact
 from strataflow.plans.hospital.views import FACT_VIEWS
 from strataflow.plans.roles import ROLES, base_tables, cleansed_tables, portable, role_tables
 from strataflow.session import materialize, scratch_path
@@ -103,6 +103,25 @@ def src_csv_new_files(spark, sf_dir):
     })
 
 
+@query
+def src_csv_dialect(spark, sf_dir):
+    """Two files with their columns in another order; quotes, separators and line breaks in fields."""
+    part = base_tables(spark, sf_dir)["part"]
+    root = scratch_path(spark, "feed")
+    feed = CsvFeed("productos", f"{root}/in")
+    small = F.col("p_size") <= 25
+    rows = part.select(
+        F.col("p_partkey").cast("string").alias("codigo"),
+        F.concat("p_name", F.lit(' "x" ; \n'), "p_brand").alias("nombre"),
+        F.when(small, "").alias("nota"),
+        small.alias("pequeno"),
+    )
+    for picked, columns in ((F.col("pequeno"), ("codigo", "nombre", "nota")), (~F.col("pequeno"), ("nota", "codigo", "nombre"))):
+        rows.filter(picked).select(*columns).write.mode("append").csv(feed.folder, sep=";", header=True, escape='"')
+    land(spark, feed, f"{root}/landing", datetime(2024, 1, 1))
+    return spark.read.parquet(f"{root}/landing/{feed.table}").select("codigo", "nombre", "nota")
+
+
 @query
 def src_csv_stream(spark, sf_dir):
     """The same feed read as a stream, run twice on one checkpoint."""
@@ -270,6 +289,27 @@ def cdc_stream_refresh(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
+@query
+def cdc_load_order(spark, sf_dir):
+    """Two deliveries of one key wait together; without a date column the later one wins,
+    by the time it landed or by its load."""
+    part = base_tables(spark, sf_dir)["part"].select("p_partkey", "p_name", "p_size")
+    root = scratch_path(spark, "order")
+    sides = []
+    for side, column, marks in (
+        ("fecha", "fecha_ingestion", [datetime(2024, 1, 1), datetime(2024, 1, 2)]),
+        ("carga", "_dlt_load_id", ["1704067200.1", "1704153600.2"]),
+    ):
+        older, newer = (
+            part.withColumn("p_size", F.col("p_size") + k).withColumn(column, F.lit(mark)) for k, mark in enumerate(marks)
+        )
+        newer.unionByName(older).write.parquet(f"{root}/landing/{side}")
+        hop = Hop(side, ("p_partkey",), without_technical(older).schema, root, buckets=4)
+        follow_raw(spark, hop, f"{root}/landing", older.schema).awaitTermination()
+        sides.append(hop.raw(spark).read("rows").select(F.lit(side).alias("lado"), "p_partkey", "p_name", "p_size"))
+    return sides[0].unionByName(sides[1])
+
+
 # --- data quality --------------------------------------------------------------
 
 
@@ -487,10 +527,12 @@ def dim_prefix_strip(spark, sf_dir):
 @query
 def dim_enriched_lookup(spark, sf_dir):
     t = base_tables(spark, sf_dir)
-    nation = t["nation"].filter(F.col("n_nationkey") < 20).select("n_nationkey", "n_name", "n_regionkey")
+    nation = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
+    # every fifth nation code is moved out of the lookup's range, so that it is missed
+    code = F.when(F.col("c_nationkey") >= 20, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))
     return (
         t["customer"]
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(nation, code == F.col("n_nationkey"), "left")
         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
             "c_custkey",
@@ -631,6 +673,14 @@ def view_mantenimiento_equipos(spark, sf_dir):
     return _view(spark, sf_dir, "fact_mantenimiento_equipos")
 
 
+@query
+def view_mantenimiento_calendar(spark, sf_dir):
+    """The same view with the default calendar, which none of the orders falls into."""
+    fact = stored(spark, sf_dir, "fact_mantenimiento_equipos", lambda: _fact(spark, sf_dir, "fact_mantenimiento_equipos"))
+    dims = star_dimensions(spark, sf_dir, *FACT_INPUTS["fact_mantenimiento_equipos"][1])
+    return FACT_VIEWS["fact_mantenimiento_equipos"](fact, dims | {"dim_fecha": calendar(spark)})
+
+
 @query
 def view_monitorizacion_pacientes(spark, sf_dir):
     return _view(spark, sf_dir, "fact_monitorizacion_pacientes")
@@ -738,6 +788,30 @@ def fact_daily_expansion(spark, sf_dir):
     return daily_rows(orders, visits, "o_orderkey", "desde", "hasta", "l_shipdate", "dia", AS_OF)
 
 
+def _long_intervals(spark, sf_dir, most_days):
+    """Intervals of 3,600 days and more, open ones without visits, counted by day."""
+    suppliers = base_tables(spark, sf_dir)["supplier"].select("s_suppkey")
+    start = F.lit("1990-01-01").cast("date")
+    spans = suppliers.select(
+        "s_suppkey", start.alias("desde"), F.date_add(start, (F.col("s_suppkey") % 100 + 3599).cast("int")).alias("hasta")
+    )
+    visits = suppliers.select("s_suppkey", F.lit("1980-01-01").cast("date").alias("visita"))
+    daily = daily_rows(spans, visits, "s_suppkey", "desde", "hasta", "visita", "dia", AS_OF, most_days=most_days)
+    return daily.groupBy("s_suppkey").agg(
+        F.count("*").cast("int").alias("n_days"), F.min("dia").alias("primero"), F.max("dia").alias("ultimo")
+    )
+
+
+@query
+def fact_daily_long(spark, sf_dir):
+    return _long_intervals(spark, sf_dir, None)
+
+
+@query
+def fact_daily_long_parity(spark, sf_dir):
+    return _long_intervals(spark, sf_dir, PARITY_DAYS)
+
+
 @query
 def fact_insert_only(spark, sf_dir):
     orders = base_tables(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")

@@ -19,6 +19,7 @@ from strataflow.operators.changes import (
     INSERT,
     apply_changes,
     change_log,
+    change_order,
     effective_changes,
     newest_change,
     order_column,
@@ -58,14 +59,18 @@ def _write_log(rows: DataFrame, path: str, batch: int) -> None:
 
 
 def raw_batch(hop: Hop, rows: DataFrame, batch: int, guard: bool = False) -> None:
-    """Merge landed rows into the raw table and log what changed."""
+    """Merge landed rows into the raw table and log what changed.
+
+    The newest row of a key is chosen while the loader's columns are still
+    there: they tell deliveries apart in a table without dates of its own.
+    """
     spark = rows.sparkSession
     table = hop.raw(spark)
     if table.holds(batch):
         return
     order = order_column(rows.columns)
-    changes = newest_change(rows.withColumn(ACTION, F.lit(INSERT)), hop.keys, [order] if order else [])
-    changes = materialize(changes, "changes")
+    changes = newest_change(rows.withColumn(ACTION, F.lit(INSERT)), hop.keys, change_order(rows.columns))
+    changes = materialize(without_technical(changes), "changes")
     buckets = table.touched(changes)
     target = table.read("rows", buckets)
     changes = effective_changes(
@@ -137,7 +142,7 @@ def follow_raw(
     only if its rows are not older."""
     return follow(
         spark, f"{landing}/{hop.name}", schema, f"{hop.root}/raw/{hop.name}/checkpoint",
-        lambda rows, batch: raw_batch(hop, without_technical(rows), batch, guard), **options,
+        lambda rows, batch: raw_batch(hop, rows, batch, guard), **options,
     )
 
 

@@ -92,10 +92,10 @@ SPAN, VISIT = "k int, desde date, hasta date", "k int, cuando timestamp, n int"
 AS_OF = date(2024, 1, 10)
 
 
-def _daily(spark, spans, visits=(), loaded=None):
+def _daily(spark, spans, visits=(), loaded=None, most_days=None):
     return daily_rows(
         spark.createDataFrame(list(spans), SPAN), spark.createDataFrame(list(visits), VISIT),
-        "k", "desde", "hasta", "cuando", "dia", AS_OF, loaded,
+        "k", "desde", "hasta", "cuando", "dia", AS_OF, loaded, most_days,
     )
 
 
@@ -108,12 +108,16 @@ def test_daily_rows(spark):
     ]
     out = _daily(spark, spans, visits)
     by_key = {r[0]: r[1] for r in out.groupBy("k").count().collect()}
-    assert by_key == {1: 4, 2: 3, 5: 3650}
+    whole = (date(2024, 1, 1) - date(2000, 1, 1)).days + 1
+    assert by_key == {1: 4, 2: 3, 5: whole}
     first = sorted((r.dia, r.n) for r in out.filter("k = 1").collect() if r.n is not None)
     assert first == [(j(2), 10), (j(2), 11)]
     quiet = sorted(r.dia for r in out.filter("k = 1 AND n IS NULL").collect())
     assert quiet == [j(1), j(3)]
-    assert out.filter("k = 5").agg(F.max("dia")).first()[0] == date(2000, 1, 1) + timedelta(days=3649)
+    assert out.filter("k = 5").agg(F.max("dia")).first()[0] == j(1)
+    cut = _daily(spark, spans, visits, most_days=3650)
+    assert {r[0]: r[1] for r in cut.groupBy("k").count().collect()} == {1: 4, 2: 3, 5: 3650}
+    assert cut.filter("k = 5").agg(F.max("dia")).first()[0] == date(2000, 1, 1) + timedelta(days=3649)
 
 
 def test_daily_rows_leave_loaded_days_out(spark):

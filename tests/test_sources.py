@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F, types as T
 
 from strataflow.sources.files import FILE, INGESTED, new_files, stream_csv_feed
@@ -110,3 +112,29 @@ def test_csv_stream_remembers_files(spark, tmp_path, rows):
     landed = spark.read.parquet(f"{tmp_path}/out")
     assert rows(landed, "codigo", FILE) == [("1", "a.csv"), ("2", "b.csv")]
     assert landed.filter(F.col(INGESTED).isNull()).isEmpty()
+
+
+def test_csv_files_are_read_by_their_own_header(spark, tmp_path, rows):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text('codigo;nombre\n1;"tres ""x"" fin"\n2;"dos\nlineas; una"\n', encoding="utf-8")
+    (folder / "b.csv").write_text('nombre;codigo;extra\n"";3;\n;4;e\n', encoding="utf-8")
+    assert land(spark, CsvFeed("productos", str(folder)), f"{tmp_path}/out", NOW) is True
+    landed = spark.read.parquet(f"{tmp_path}/out/productos")
+    assert rows(landed, "codigo", "nombre", "extra") == [
+        ("1", 'tres "x" fin', None), ("2", "dos\nlineas; una", None), ("3", "", None), ("4", None, "e"),
+    ]
+
+
+def test_csv_stream_stops_at_another_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("nombre;codigo\nx;1\n", encoding="utf-8")
+    query = (
+        stream_csv_feed(spark, str(folder), ["codigo", "nombre"]).writeStream.format("parquet")
+        .option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    )
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+    assert "header" in str(query.exception()).lower()
+    assert not list((tmp_path / "out").glob("*.parquet"))

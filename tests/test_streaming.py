@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -36,6 +36,20 @@ def _hop(root):
     return Hop("cosas", ("id",), ROW, str(root), buckets=3)
 
 
+def test_later_deliveries_win_without_a_date_column(spark, tmp_path):
+    rows = "id int, v int, _dlt_load_id string, fecha_ingestion timestamp"
+    stamp = [datetime(2024, 1, 1), datetime(2024, 1, 2)]
+    for n, data in enumerate((
+        [(1, 9, "b", stamp[0]), (1, 5, "a", stamp[1])],  # the load decides before the time it landed
+        [(1, 5, None, stamp[0]), (1, 9, None, stamp[1])],
+    )):
+        landed = spark.createDataFrame(data, rows)
+        schema = T.StructType([f for f in landed.schema.fields if not f.name.startswith("_")])
+        hop = Hop("sin_fecha", ("id",), schema, f"{tmp_path}/{n}", buckets=2)
+        raw_batch(hop, landed, 0)
+        assert [(r.id, r.v) for r in hop.raw(spark).read("rows").collect()] == [(1, 9)]
+
+
 def _log(spark, hop):
     return spark.read.schema(log_schema(ROW)).parquet(hop.log("raw"))
 
