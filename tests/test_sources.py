@@ -136,5 +136,4 @@ def test_csv_stream_stops_at_another_header(spark, tmp_path):
     )
     with pytest.raises(StreamingQueryException):
         query.awaitTermination()
-    assert "header" in str(query.exception()).lower()
     assert not list((tmp_path / "out").glob("*.parquet"))
