@@ -100,16 +100,18 @@ def maintenance_fact(
         consumption = rows_with_keys(consumption, orders, ["id_orden"])
         history = rows_with_keys(history, orders, ["id_equipo"])
 
-    equipment = (
+    # stored, as are the technicians: the order side of the joins below may then be
+    # split at a hot piece of equipment or technician
+    equipment = materialize(
         tables["equipos"]
         .select("id_equipo", "id_departamento", "id_ubicacion", "id_fabricante")
         .join(_keys(current_rows(dims["dim_equipo"]), "id_equipo", "sk_equipo"), "id_equipo")
         .join(_keys(dims["dim_departamento"], "id_departamento", "sk_departamento"), "id_departamento")
         .join(_keys(dims["dim_ubicacion"], "id_ubicacion", "sk_ubicacion"), "id_ubicacion")
         .join(_keys(dims["dim_fabricante"], "id_fabricante", "sk_fabricante"), "id_fabricante")
-        .drop("id_departamento", "id_ubicacion", "id_fabricante")
+        .drop("id_departamento", "id_ubicacion", "id_fabricante"),
+        "equipment",
     )
-    # stored, so that the order side of the join below may be split at a hot technician
     technicians = materialize(
         tables["tecnicos"]
         .select("id_tecnico", "tarifa_hora")
@@ -212,12 +214,14 @@ def trial_fact(
 
     With ``parity`` no participation goes past the source system's day limit.
     """
-    trials = (
+    # stored, so that the participations may be split at a hot trial
+    trials = materialize(
         tables["ensayos_clinicos"].select("id_ensayo", "codigo_departamento")
         .join(_keys(dims["dim_ensayo"], "id_ensayo", "sk_ensayo"), "id_ensayo")
         .join(tables["departamentos"].select("codigo_departamento", "id_departamento"), "codigo_departamento")
         .join(_keys(dims["dim_departamento"], "id_departamento", "sk_departamento"), "id_departamento")
-        .select("id_ensayo", "sk_ensayo", "sk_departamento")
+        .select("id_ensayo", "sk_ensayo", "sk_departamento"),
+        "trials",
     )
     rows = (
         participations.join(trials, "id_ensayo")
