@@ -60,6 +60,15 @@ class _Sets:
         return total[self.bounds[1:]] - total[self.bounds[:-1]]
 
 
+def _planes(counts: np.ndarray) -> bytes:
+    """Counts as four byte planes: the upper ones are nearly all zero, which compresses well."""
+    return counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _counted(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def _counts(source: DataFrame, size: int) -> np.ndarray:
     """How often shingles fall in each of 2^ORDER_BITS buckets, as 4 * log2 (one byte each)."""
     width = (1 << ORDER_BITS) // SLICES
@@ -72,11 +81,11 @@ def _counts(source: DataFrame, size: int) -> np.ndarray:
                 table += np.bincount((sets.hash >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(table))
         if table.any():
             yield pa.RecordBatch.from_pydict(
-                {"slice": pa.array(range(SLICES), pa.int32()), "n": [table[k * width : (k + 1) * width].astype("<u4").tobytes() for k in range(SLICES)]}
+                {"slice": pa.array(range(SLICES), pa.int32()), "n": [_planes(table[k * width : (k + 1) * width]) for k in range(SLICES)]}
             )
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b, "<u4").astype(np.int64) for b in table.column("n").to_pylist())
+        total = sum(_counted(b) for b in table.column("n").to_pylist())
         return pa.table({"slice": table.column("slice")[:1], "n": [np.floor(4 * np.log2(1 + total)).astype(np.uint8).tobytes()]})
 
     order = np.zeros(1 << ORDER_BITS, np.uint8)
@@ -99,6 +108,16 @@ def _out(kind: int, rows: int, **columns) -> pa.Table:
     return pa.table({f.name: pa.array(given[f.name], f.type) if f.name in given else pa.nulls(rows, f.type) for f in _OUT_SCHEMA}, schema=_OUT_SCHEMA)
 
 
+def _six(values: np.ndarray) -> bytes:
+    """Numbers of 48 bits, in six bytes each."""
+    return (values & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (values >> np.uint64(32)).astype(np.uint16).tobytes()
+
+
+def _six_back(blob: bytes, n: int, at: int) -> np.ndarray:
+    low, high = np.frombuffer(blob, np.uint32, n, at), np.frombuffer(blob, np.uint16, n, at + 4 * n)
+    return (high.astype(np.uint64) << np.uint64(32)) | low
+
+
 def _postings(part: pa.RecordBatch, size: int, num: int, den: int, order: np.ndarray, groups: int) -> Iterator[tuple[int, int, bytes]]:
     """(group, kind, blob): nodes of the rows (kind 3) and postings of their prefixes (kind 0)."""
     sets = _Sets(text_column(part, "text"), size)
@@ -113,7 +132,8 @@ def _postings(part: pa.RecordBatch, size: int, num: int, den: int, order: np.nda
     index = n - -(-2 * num * n // (num + den)) + 1
     head = place < probe[row]
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.where(head, mix(hashes + np.uint64(1)), np.uint64(0)))])
-    gid = mix(total[sets.bounds[1:]] - total[sets.bounds[:-1]] + n.astype(np.uint64)).view(np.int64)
+    # 48 bits are enough for tokens and groups: a clash only makes one more candidate.
+    gid = (mix(total[sets.bounds[1:]] - total[sets.bounds[:-1]] + n.astype(np.uint64)) >> np.uint64(16)).view(np.int64)
     flips = np.bincount(row * MAP_BITS + (hashes & np.uint64(MAP_BITS - 1)).astype(np.int64), minlength=len(n) * MAP_BITS) & 1
     bitmap = np.packbits(flips.astype(np.uint8).reshape(len(n), MAP_BITS), axis=1).view(np.int64) if len(n) else np.zeros((0, _WORDS), np.int64)
     plain = ids.fill_null(0).to_numpy(zero_copy_only=False)
@@ -136,8 +156,8 @@ def _postings(part: pa.RecordBatch, size: int, num: int, den: int, order: np.nda
         yield int(group[mine[0]]), 0, b"".join(
             (
                 np.array([len(mine)], np.int64).tobytes(),
-                tok[mine].tobytes(),
-                owner[mine].tobytes(),
+                _six(tok[mine] >> np.uint64(16)),
+                _six(owner[mine].view(np.uint64)),
                 n[row[pick[mine]]].astype(np.int32).tobytes(),
                 (early[mine] | (parts[mine] > 1).astype(np.uint8) << 1).astype(np.uint8).tobytes(),
             )
@@ -159,7 +179,10 @@ def _lists(table: pa.Table, num: int, den: int) -> pa.Table:
         columns = []
         for blob in blobs:
             (k,) = np.frombuffer(blob, np.int64, 1)
-            columns.append([np.frombuffer(blob, t, k, o) for t, o in ((np.uint64, 8), (np.int64, 8 + 8 * k), (np.int32, 8 + 16 * k), (np.uint8, 8 + 20 * k))])
+            columns.append(
+                [_six_back(blob, k, 8), _six_back(blob, k, 8 + 6 * k).view(np.int64)]
+                + [np.frombuffer(blob, t, k, o) for t, o in ((np.int32, 8 + 12 * k), (np.uint8, 8 + 16 * k))]
+            )
         tok, gid, n, flags = (np.concatenate(c) for c in zip(*columns))
         at = np.lexsort((gid, n, tok))
         tok, gid, n, flags = tok[at], gid[at], n[at], flags[at]
@@ -202,10 +225,24 @@ def _close(num: int, den: int, left: str = "x", right: str = "y"):
 def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Of pairs (a, b, id_a, id_b) of nodes, those whose texts are similar enough."""
     pairs = materialize(pairs, "pairs")
-    needed = pairs.select(F.col("id_a").alias("id")).union(pairs.select("id_b")).distinct()
+    # The node with more pairs becomes the left one: few left texts meet many right ones.
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).groupBy("node").agg(F.count("*").alias("deg"))
+    left = F.struct(F.col("p.deg"), F.col("a")) >= F.struct(F.col("q.deg"), F.col("b"))
+    pairs = materialize(
+        pairs.join(ends.alias("p"), F.col("a") == F.col("p.node")).join(ends.alias("q"), F.col("b") == F.col("q.node")).select(
+            F.when(left, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(left, F.col("b")).otherwise(F.col("a")).alias("b"),
+            F.when(left, F.col("id_a")).otherwise(F.col("id_b")).alias("id_a"), F.when(left, F.col("id_b")).otherwise(F.col("id_a")).alias("id_b"),
+        ),
+        "pairs",
+    )
+    needed = (
+        pairs.select(F.col("id_a").alias("id"), F.lit(True).alias("is_a"), F.lit(False).alias("is_b"))
+        .union(pairs.select("id_b", F.lit(False), F.lit(True)))
+        .groupBy("id").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b"))
+    )
     needed = materialize(needed, "needed")
     small = needed.count() <= BROADCAST_IDS
-    texts = source.join(F.broadcast(needed) if small else needed, "id", "left_semi")
+    texts = source.join(F.broadcast(needed) if small else needed, "id")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -216,13 +253,16 @@ def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int)
                 new = [k for k, s in enumerate(sid.tolist()) if s not in seen and not seen.add(s)]
                 if len(seen) > 1_000_000:
                     seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(sid[new]), part.column("text").take(pa.array(new, pa.int64()))], ["sid", "text"])
+                picked = part.take(pa.array(new, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sid[new]), picked.column("text"), picked.column("is_a"), picked.column("is_b")], ["sid", "text", "is_a", "is_b"]
+                )
 
-    named = texts.mapInArrow(name, "sid bigint, text string")
+    named = texts.select("text", "is_a", "is_b").mapInArrow(name, "sid bigint, text string, is_a boolean, is_b boolean")
     both = (
         pairs.select("a", "b")
-        .join(named.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(named.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(named.where("is_b").select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(named.where("is_a").select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
     )
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
