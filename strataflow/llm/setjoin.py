@@ -259,9 +259,10 @@ def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int)
                 )
 
     named = texts.select("text", "is_a", "is_b").mapInArrow(name, "sid bigint, text string, is_a boolean, is_b boolean")
+    ends = pairs.select("a", "b")
     both = (
-        pairs.select("a", "b")
-        .join(named.where("is_b").select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
+        named.where("is_b").select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
+        .join(F.broadcast(ends) if pairs.count() <= BROADCAST_IDS else ends, "b")
         .join(named.where("is_a").select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
     )
 
