@@ -8,6 +8,8 @@ verified word by word.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,34 +44,54 @@ def _keys(hashes: Column, n: Column, number: int, mask: tuple[int, ...]) -> Colu
     return F.when(n >= _span(mask), keys).otherwise(F.array().cast("array<bigint>"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _stretch(item: Column, text: Column, shift: Column) -> Column:
-    """The best stretch of the aligned words: +1 for a like word, -2 for another.
+    """The stretch of the aligned words with the most like words of all that are alike enough.
 
-    Struct (first, last, alike): places in the text, the last exclusive.
+    Struct (first, last, alike): places in the text, the last exclusive; null
+    without a like word. Of several the first.
     """
     low = F.greatest(F.lit(0), -shift)
     high = F.least(F.size(item), F.size(text) - shift)
-    start = F.struct(F.lit(0).alias("score"), low.alias("from"), F.lit(0).alias("top"), low.alias("first"), low.alias("last"))
-
-    def step(acc: Column, j: Column) -> Column:
-        gain = F.when(F.get(item, j) == F.get(text, j + shift), 1).otherwise(-2)
-        score = F.greatest(F.lit(0), acc["score"] + gain)
-        begin = F.when(score > 0, acc["from"]).otherwise(j + 1)
-        more = score > acc["top"]
-        return F.struct(
-            score.alias("score"),
-            begin.alias("from"),
-            F.when(more, score).otherwise(acc["top"]).alias("top"),
-            F.when(more, begin).otherwise(acc["first"]).alias("first"),
-            F.when(more, j + 1).otherwise(acc["last"]).alias("last"),
-        )
-
-    def finish(acc: Column) -> Column:
-        # score = alike - 2 * (length - alike)
-        alike = ((acc["top"] + (acc["last"] - acc["first"]) * 2) / 3).cast("int")
-        return F.struct((acc["first"] + shift).alias("first"), (acc["last"] + shift).alias("last"), alike.alias("alike"))
-
-    return F.aggregate(F.sequence(low, high - 1), start, step, finish)
+    like = F.filter(F.sequence(low, high - 1), lambda j: F.get(item, j) == F.get(text, j + shift))
+
+    # From like word u to v, alike = v - u + 1 and length = like[v] - like[u] + 1. With
+    # f(u) = 100 u - SHARE like[u] it is alike enough when f(u) <= f(v) + 100 - SHARE.
+    def longest(like: Column) -> Column:
+        f = F.transform(like, lambda q, u: u * 100 - q * SHARE)
+        return _let(f, lambda f: _let(
+            F.struct(
+                F.transform(f, lambda x, u: F.array_min(F.slice(f, 1, u + 1))).alias("least"),
+                F.transform(f, lambda x, v: F.array_max(F.slice(f, v + 1, F.size(f) - v))).alias("most"),
+            ),
+            lambda m: walk(like, m["least"], m["most"]),
+        ))
+
+    # Both only fall: while some start up to u fits some end from v on, v moves, else u.
+    def walk(like: Column, least: Column, most: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            fits = F.get(least, acc["u"]) <= F.get(most, acc["v"]) + (100 - SHARE)
+            alike = acc["v"] - acc["u"] + 1
+            more = fits & (alike > acc["alike"])
+            return F.struct(
+                F.when(fits, acc["u"]).otherwise(acc["u"] + 1).alias("u"),
+                F.when(fits, acc["v"] + 1).otherwise(acc["v"]).alias("v"),
+                F.when(more, alike).otherwise(acc["alike"]).alias("alike"),
+                F.when(more, acc["u"]).otherwise(acc["from"]).alias("from"),
+            )
+
+        start = F.struct(*[F.lit(0).alias(c) for c in ("u", "v", "alike", "from")])
+        return F.aggregate(F.sequence(F.lit(1), F.size(like) * 2), start, step, lambda acc: F.struct(
+            (F.get(like, acc["from"]) + shift).alias("first"),
+            (F.get(like, acc["from"] + acc["alike"] - 1) + shift + 1).alias("last"),
+            acc["alike"].alias("alike"),
+        ))
+
+    return _let(like, lambda like: F.when(F.size(like) > 0, longest(like)))
 
 
 def leaks(
@@ -77,7 +99,7 @@ def leaks(
 ) -> DataFrame:
     """(text_hash, item, first, last, alike): stretches of texts that repeat an item.
 
-    One row per text, item and alignment; ``text_hash`` is xxhash64 of the text.
+    One row per text, item and alignment, with its longest stretch; ``text_hash`` is xxhash64 of the text.
     """
     items = materialize(
         benchmark.select(
@@ -128,10 +150,7 @@ def leaks(
         hits.join(items, "item_key")
         .join(chosen, "text_hash")
         .select("text_hash", "item", F.size("item_words").alias("size"), _stretch(F.col("item_words"), F.col("text_words"), F.col("shift")).alias("s"))
-        .where(
-            (F.col("s.alike") >= F.least(F.lit(OVERLAP), F.ceil(F.col("size") * SHARE / 100)))
-            & (F.col("s.alike") * 100 >= (F.col("s.last") - F.col("s.first")) * SHARE)
-        )
+        .where(F.col("s.alike") >= F.least(F.lit(OVERLAP), F.ceil(F.col("size") * SHARE / 100)))
         .select("text_hash", "item", "s.first", "s.last", "s.alike")
     )
 

@@ -82,3 +82,40 @@ def test_cases(spark):
     assert got == [(0, [1]), (1, []), (2, []), (3, [-1]), (3, [-1]), (4, [])]
     assert contamination(docs.limit(0), bench).count() == 0
     assert contamination(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def _rule(text, items):
+    """Items of a text by the rule alone: all alignments, all stretches."""
+    w, out = _words(text), set()
+    for item, b in items:
+        b = _words(b)
+        for shift in range(1 - len(b), len(w)) if len(b) >= SHORTEST else ():
+            like = [b[k] == w[k + shift] for k in range(max(0, -shift), min(len(b), len(w) - shift))]
+            for i in range(len(like)):
+                alike = 0
+                for j in range(i, len(like)):
+                    alike += like[j]
+                    if alike >= min(OVERLAP, -(-len(b) * 80 // 100)) and alike * 5 >= (j - i + 1) * 4:
+                        out.add(item)
+    return sorted(out)
+
+
+def _changed(cases, name="w"):
+    """Texts and items, one of each for a case (words, replaced places), and the items that each text holds by the rule."""
+    texts, items = [], []
+    for number, (n, changed) in enumerate(cases):
+        item = [f"{name}{number}x{k}" for k in range(n)]
+        items.append((number, " ".join(item)))
+        texts.append((number, " ".join(["a", "b", *["other" if k in changed else w for k, w in enumerate(item)], "c"])))
+    return texts, items, {i: _rule(t, items[i : i + 1]) for i, t in texts}
+
+
+def test_any_stretch_decides(spark):
+    # A short end behind a replaced word counts, and so does a part of a stretch that is too unlike as a whole.
+    cases = [(17, {2, 14}), (15, {2, 12}), (20, {2, 4, 12, 17}), (16, {2, 13}), (60, {2, *range(20, 60, 2)}), (17, {2, 8, 13, 14})]
+    texts, items, want = _changed(cases)
+    got = {r.doc_id: r for r in contamination(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {i: r.items for i, r in got.items()} == want
+    assert want[0] == [0] and want[5] == []
+    span = got[0].spans[0]
+    assert (span.first, span.last, span.alike) == (2, 19, 15)
