@@ -2,8 +2,8 @@
 
 Fixed masks pick some of the words of a window and ignore the others, so a
 passage with replaced words still has windows whose picked words are all alike.
-Equal hashes give an alignment of text and item; the stretch around it is
-verified word by word.
+Equal hashes give an alignment of text and item; an alignment with as many hits
+as a passage must have is verified word by word.
 """
 
 from __future__ import annotations
@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 from strataflow.session import materialize
 
 # Places of a window that a mask compares.
-MASKS = ((0, 1, 2, 4, 7, 8, 9), (0, 1, 3, 4, 7, 9, 10), (0, 2, 3, 5, 8, 9, 11))
+MASKS = ((0, 1, 2, 3), (0, 1, 3, 4))
+FIVE = ((0, 1, 2, 4), (0, 2, 3, 4))  # besides, for items of five words
+# Every stretch that counts has so many hits of MASKS at least, by the item's words (FIVE's with
+# them for five); more words have LEAST_HITS. The tests enumerate all stretches.
+HITS = {5: 1, 6: 1, 7: 1, 8: 2, 9: 3, 10: 1, 11: 2, 12: 3, 13: 4, 14: 5, 15: 3}
+LEAST_HITS = 4
 SHORTEST = 5  # words of an item that can be found at all
 OVERLAP = 13  # like words that make a passage, or the share below of a shorter item
 SHARE = 80  # per cent of a stretch that must be alike
@@ -110,14 +115,17 @@ def leaks(
         .withColumn("item_key", F.xxhash64("item", "item_words")),
         "items",
     )
-    # Items too short for a mask are looked up whole: at most one more mask for each such length.
-    short = [r[0] for r in items.where(F.size("item_words") < _span(MASKS[0])).select(F.size("item_words")).distinct().collect()]
-    masks = [*MASKS, *[tuple(range(n)) for n in sorted(short)]]
-    hashed = items.select("item_key", F.transform("item_words", lambda x: F.xxhash64(x)).alias("h"))
+    five = bool(items.where(F.size("item_words") == SHORTEST).head(1))
+    masks = [*MASKS, *(FIVE if five else ())]
+    need = F.lit(LEAST_HITS)
+    for size, least in HITS.items():
+        need = F.when(F.size("item_words") == size, least).otherwise(need)
+    hashed = items.select("item_key", F.transform("item_words", lambda x: F.xxhash64(x)).alias("h"), need.alias("need"))
     keys = None
     for number, mask in enumerate(masks):
-        part = hashed.select(
+        part = (hashed if number < len(MASKS) else hashed.where(F.size("h") == SHORTEST)).select(
             "item_key",
+            "need",
             F.lit(number).alias("mask"),
             F.posexplode(_keys(F.col("h"), F.size("h"), number, mask)).alias("item_at", "key"),
         )
@@ -134,8 +142,10 @@ def leaks(
         before = before + F.greatest(F.lit(0), F.col("n") - (_span(mask) - 1))
     hits = (
         places.join(F.broadcast(keys) if few else keys, "key")
-        .select("text_hash", "item_key", (F.col("at") - offset - F.col("item_at")).alias("shift"))
-        .distinct()
+        .groupBy("text_hash", "item_key", (F.col("at") - offset - F.col("item_at")).alias("shift"))
+        .agg(F.count("*").alias("hits"), F.first("need").alias("need"))
+        .where("hits >= need")
+        .select("text_hash", "item_key", "shift")
     )
     hits = materialize(hits, "hits")
     hit_texts = hits.select("text_hash").distinct()

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from strataflow.llm.decontaminate import MASKS, OVERLAP, SHORTEST, contamination
+from strataflow.llm.decontaminate import FIVE, HITS, LEAST_HITS, MASKS, OVERLAP, SHORTEST, contamination
 from strataflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -119,3 +119,39 @@ def test_any_stretch_decides(spark):
     assert want[0] == [0] and want[5] == []
     span = got[0].spans[0]
     assert (span.first, span.last, span.alike) == (2, 19, 15)
+
+
+def _least_hits(masks, n):
+    """The fewest hits of any stretch that counts for an item of n words, over all stretches.
+
+    26 like words or more can be cut in two of 13 at least, one of them 80 % alike: 31 places are enough.
+    """
+    need, span, best = min(OVERLAP, -(-4 * n // 5)), max(m[-1] for m in masks) + 1, None
+    states = {((1,), 1): 0}
+    for length in range(1, min(n, 31) + 1):
+        if length > 1:
+            longer = {}
+            for (tail, alike), hits in states.items():
+                for like in (0, 1):
+                    t = (*tail, like)[-span:]
+                    more = hits + sum(len(t) > m[-1] and all(t[len(t) - 1 - m[-1] + o] for o in m) for m in masks)
+                    key = (t, alike + like)
+                    longer[key] = min(more, longer.get(key, more))
+            states = longer
+        found = [h for (t, alike), h in states.items() if t[-1] and alike >= need and alike * 5 >= length * 4]
+        best = min([*found, best] if best is not None else found, default=None)
+    return best
+
+
+def test_every_stretch_that_counts_has_its_hits():
+    for n in range(SHORTEST, 40):
+        assert _least_hits(MASKS + FIVE if n == SHORTEST else MASKS, n) >= HITS.get(n, LEAST_HITS) >= 1
+
+
+def test_sparse_replacements_are_hit(spark):
+    fifth = [(n, set(range(phase, n, 5))) for n in (30, 60, 200) for phase in (0, 4)]
+    single = [(n, {k}) for n in range(5, 11) for k in range(n)]
+    several = [(15, {3, 7, 11}), (16, {3, 7, 11}), (20, {3, 7, 11, 15}), (10, {2, 6}), (11, {3, 7})]
+    texts, items, want = _changed(fifth + single + several)
+    got = contamination(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.items for r in got} == want == {i: [i] for i in want}
