@@ -1,11 +1,10 @@
-"""Passages that repeat across documents, by prefix-partitioned suffix trees.
-
-The trees hold the suffixes that begin at anchors: the smallest five-word hash
-of each window, so equal windows have equal anchors. Suffixes are dealt out by
-a prefix of one to five words, longer where a prefix is too common for one
-group, up to the whole window. A group builds the part of its tree that counts:
-the nodes ``size`` words deep, each with its documents. A node with several
-documents is a repeat; runs of them are maximal repeats.
+"""Passages that repeat across documents, by prefix-partitioned window hashes.
+
+No suffix tree is built. Windows meet by their anchor, the smallest five-word
+hash of each, so equal windows have equal anchors. They are dealt out by a
+prefix of the anchor of one to five words, longer where a prefix is too common
+for one group, up to the whole window. A group takes the smallest document of
+each window hash ("node" below); neighbouring marked windows are joined.
 """
 
 from __future__ import annotations
