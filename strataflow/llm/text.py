@@ -9,10 +9,12 @@ import pyarrow as pa
 
 SPACES = b" \t\n\v\f\r"
 CHUNK_BYTES = 4 << 20  # text worked on at once; a longer text is a chunk of its own
+BLOCK_BYTES = 1 << 18  # text whose bytes are hashed at once
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 _BYTE = np.random.default_rng(20240611).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE_OR_SPACE = _BYTE.copy()
 _BYTE[_IS_SPACE] = 0
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -81,26 +83,60 @@ def word_spans(
         data = _LOWER[data]
     part = np.zeros(len(data) + 1, bool)
     part[:-1] = (~_IS_SPACE if inside is None else inside)[data]
-    begins, ends = part.copy(), part.copy()
     edges = offsets[(offsets > 0) & (offsets < len(data))]
-    begins[1:] &= ~part[:-1]
-    begins[edges] = part[edges]
-    ends[:-1] &= ~part[1:]
-    ends[edges - 1] = part[edges - 1]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
+    marks = part.copy()
+    marks[1:] &= ~part[:-1]
+    marks[edges] = part[edges]
+    starts = np.flatnonzero(marks)
+    np.copyto(marks, part)
+    marks[:-1] &= ~part[1:]
+    marks[edges - 1] = part[edges - 1]
+    stops = np.flatnonzero(marks)
     return data, starts, stops + 1 - starts, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Fingerprints of byte spans given in order; white space within them does not count."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, *, spaces: bool = False) -> np.ndarray:
+    """Fingerprints of byte spans given in order; white space in them counts only with ``spaces``.
+
+    Works on blocks of about ``BLOCK_BYTES``, so that what it needs beside the
+    result does not grow with the input, whatever the length of a span.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
+    out = np.empty(len(starts), np.uint64)
+    values, ends = _BYTE_OR_SPACE if spaces else _BYTE, starts + lengths
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + BLOCK_BYTES, "right")))
+        if hi == lo + 1 and lengths[lo] > BLOCK_BYTES:
+            out[lo] = _long_span(data[starts[lo] : ends[lo]], values)
+        else:
+            out[lo:hi] = _block_sums(data, starts[lo:hi], lengths[lo:hi], values)
+        lo = hi
+    return mix(out)
+
+
+def _block_sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
     first, last = int(starts[0]), int(starts[-1] + lengths[-1])
     gaps = np.diff(np.append(starts, last))
-    place = np.arange(first, last) - np.repeat(starts, gaps)
-    inside = place < np.repeat(lengths, gaps)
-    value = _BYTE[data[first:last]] * _powers(int(lengths.max()))[np.where(inside, place, 0)]
-    return mix(np.add.reduceat(np.where(inside, value, np.uint64(0)), starts - first))
+    place = np.arange(last - first, dtype=np.int32) - np.repeat((starts - first).astype(np.int32), gaps)
+    inside = place < np.repeat(lengths.astype(np.int32), gaps)
+    place[~inside] = 0
+    value = values[data[first:last]]
+    value *= _powers(int(lengths.max()))[place]
+    value[~inside] = 0
+    return np.add.reduceat(value, starts - first)
+
+
+def _long_span(data: np.ndarray, values: np.ndarray) -> np.uint64:
+    """The sum of one span that is longer than a block, piece by piece."""
+    powers = _powers(BLOCK_BYTES + 1)
+    total, shift = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for at in range(0, len(data), BLOCK_BYTES):
+        piece = values[data[at : at + BLOCK_BYTES]]
+        total += np.sum(piece * powers[: len(piece)], dtype=np.uint64) * shift
+        shift *= powers[BLOCK_BYTES]
+    return total[0]
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
