@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, decontaminate, metric, quality, repeats, secrets, setjoin, sharding, toxicity, urls
+from strataflow.llm import audit, bpe, decontaminate, metric, quality, repeats, secrets, setjoin, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,6 +142,44 @@ def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT d.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+          100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+          coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS f
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+), n AS (SELECT unnest(range(1, 6)) AS i), o AS (
+  SELECT [a.i, b.i, c.i, e.i, g.i] AS p
+  FROM n a, n b, n c, n e, n g WHERE len(list_distinct([a.i, b.i, c.i, e.i, g.i])) = 5
+), s AS (
+  SELECT part, good, toxic, f, p, i AS step, p[i] AS k, f[p[i]] AS fails,
+         len(list_filter(p[1:i - 1], lambda x: f[x])) > 0 AS gone, len(list_filter(f, lambda x: x)) AS n_fails
+  FROM m, o, n
+), c AS (
+  SELECT part, p, step, k, count_if(NOT gone AND NOT fails) AS kept, count_if(NOT gone AND fails) AS removed,
+         count_if(gone AND fails) AS redundant, count_if(fails AND n_fails = 1) AS unique_fails,
+         count_if(NOT gone AND fails AND good) AS good_lost, count_if(NOT gone AND fails AND toxic) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, list_aggregate(list_transform(p, lambda x: substr('ABCDE', x::BIGINT, 1)), 'string_agg', '') AS filter_order,
+       step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley
+FROM c
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_grouped_prefix_join": op2_grouped_prefix_join,
@@ -153,9 +191,11 @@ QUERIES: dict[str, Query] = {
     "op8_mtree_search": op8_mtree_search,
     "op9_bpe_transducer": op9_bpe_transducer,
     "op10_url_rules": op10_url_rules,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE: dict[str, str] = {
     "op4_extendible_sharding": OP4_SQL,
     "op8_mtree_search": OP8_SQL,
+    "op11_filter_audit": OP11_SQL,
 }
