@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import audit, bpe, decontaminate, metric, quality, repeats, secrets, setjoin, sharding, toxicity, urls
+from strataflow.llm import audit, bpe, decontaminate, metric, quality, repeats, rules, secrets, setjoin, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,6 +180,11 @@ FROM c
 """
 
 
+def op12_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *rules.COUNTS[:5], "base_failed", "kept", "rule")
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_grouped_prefix_join": op2_grouped_prefix_join,
@@ -192,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "op9_bpe_transducer": op9_bpe_transducer,
     "op10_url_rules": op10_url_rules,
     "op11_filter_audit": op11_filter_audit,
+    "op12_decision_list": op12_decision_list,
 }
 
 ORACLE: dict[str, str] = {

@@ -154,6 +154,20 @@ def window_rows(bounds: np.ndarray, size: int, n: int) -> tuple[np.ndarray, np.n
     return row, np.arange(n) + size <= bounds[1:][row]
 
 
+def row_sums(values: np.ndarray, bounds: np.ndarray, dtype: type = np.int64) -> np.ndarray:
+    """Sum of each row's values; row i has those from ``bounds[i]`` to ``bounds[i + 1]``."""
+    out = np.zeros(len(bounds) - 1, dtype)
+    some = np.flatnonzero(np.diff(bounds))
+    if len(some):
+        out[some] = np.add.reduceat(values[: bounds[-1]], bounds[:-1][some], dtype=dtype)
+    return out
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all rows, and where each row's begin and end."""
+    return _bytes(column)
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The slices ``flat[start : start + length]`` one behind the other."""
     ends = np.cumsum(lengths)
