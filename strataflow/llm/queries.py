@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import audit, bpe, decontaminate, metric, quality, repeats, rules, secrets, setjoin, sharding, toxicity, urls
+from strataflow.llm import audit, bpe, decontaminate, lexical, metric, quality, repeats, rules, secrets, setjoin, sharding, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,6 +185,35 @@ def op12_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS[:5], "base_failed", "kept", "rule")
 
 
+def op13_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 20)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), q AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), l AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM d GROUP BY r),
+t AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM l),
+p AS (SELECT r, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, t GROUP BY term, nn),
+s AS (
+  SELECT item_id, r, l.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN l USING (r), t
+  GROUP BY item_id, r, l.doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_grouped_prefix_join": op2_grouped_prefix_join,
@@ -198,10 +227,12 @@ QUERIES: dict[str, Query] = {
     "op10_url_rules": op10_url_rules,
     "op11_filter_audit": op11_filter_audit,
     "op12_decision_list": op12_decision_list,
+    "op13_fp_tree_search": op13_fp_tree_search,
 }
 
 ORACLE: dict[str, str] = {
     "op4_extendible_sharding": OP4_SQL,
     "op8_mtree_search": OP8_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op13_fp_tree_search": OP13_SQL,
 }
