@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.text import chunks, mix, span_hashes, text_column, window_hashes, word_spans
+from strataflow.llm.text import chunks, mix, row_sums, span_hashes, text_column, window_hashes, word_spans
 from strataflow.session import materialize
 
 BUCKETS = 1 << 17
@@ -47,8 +47,7 @@ LABELLERS = (
 
 
 def _per_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.float64)])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    return row_sums(values, bounds, np.float64)
 
 
 def _not_new(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

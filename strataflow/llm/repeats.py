@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.text import chunks, hash_words, mix, text_column, window_hashes, window_rows
+from strataflow.llm.text import chunks, hash_words, mix, text_column, whole_ids, window_hashes, window_rows
 
 ANCHOR = 5  # words of an anchor, and longest prefix before the whole window
 GROUP = 400_000  # suffixes that a group is meant to hold
@@ -202,7 +202,7 @@ def _deep_nodes(table: pa.Table) -> pa.Table:
 
 def repeat_spans(df: DataFrame, size: int = 13, *, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
     """(id, tag, first, n): ``n`` windows from word ``first`` on that a smaller id also has."""
-    source = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = df.select(whole_ids(df, id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = total / 30  # six bytes a word, five windows an anchor
     group = int(max(group, expected / MOST_PREFIXES))
@@ -237,7 +237,7 @@ def remove_repeats(df: DataFrame, size: int = 13, *, id_col: str = "doc_id", tex
     """
     spans = repeat_spans(df, size, id_col=id_col, text_col=text_col, group=group)
     per_row = spans.groupBy(F.col("id").alias("key")).agg(F.collect_list(F.struct("tag", "first", "n")).alias("spans"))
-    source = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = df.select(whole_ids(df, id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # Rows without an id match nothing; their hash keeps them out of one task.
     source = source.withColumn("key", F.coalesce("id", F.xxhash64("text")))
     span_type = pa.list_(pa.list_(pa.int32()))

@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.components import components
-from strataflow.llm.text import chunks, hash_words, mix, text_column, window_hashes, window_rows
+from strataflow.llm.text import chunks, free_name, hash_words, mix, text_column, whole_ids, window_hashes, window_rows
 from strataflow.session import materialize
 
 ORDER_BITS = 21  # size of the table of shingle counts: fixed, whatever the corpus
 SLICES = 64
 GROUP = 400_000  # postings that one task is meant to hold
 MAP_BITS = 512  # of a node's bitmap
+SEEN = 100_000  # sets that a task remembers having sent
 BROADCAST_IDS = 2_000_000  # 16 MB; beyond, documents are found by a shuffle join
 
 _WORDS = MAP_BITS // 64
@@ -245,13 +246,19 @@ def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int)
     texts = source.join(F.broadcast(needed) if small else needed, "id")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: dict[int, int] = {}  # sides that a set was already sent for
         for batch in batches:
             for lo, hi in chunks(batch, "text"):
                 part = batch.slice(lo, hi - lo)
                 sid = _Sets(text_column(part, "text"), size).sid
-                new = [k for k, s in enumerate(sid.tolist()) if s not in seen and not seen.add(s)]
-                if len(seen) > 1_000_000:
+                sides = [a + 2 * b for a, b in zip(part.column("is_a").to_pylist(), part.column("is_b").to_pylist())]
+                new = []
+                for k, (s, side) in enumerate(zip(sid.tolist(), sides)):
+                    before = seen.get(s, 0)
+                    if side & ~before:
+                        new.append(k)
+                        seen[s] = before | side
+                if len(seen) > SEEN:
                     seen.clear()
                 picked = part.take(pa.array(new, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -268,7 +275,7 @@ def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int)
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in chunks(batch, "text_a"):
+            for lo, hi in chunks(batch, "text_a", "text_b"):
                 part = batch.slice(lo, hi - lo)
                 x, y = (_Sets(text_column(part, c), size) for c in ("text_a", "text_b"))
                 h, r = np.concatenate([x.hash, y.hash]), np.concatenate([x.row, y.row])
@@ -303,7 +310,7 @@ def similar_sets(
     """
     num, den = similarity
     spark = df.sparkSession
-    source = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = df.select(whole_ids(df, id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     order: Broadcast = spark.sparkContext.broadcast(_counts(source, size))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, int(total / 6 * (den - num) / den / GROUP * 2))
@@ -365,6 +372,7 @@ def similar_sets(
         out = materialize(out, "placed")
         members = lists.join(out.select("gid", "sid", "id", "n", "root", *_BITS), "gid")
         several = members.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("tok")
+        several = materialize(several, "several")  # stored, so that the members of a hot token can be split
         return out, materialize(members.join(several, "tok"), "open")
 
     ends = [F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")]
@@ -433,17 +441,32 @@ def similar_sets(
 def keep_one(df: DataFrame, size: int = 5, similarity: tuple[int, int] = (80, 100), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row with the smallest id of each component, with all its columns.
 
-    Rows without an id all stay. Of several rows with one id that stays, one does.
+    Rows are told apart by themselves, not by their id: of rows that share one,
+    unlike texts each stand for their own component, and like ones keep one row.
+    Rows without an id all stay; null and empty texts are like nothing.
     """
-    first = materialize(
-        similar_sets(df, size, similarity, id_col=id_col, text_col=text_col)
-        .where(F.col(id_col).cast("bigint") == F.col("component_id"))
-        .groupBy(F.col("component_id").alias("_first")).agg((F.count("*") > 1).alias("_many")),
-        "first",
+    shared = df.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
+    if shared.isEmpty():
+        return _smallest(df, size, similarity, id_col, text_col)
+    # Some id names several rows: rows are linked by a number of their own, and ids only choose who stays.
+    row = free_name(df.columns, "row")
+    numbered = materialize(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    own = numbered.where(F.col(id_col).isNotNull())
+    classes = similar_sets(own, size, similarity, id_col=row, text_col=text_col)
+    first = (
+        own.select(F.col(row).alias("number"), whole_ids(own, id_col).alias("id"))
+        .join(classes.select(F.col(row).alias("number"), F.col("component_id").alias("class")), "number")
+        .groupBy("class").agg(F.min(F.struct("id", "number")).alias("first"))
+        .select(F.col("first.number").alias(row))
     )
-    few = first.count() <= BROADCAST_IDS
-    kept = df.join(F.broadcast(first) if few else first, df[id_col].cast("bigint") == first["_first"], "left")
-    single = kept.where(f"`{id_col}` is null or not _many").select(*[df[c] for c in df.columns])
-    # Only ids that several rows share are compared with each other.
-    shared = kept.where("_many").select(*[df[c] for c in df.columns]).dropDuplicates([id_col])
-    return single.unionByName(shared)
+    kept = numbered.join(materialize(first, "first"), row, "left_semi")
+    return kept.unionByName(numbered.where(F.col(id_col).isNull())).drop(row)
+
+
+def _smallest(df: DataFrame, size: int, similarity: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
+    """``keep_one`` where no id names two rows."""
+    classes = similar_sets(df, size, similarity, id_col=id_col, text_col=text_col)
+    gone = classes.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone"))
+    gone = materialize(gone, "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(gone) if few else gone, whole_ids(df, id_col) == gone["gone"], "left_anti")

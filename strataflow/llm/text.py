@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACES = b" \t\n\v\f\r"
 CHUNK_BYTES = 4 << 20  # text worked on at once; a longer text is a chunk of its own
@@ -43,11 +46,11 @@ def text_column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     return column.cast(pa.large_string()).fill_null("")
 
 
-def chunks(batch: pa.RecordBatch, name: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts have about ``limit`` bytes together."""
+def chunks(batch: pa.RecordBatch, *names: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges whose texts, in all the columns named, have about ``limit`` bytes together."""
     if not batch.num_rows:
         return
-    sizes = np.diff(_bytes(text_column(batch, name))[1])
+    sizes = sum(np.diff(_bytes(text_column(batch, name))[1]) for name in names)
     block = np.cumsum(sizes) // limit
     cuts = np.flatnonzero(np.diff(block)) + 1
     edges = [0, *cuts.tolist(), batch.num_rows]
@@ -154,6 +157,22 @@ def window_rows(bounds: np.ndarray, size: int, n: int) -> tuple[np.ndarray, np.n
     return row, np.arange(n) + size <= bounds[1:][row]
 
 
+def whole_ids(df: DataFrame, name: str) -> Column:
+    """The id column as ``bigint``; ids of other types than integers are refused, not lost."""
+    kind = df.schema[name].dataType
+    if not isinstance(kind, (T.IntegralType, T.NullType)):
+        raise TypeError(f"column {name!r} must hold integers, not {kind.simpleString()}")
+    return F.col(name).cast("bigint")
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, lengthened until no column of ``taken`` has it, whatever its case."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def row_sums(values: np.ndarray, bounds: np.ndarray, dtype: type = np.int64) -> np.ndarray:
     """Sum of each row's values; row i has those from ``bounds[i]`` to ``bounds[i + 1]``."""
     out = np.zeros(len(bounds) - 1, dtype)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.components import components
 from strataflow.llm.queries import QUERIES
-from strataflow.llm.setjoin import similar_sets
+from strataflow.llm.setjoin import keep_one, similar_sets
 
 _FOLD = bytes(range(256)).replace(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -85,3 +85,37 @@ def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)}
+
+
+def test_keep_one_tells_rows_apart_that_share_an_id(spark):
+    plain = [f"text number {k} about {' '.join(f'thing{k}x{j}' for j in range(12))}" for k in range(6)]
+    near = plain[0] + " thing0x12"
+    rows = [(1, plain[0]), (1, plain[1]), (2, plain[2]), (2, near), (3, plain[1]), (4, plain[3]), (4, plain[3]), (None, plain[0]), (5, None), (5, ""), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for clash in ("row", "_many", "_first", "gone", "number", "class", "id", "sid"):
+        df = df.withColumn(clash, F.lit("x"))
+    got = keep_one(df, 5, (80, 100))
+    assert got.columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    expected = [(1, plain[0]), (1, plain[1]), (2, plain[2]), (4, plain[3]), (None, plain[0]), (5, None), (5, ""), (5, None)]
+    assert kept == sorted(expected, key=repr)
+    unique = df.where("doc_id in (2, 3) and text <> ''").withColumn("doc_id", F.monotonically_increasing_id())
+    assert keep_one(unique, 5, (80, 100)).columns == df.columns and keep_one(df.limit(0)).count() == 0
+
+
+def test_links_through_shared_ids_are_not_lost(spark):
+    rng = random.Random(8)
+    base = [" ".join(f"w{rng.randrange(400)}" for _ in range(40)) for _ in range(12)]
+    docs = []
+    for k in range(150):
+        words = rng.choice(base).split()
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(40)] = f"n{rng.randrange(30)}"
+        docs.append((rng.randrange(40), " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert _got(similar_sets(df, 3, (60, 100))) == _brute(docs, 3, 60, 100)
+
+
+def test_ids_that_are_no_integers_are_refused(spark):
+    with pytest.raises(TypeError):
+        similar_sets(spark.createDataFrame([("a", "x y z")], "doc_id string, text string"))
