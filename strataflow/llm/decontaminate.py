@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm.text import free_name
 from strataflow.session import materialize
 
 # Places of a window that a mask compares.
@@ -191,6 +192,7 @@ def contamination(
         .groupBy("text_hash")
         .agg(F.sort_array(F.collect_list(F.struct("item", F.col("b.first").alias("first"), F.col("b.last").alias("last"), F.col("b.alike").alias("alike")))).alias("spans"))
     )
+    found = materialize(found, "found")  # stored, so that the copies of one text can be split
     rows = docs.select(F.col(id_col), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
     spans = F.coalesce("spans", F.array().cast("array<struct<item:bigint,first:int,last:int,alike:int>>"))
     return (
@@ -201,8 +203,13 @@ def contamination(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", **columns) -> DataFrame:
-    """The rows of ``docs`` that ``contamination`` does not flag, with all their columns."""
-    bad = materialize(leaks(docs, benchmark, text_col=text_col, **columns).select("text_hash").distinct(), "contaminated")
+    """The rows of ``docs`` that ``contamination`` does not flag, with all their columns.
+
+    Null and empty texts and all rows of an empty benchmark's corpus stay;
+    repeated rows stay or go together; columns may have any names.
+    """
+    own = free_name(docs.columns, "leaked_hash")
+    bad = leaks(docs, benchmark, text_col=text_col, **columns).select(F.col("text_hash").alias(own)).distinct()
+    bad = materialize(bad, "contaminated")
     few = bad.count() <= BROADCAST_ROWS
-    own = F.xxhash64(docs[text_col].cast("string"))
-    return docs.join(F.broadcast(bad) if few else bad, own == bad["text_hash"], "left_anti")
+    return docs.join(F.broadcast(bad) if few else bad, F.xxhash64(docs[text_col].cast("string")) == bad[own], "left_anti")

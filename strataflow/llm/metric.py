@@ -44,7 +44,7 @@ class MTree:
 
     def __init__(self, vectors: np.ndarray, top: float) -> None:
         self.vectors, self.top = vectors, top
-        self.exact = np.abs(vectors).max(initial=0) ** 2 * max(1, vectors.shape[1]) < 2**52
+        self.most = float(np.abs(vectors).max(initial=0)) * max(1, vectors.shape[1])
         lift = np.sqrt(np.maximum(0, top - (vectors**2).sum(1)))
         self.points = np.concatenate([vectors, lift[:, None]], 1)
         self.slack = 1e-6 * (1 + np.sqrt(top))  # rounding must not rule out a tie
@@ -85,6 +85,7 @@ class MTree:
         def reach(score) -> float:
             return np.inf if score is None else np.sqrt(max(0.0, square - 2 * score)) + self.slack
 
+        exact = self.most * float(np.abs(query).max(initial=0)) < 2**52  # else integers of any size
         best: list[int] = []  # heap of the k best scores
         found: list[tuple[int, int]] = []
         limit = reach(least)
@@ -108,7 +109,7 @@ class MTree:
                     heapq.heappush(queue, (float(lower[i]), order, page.children[open_[i]], float(away[i])))
                 continue
             rows = page.rows[open_]
-            if self.exact:
+            if exact:
                 scores = (self.vectors[rows] @ query).astype(np.int64)
             else:
                 scores = np.array([sum(int(a) * int(b) for a, b in zip(v, query)) for v in self.vectors[rows].tolist()], object)
@@ -145,7 +146,9 @@ def _packed(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFr
             for i, x in zip(batch.column("id").to_pylist(), batch.column("x")):
                 v = x.values.to_numpy(zero_copy_only=False)  # null becomes not-a-number
                 v = np.floor(scale * v)
-                if np.isfinite(v).all() and (np.abs(v) < 2**62).all():
+                if np.isfinite(v).all():
+                    if (np.abs(v) >= 2**62).any():
+                        raise ValueError(f"a component of the vector of id {i} is too large for 64-bit integers")
                     ids.append(i)
                     out.append(v.astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "vec"])
@@ -160,7 +163,8 @@ def top_inner_products(
     highest inner product of floor(scale * x), ties to the smaller id; its own id is no candidate.
 
     Vectors that are null or hold null or non-finite components take no part,
-    nor do rows without an id; an equal row counts once; a shorter vector counts
+    nor do rows without an id; components that do not fit in 62 bits once
+    scaled are refused with an error; an equal row counts once; a shorter vector counts
     as filled with zeros. With fewer candidates all are returned; an empty table
     gives an empty result. Rows with one vector are one point of the trees with
     the ``k`` + 1 smallest ids, which are all that a result can hold of them.

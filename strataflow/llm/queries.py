@@ -51,7 +51,7 @@ def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-SHARD_BYTES = 1 << 20  # small, so that a small corpus has several shards
+SHARD_BYTES = 128 << 20
 
 
 def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

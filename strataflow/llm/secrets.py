@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.text import text_column
+from strataflow.llm.text import free_name, text_column
 from strataflow.session import materialize
 
 # The kinds of the contract, in their order, and what makes a match count.
@@ -27,22 +27,23 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "owned")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-PLACEHOLDERS = re.compile(r"example|sample|dummy|changeme|placeholder|your|test|xxxx|1234|abcd|(.)\1{4}", re.IGNORECASE)
 
 BARE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")  # a value without a name before it
 MIN_ENTROPY = 3.0  # bits a character
 LIVE_OWNERS = 2  # a live value has at most so many owners
+LIVE_REPOSITORIES = 8  # and is in at most so many repositories
 
 _SPAN = "array<struct<start:int,end:int,kind:int,hash:binary,random:boolean>>"
 
 
 def _random(value: str) -> bool:
-    """Does the value look drawn at random: letters and digits, high entropy, no placeholder?"""
+    """Does the value look drawn at random: letters and digits, high entropy? What is made up but
+    looks random is told by how widely it is copied."""
     if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
         return False
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    return entropy >= MIN_ENTROPY and not PLACEHOLDERS.search(value)
+    return entropy >= MIN_ENTROPY
 
 
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
@@ -74,12 +75,14 @@ def scan(
     repo_cols: Sequence[str] = ("source", "lang"),
     owner_col: str = "source",
     live_owners: int = LIVE_OWNERS,
+    live_repositories: int = LIVE_REPOSITORIES,
 ) -> DataFrame:
     """One row per input row: ``id_col``, ``text_hash`` and ``spans`` in order of start, then kind.
 
     A span is (start, end, kind, owners, repositories, verdict): code points,
     end exclusive; verdict ``live`` (random-looking, at most ``live_owners``
-    distinct owners), ``example`` (more owners) or ``weak``. Base kinds are
+    distinct owners and ``live_repositories`` repositories), ``example`` (more
+    of either: widely copied) or ``weak``. Base kinds are
     always reported; a bare value (kind ``owned``) only when it is live.
 
     Null and empty texts have no spans. Null repositories and owners count as
@@ -123,12 +126,14 @@ def scan(
         .groupBy("hash")
         .agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repositories"))
     )
+    counts = materialize(counts, "owners")  # stored, so that the spans of a value that is everywhere can be split
+    copied = (F.col("owners") > live_owners) | (F.col("repositories") > live_repositories)
     judged = (
         each.select("row", "s.*")
         .join(counts, "hash")
         .withColumn(
             "verdict",
-            F.when(F.col("owners") > live_owners, "example").when(F.col("random"), "live").otherwise("weak"),
+            F.when(copied, "example").when(F.col("random"), "live").otherwise("weak"),
         )
         .where((F.col("kind") < 3) | (F.col("verdict") == "live"))
         .groupBy("row")
@@ -159,18 +164,21 @@ def redact(
 
     Only rows that hold a secret are changed; order of columns and all other
     values stay. Rows are matched by id and text, so equal rows change alike.
+    Null and empty texts and ids stay as they are, columns may have any names,
+    and an empty table gives an empty result.
     """
     marks = marks or {"live": "[LIVE_SECRET]", "example": "[EXAMPLE_SECRET]", "weak": "[SECRET]"}
+    own, own_hash, found, done = (free_name(df.columns, c) for c in ("own_id", "own_hash", "found_spans", "done"))
     spans = (
         scan(df, id_col=id_col, text_col=text_col, **options)
         .where(F.size("spans") > 0)
-        .groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.first("spans").alias("_spans"))
+        .groupBy(F.col(id_col).alias(own), F.col("text_hash").alias(own_hash))
+        .agg(F.first("spans").alias(found))
     )
     text = F.col(text_col)
     # Overlapping spans are one: what counts is where the copied text goes on.
     pieces = F.aggregate(
-        "_spans",
+        found,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda acc, s: F.struct(
             F.when(
@@ -184,9 +192,9 @@ def redact(
             F.greatest(acc["at"], s["end"]).alias("at"),
         ),
     )
-    joined = df.join(spans, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text.cast("string")) == F.col("_hash")), "left")
-    done = joined.withColumn("_done", F.when(F.col("_spans").isNotNull(), pieces))
-    changed = F.when(
-        F.col("_spans").isNotNull(), F.concat(F.col("_done.out"), F.expr(f"substring(`{text_col}`, _done.at + 1)"))
-    ).otherwise(text)
-    return done.select(*[changed.alias(c) if c == text_col else F.col(c) for c in df.columns])
+    spans = materialize(spans, "spans")
+    joined = df.join(spans, F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(text.cast("string")) == F.col(own_hash)), "left")
+    joined = joined.withColumn(done, F.when(F.col(found).isNotNull(), pieces))
+    rest = F.substring(text, F.col(done)["at"] + 1, F.length(text))
+    changed = F.when(F.col(found).isNotNull(), F.concat(F.col(done)["out"], rest)).otherwise(text)
+    return joined.select(*[changed.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])

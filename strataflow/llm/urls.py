@@ -19,7 +19,6 @@ from strataflow.session import materialize
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_SUPPORT = 0.01  # share of labelled URLs that hold a combination
 MIN_CONFIDENCE = 0.9
-MAX_TOKENS = 3  # in a mined rule
 
 
 @dataclass(frozen=True)
@@ -99,7 +98,6 @@ def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidenc
     found = materialize(
         model.associationRules.where(
             F.element_at("consequent", 1).startswith("verdict:")
-            & (F.size("antecedent") <= MAX_TOKENS)
             & ~F.exists("antecedent", lambda x: x.startswith("verdict:"))
         ).select(
             F.sort_array("antecedent").alias("antecedent"),

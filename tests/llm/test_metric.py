@@ -66,3 +66,14 @@ def test_cases(spark):
     assert _got(metric.top_inner_products(df, F.col("vec_id") % 100 == 0)) == _brute(rows, lambda q: q % 100 == 0, 10)
     assert metric.top_inner_products(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert metric.top_inner_products(df, F.col("vec_id") == 9).count() == 0
+
+
+def test_large_components_are_exact_or_refused(spark):
+    rows = [(0, [2.0**30, 1.0]), (1, [2.0**25 + 2, 3.0]), (2, [2.0**25, 2.0]), (3, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert _got(metric.top_inner_products(df, F.col("vec_id") == 3)) == _brute(rows, lambda q: q == 3, 10)
+    tree = metric.MTree(np.array([[3.0, 1.0], [2.0, 1.0]]), 10.0)
+    q = np.array([2.0**53, 1.0])
+    assert sorted(tree.search(q, 2)) == sorted([(3 * 2**53 + 1, 0), (2 * 2**53 + 1, 1)])
+    with pytest.raises(Exception, match="too large"):
+        metric.top_inner_products(df.withColumn("embedding", F.array(F.lit(1e18), F.lit(0.0))), F.col("vec_id") == 0).collect()

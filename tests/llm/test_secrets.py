@@ -64,6 +64,25 @@ def test_owner_specific_values_are_live_and_copied_ones_examples(spark):
     assert scan(_corpus(spark).limit(0)).count() == 0
 
 
+def test_one_owner_with_many_repositories_is_widely_copied(spark):
+    rows = [(k, f"token={KEY}", "a", f"repo{k}") for k in range(9)] + [(20, f"token={COPIED}", "a", "repo1"), (21, "token=testK3y9Qw7", "a", "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: [(s.repositories, s.verdict) for s in r.spans] for r in scan(df).collect()}
+    assert got == {k: [(9, "example")] for k in range(9)} | {20: [(1, "live")], 21: [(1, "live")]}
+    assert {r.spans[0].verdict for r in scan(df, live_repositories=9).collect()} == {"live"}
+
+
+def test_columns_may_clash(spark):
+    df = _corpus(spark)
+    plain = sorted(((r.doc_id, r.text) for r in redact(df).collect()), key=repr)
+    for clash in ("_done", "_id", "_hash", "_spans", "own_id", "own_hash", "found_spans", "done", "DONE_", "spans", "text_hash"):
+        df = df.withColumn(clash, F.lit("kept"))
+    got = redact(df)
+    assert got.columns == df.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == plain
+    assert {r._done for r in got.collect()} == {r.done for r in got.collect()} == {"kept"}
+    assert redact(df.limit(0)).count() == 0
+
+
 def test_redaction_keeps_rows_and_clean_texts(spark):
     df = _corpus(spark)
     got = redact(df)

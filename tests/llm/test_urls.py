@@ -26,11 +26,11 @@ def _rule(host, path):
 
 
 def _mine(baskets):
-    """All rules of at most three tokens, pruned the same way, by enumeration."""
+    """All rules of any number of tokens, pruned the same way, by enumeration."""
     n = len(baskets)
     count, with_verdict = {}, {}
     for items, verdict in baskets:
-        for size in (1, 2, 3):
+        for size in range(1, len(items) + 1):
             for c in combinations(sorted(items), size):
                 count[c] = count.get(c, 0) + 1
                 with_verdict[c, verdict] = with_verdict.get((c, verdict), 0) + 1
@@ -78,6 +78,15 @@ def test_mined_rules_equal_enumeration(spark):
     assert got == pytest.approx(_mine(baskets))
 
 
+def test_a_rule_may_need_four_tokens(spark):
+    four = ["a", "b", "c", "d"]
+    baskets = [(four, "block")] * 40 + [([x for x in four if x != y], "allow") for y in four for _ in range(20)]
+    df = spark.createDataFrame(baskets, "items array<string>, verdict string")
+    got = {(tuple(r.antecedent), r.verdict): r.confidence for r in mine(df).collect()}
+    assert got == pytest.approx(_mine(baskets))
+    assert got[tuple(four), "block"] == 1.0
+
+
 def test_cases(spark):
     rows = [(1, None), (2, ""), (3, "nothing"), (None, "http://COM/"), (4, "http://Example.com/en/x?y#z"), (4, "http://Example.com/en/x?y#z"),
             (5, "http://www.example.com/en/"), (6, "x://net?es/"), (7, "x://é.NET/es/a://b"), (8, "http://" + "a" * 100_000 + ".com/")]
