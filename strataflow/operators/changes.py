@@ -103,11 +103,13 @@ def effective_changes(
     keys: Sequence[str],
     soft_delete: str | None = None,
     guard: str | None = None,
+    tombstones: DataFrame | None = None,
 ) -> DataFrame:
     """Reduce one-change-per-key ``changes`` to what acts on ``target``.
 
     A flagged row deletes its match; without a match it is inserted like any
-    other. ``guard`` drops changes older than the row they would replace.
+    other. ``guard`` drops changes older than the row they would replace, or
+    than the deletion of that row if ``tombstones`` (keys and ``guard``) has it.
     """
     keys = list(keys)
     if soft_delete is not None:
@@ -121,6 +123,8 @@ def effective_changes(
         )
     if guard is not None:
         held = rows_with_keys(target.select(*keys, guard), changes.select(*keys), keys)
+        if tombstones is not None:  # a key is either held or deleted
+            held = held.unionByName(rows_with_keys(tombstones.select(*keys, guard), changes.select(*keys), keys))
         held = held.withColumnRenamed(guard, "_held")
         stale = F.coalesce(F.col(guard) < F.col("_held"), F.lit(False))
         changes = changes.join(held, keys, "left").filter(~stale).drop("_held")
@@ -138,6 +142,29 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(brought)
 
 
+def tombstones_after(tombstones: DataFrame, changes: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """(keys, order): deletions on record once the effective ``changes`` are merged.
+
+    A DELETE leaves one with its own place in the order, whether it met a row or
+    not; a row that comes back takes it away. A DELETE without a place in the
+    order leaves none, as no change could be older than it.
+    """
+    kept = rows_without_keys(tombstones.select(*keys, order), changes, keys)
+    buried = changes.filter((F.col(ACTION) == DELETE) & F.col(order).isNotNull())
+    return kept.unionByName(buried.select(*keys, order))
+
+
+def merged_state(base: DataFrame, log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``base`` with the newest change of each key in ``log``.
+
+    The log is as ``change_log`` writes it, with ``order`` beside it. The base
+    is only anti-joined: a log that fits is broadcast, and the base is neither
+    shuffled nor sorted.
+    """
+    newest = newest_change(log, keys, order).drop(*order)
+    return apply_changes(base, newest, keys)
+
+
 def merge_changes(
     target: DataFrame,
     changes: DataFrame,

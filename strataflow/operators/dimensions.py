@@ -52,10 +52,12 @@ def with_day(rows: DataFrame, days: DataFrame, key: str, **named: str) -> DataFr
     A day that the calendar ``days`` does not reach is worked out from its key,
     so no row is lost. A row without a key is left out.
     """
-    known = days.select(F.col("sk_fecha").alias(key), *(F.col(c).alias(f"_{a}") for a, c in named.items()))
+    known = days.select(F.col("sk_fecha").alias(key), F.struct(*(F.col(c).alias(a) for a, c in named.items())).alias("_day"))
     own = calendar_columns(key_date(key))
+    own = F.struct(*(own[c].alias(a) for a, c in named.items()))
     joined = rows.filter(F.col(key).isNotNull()).join(F.broadcast(known), key, "left")
-    return joined.withColumns({a: F.coalesce(f"_{a}", own[c]) for a, c in named.items()}).drop(*(f"_{a}" for a in named))
+    # one test per row; attributes are only worked out where the calendar has none
+    return joined.withColumn("_day", F.coalesce("_day", own)).select(*rows.columns, *(f"_day.{a}" for a in named))
 
 
 def calendar(spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END) -> DataFrame:

@@ -9,19 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from strataflow.functions.columns import date_key, decode, hours_between, minutes_between
+from strataflow.operators.asof import as_of_lookup
 from strataflow.operators.changes import rows_with_keys
+from strataflow.operators.dimensions import key_date
 from strataflow.operators.facts import (
     averages,
     daily_rows,
+    day_runs,
     insert_only,
+    joined_runs,
     outside_ranges,
     recurrence_flag,
 )
-from strataflow.operators.scd import current_rows
+from strataflow.operators.scd import VALID_FROM, VALID_TO, current_rows
 from strataflow.session import materialize
 
 # Fixed value: days after which the source system stops expanding a participation.
@@ -91,9 +96,18 @@ def part_costs(consumption: DataFrame) -> DataFrame:
 
 
 def maintenance_fact(
-    orders: DataFrame, tables: Tables, dims: Tables, fact: DataFrame | None = None, parity: bool = False
+    orders: DataFrame,
+    tables: Tables,
+    dims: Tables,
+    fact: DataFrame | None = None,
+    parity: bool = False,
+    by_date: bool = False,
 ) -> DataFrame:
-    """One row per work order. Only orders the fact does not hold are loaded."""
+    """One row per work order. Only orders the fact does not hold are loaded.
+
+    Orders take the versions of equipment and technician that are current at
+    load time, or with ``by_date`` those valid on the day the work started.
+    """
     orders = insert_only(orders, fact, ["id_orden"])
     consumption, history = tables["consumo_repuestos"], tables["ordenes_mantenimiento"]
     if fact is not None:
@@ -124,8 +138,13 @@ def maintenance_fact(
         F.col("tipo_mantenimiento") == corrective, "indicador_reincidencia",
     )
     types = MAINTENANCE_TYPE if parity else MAINTENANCE_TYPE_ADMITTED
+    named = flagged.join(equipment, "id_equipo").join(technicians, "id_tecnico")
+    if by_date:
+        named = named.drop("sk_equipo", "sk_tecnico").withColumn("_day", F.to_date("fecha_inicio_trabajo"))
+        for dim, key, sk in (("dim_equipo", "id_equipo", "sk_equipo"), ("dim_tecnico", "id_tecnico", "sk_tecnico")):
+            named = as_of_lookup(named, dims[dim], key, "_day", VALID_FROM, [sk], VALID_TO, tie=sk, inner=True)
     profiled = _profiled(
-        flagged.join(equipment, "id_equipo").join(technicians, "id_tecnico"),
+        named,
         dims["dim_perfil_mantenimiento"],
         {
             "tipo_mantenimiento": decode(F.col("tipo_mantenimiento"), types),
@@ -207,12 +226,14 @@ def trial_fact(
     tables: Tables,
     dims: Tables,
     as_of: date,
-    fact: DataFrame | None = None,
+    loaded: DataFrame | None = None,
     parity: bool = False,
 ) -> DataFrame:
     """One row per participation and day, up to ``as_of`` while it is open.
 
-    With ``parity`` no participation goes past the source system's day limit.
+    ``loaded`` are the days that the fact has already, as ``trial_coverage``
+    gives them: the fact itself is not read. With ``parity`` no participation
+    goes past the source system's day limit.
     """
     # stored, so that the participations may be split at a hot trial
     trials = materialize(
@@ -248,14 +269,6 @@ def trial_fact(
         "numero_efectos_adversos", "resultado_medicion_principal", "resultado_medicion_secundaria",
         "nivel_eficacia",
     )
-    loaded = None
-    if fact is not None:
-        day = F.make_date(
-            F.floor(F.col("sk_fecha") / 10000).cast("int"),
-            F.floor(F.col("sk_fecha") % 10000 / 100).cast("int"),
-            F.col("sk_fecha") % 100,
-        )
-        loaded = fact.select("id_participacion", day.alias("fecha"))
     daily = daily_rows(
         intervals, visits, "id_participacion", "fecha_inicio_participacion",
         "fecha_fin_participacion", "fecha_visita", "fecha", as_of, loaded, PARITY_DAYS if parity else None,
@@ -275,22 +288,34 @@ def trial_fact(
     )
 
 
+def trial_coverage(fact: DataFrame) -> DataFrame:
+    """(id_participacion, tramos): the days that rows of the trial fact cover."""
+    days = fact.select("id_participacion", key_date("sk_fecha").alias("fecha"))
+    return joined_runs(day_runs(days, "id_participacion", "fecha"), "id_participacion")
+
+
 def load_fact(
     name: str,
     batch: DataFrame,
     tables: Tables,
     dims: Tables,
     as_of: date,
-    fact: DataFrame | None = None,
+    held: DataFrame | None = None,
     parity: bool = False,
+    by_date: bool = False,
 ) -> DataFrame:
-    """New rows of a fact for the batch of its main table."""
+    """New rows of a fact for the batch of its main table.
+
+    ``held`` is what was loaded before: the fact, or its days (``trial_coverage``)
+    for the trials. With ``by_date`` maintenance orders take the versions of
+    equipment and technician that were valid on the day of the work.
+    """
     if name == "fact_mantenimiento_equipos":
-        return maintenance_fact(batch, tables, dims, fact, parity)
+        return maintenance_fact(batch, tables, dims, held, parity, by_date)
     if name == "fact_monitorizacion_pacientes":
-        return monitoring_fact(batch, tables, dims, fact)
+        return monitoring_fact(batch, tables, dims, held)
     if name == "fact_ensayos_clinicos":
-        return trial_fact(batch, tables, dims, as_of, fact, parity)
+        return trial_fact(batch, tables, dims, as_of, held, parity)
     raise ValueError(f"unknown fact {name!r}")
 
 
@@ -302,3 +327,73 @@ def numbered(rows: DataFrame, name: str, last: int = 0) -> DataFrame:
     return rows.select(
         (F.monotonically_increasing_id() + F.lit(last + 1)).alias(FACT_SK[name]), *rows.columns
     )
+
+
+def lookups(name: str, tables: Tables, dims: Tables) -> list[tuple[str, DataFrame, str, str, list[str]]]:
+    """What a main row must find to become a fact row, in order.
+
+    Each lookup has a name, the rows it is looked up in, their key, the column
+    of the main row (or of an earlier lookup) that holds it, and columns that
+    later lookups start from.
+    """
+
+    def dim(dimension: str, key: str, column: str | None = None):
+        rows = dims[dimension]
+        return dimension, current_rows(rows) if "es_actual" in rows.columns else rows, key, column or key, []
+
+    def table(source: str, key: str, column: str, *carried: str):
+        return source, tables[source], key, column, list(carried)
+
+    if name == "fact_mantenimiento_equipos":
+        return [
+            table("equipos", "id_equipo", "id_equipo", "id_departamento", "id_ubicacion", "id_fabricante"),
+            table("tecnicos", "id_tecnico", "id_tecnico"),
+            dim("dim_equipo", "id_equipo"), dim("dim_tecnico", "id_tecnico"),
+            dim("dim_departamento", "id_departamento"), dim("dim_ubicacion", "id_ubicacion"),
+            dim("dim_fabricante", "id_fabricante"),
+        ]
+    if name == "fact_monitorizacion_pacientes":
+        return [
+            table("lecturas_signos_vitales", "id_monitorizacion", "id_monitorizacion"),
+            table("equipos", "codigo_equipo", "codigo_equipo", "id_equipo"),
+            table("departamentos", "codigo_departamento", "codigo_departamento", "id_departamento"),
+            table("ubicaciones", "codigo_ubicacion", "codigo_ubicacion", "id_ubicacion"),
+            dim("dim_equipo", "id_equipo"), dim("dim_departamento", "id_departamento"),
+            dim("dim_ubicacion", "id_ubicacion"), dim("dim_paciente", "id_paciente"),
+            dim("dim_medico", "id_medico"), dim("dim_diagnostico", "id_diagnostico"),
+        ]
+    return [
+        table("ensayos_clinicos", "id_ensayo", "id_ensayo", "codigo_departamento"),
+        table("departamentos", "codigo_departamento", "codigo_departamento", "id_departamento"),
+        dim("dim_ensayo", "id_ensayo"), dim("dim_departamento", "id_departamento"), dim("dim_paciente", "id_paciente"),
+        dim("dim_medico", "id_medico", "id_medico_asignado"), dim("dim_diagnostico", "id_diagnostico"),
+    ]
+
+
+def with_missing(rows: DataFrame, name: str, tables: Tables, dims: Tables) -> DataFrame:
+    """``rows`` with ``falta``: what each one looks up and does not find, as ``lookup=key``.
+
+    Nothing is named where the key itself is NULL, since no later row could
+    mend that: such a row is lost, like one whose codes are unknown.
+    """
+    found, names = rows, []
+    for n, (lookup, known, key, column, carried) in enumerate(lookups(name, tables, dims)):
+        fresh = [c for c in carried if c not in rows.columns]
+        known = known.filter(F.col(key).isNotNull()).dropDuplicates([key]).select(
+            F.col(key).alias(f"_k{n}"), *(F.col(c).alias(f"_c_{c}") for c in fresh)
+        )
+        held = column if column in rows.columns else f"_c_{column}"
+        found = found.join(known, F.col(held) == F.col(f"_k{n}"), "left")
+        gone = F.col(held).isNotNull() & F.col(f"_k{n}").isNull()
+        names.append(F.when(gone, F.concat(F.lit(f"{lookup}="), F.col(held).cast("string"))))
+    missing = F.filter(F.array(*names), lambda x: x.isNotNull())
+    return found.select(*rows.columns, missing.alias("falta"))
+
+
+def found_keys(name: str, tables: Tables, dims: Tables) -> DataFrame:
+    """All that ``with_missing`` could name and that is there, as ``lookup=key``."""
+    parts = [
+        known.filter(F.col(key).isNotNull()).select(F.concat(F.lit(f"{lookup}="), F.col(key).cast("string")).alias("falta"))
+        for lookup, known, key, _, _ in lookups(name, tables, dims)
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -6,7 +6,6 @@ facts. Called again, each hop continues where its checkpoint stands.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
@@ -14,16 +13,28 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from strataflow.functions.rules import rules_of
-from strataflow.operators.changes import unmatched
+from strataflow.operators.changes import ACTION, DELETE, INSERT, change_log, rows_with_keys, unmatched
 from strataflow.operators.dimensions import calendar, junk_dimension
+from strataflow.operators.facts import RUN_TYPE, joined_runs
 from strataflow.operators.keys import last_key
 from strataflow.plans.hospital.catalog import TABLES, quality_rules
 from strataflow.plans.hospital.dimensions import ALL_DIMENSIONS, DIMENSIONS, PROFILES, load_dimension
-from strataflow.plans.hospital.facts import FACT_KEYS, FACT_SK, FACTS, load_fact, numbered
+from strataflow.plans.hospital.facts import (
+    FACT_KEYS,
+    FACT_SK,
+    FACTS,
+    found_keys,
+    load_fact,
+    numbered,
+    trial_coverage,
+    with_missing,
+)
 from strataflow.plans.hospital.views import serving_views
 from strataflow.session import materialize
 from strataflow.sources.landing import read_or_none
 from strataflow.sources.schema import TECHNICAL_COLUMNS
+from strataflow.streaming.loads import Load, Loads
+from strataflow.streaming.merged import MergedTables
 from strataflow.streaming.refresh import Hop, follow_changed, follow_cleansed, follow_raw
 from strataflow.streaming.snapshots import Snapshots
 
@@ -48,9 +59,9 @@ def initial_star(
 class Warehouse:
     """``schemas`` are those of the landing tables in use, by table name.
 
-    ``retry`` keeps main rows of a fact that found no dimension row yet and
-    offers them again with the next batch; without it they are lost, as in the
-    source system.
+    ``retry`` keeps main rows of a fact that miss a dimension or source row by
+    the keys they miss, and loads them once those are there; without it they
+    are lost, as in the source system.
     """
 
     def __init__(
@@ -70,7 +81,7 @@ class Warehouse:
 
     def _hop(self, name: str, schema: T.StructType) -> Hop:
         kept = T.StructType([f for f in schema.fields if f.name.lower() not in TECHNICAL_COLUMNS])
-        return Hop(name, TABLES[name].key, kept, self.root, self.buckets)
+        return Hop(name, TABLES[name].key, kept, self.root)
 
     # --- what is stored -------------------------------------------------
 
@@ -103,23 +114,27 @@ class Warehouse:
         found = ((name, self.dimension(name)) for name in ALL_DIMENSIONS)
         return {name: dim for name, dim in found if dim is not None}
 
-    def _fact_before(self, name: str, batch: int | None) -> tuple[DataFrame | None, int]:
-        """A fact without what ``batch`` may have written, and its last row key.
+    def _loads(self, name: str) -> Loads:
+        return Loads(self.spark, f"{self.root}/conformed/{name}", FACT_KEYS[name][0], FACT_SK[name])
 
-        Rows lie by month and by load, so only the newest load is searched for
-        the last key.
-        """
-        fact = read_or_none(self.spark, f"{self.root}/conformed/{name}")
-        loads = [] if fact is None else {int(re.search(r"/lote=(\d+)/", f)[1]) for f in fact.inputFiles()}
-        loads = [n for n in loads if batch is None or n < batch]
-        if not loads:
-            return None, 0
-        newest = last_key(fact.filter(F.col("lote") == max(loads)), FACT_SK[name])
-        return fact.filter(F.col("lote") <= max(loads)).drop("mes", "lote"), newest
+    def _waiting(self, name: str) -> MergedTables:
+        """Main rows of a fact that miss something, with what they miss."""
+        hop = self.hops[FACTS[name]]
+        schema = T.StructType([*hop.schema.fields, T.StructField("falta", T.ArrayType(T.StringType()))])
+        return MergedTables(self.spark, f"{self.root}/pending/{name}", {"rows": schema}, hop.keys)
+
+    def _days(self, name: str) -> MergedTables:
+        """The days that a fact of intervals has already, as runs."""
+        key = FACT_KEYS[name][0]
+        schema = T.StructType().add(key, T.LongType()).add("tramos", RUN_TYPE)
+        return MergedTables(self.spark, f"{self.root}/coverage/{name}", {"rows": schema}, [key])
 
     def fact(self, name: str) -> DataFrame | None:
-        fact = read_or_none(self.spark, f"{self.root}/conformed/{name}")
-        return None if fact is None else fact.drop("mes", "lote")
+        fact = self._loads(name).read()
+        return None if fact is None else fact.drop("mes")
+
+    def waiting(self, name: str) -> DataFrame:
+        return self._waiting(name).read("rows")
 
     def views(self, all_versions: bool = False) -> dict[str, DataFrame]:
         facts = {name: self.fact(name) for name in FACTS}
@@ -148,33 +163,81 @@ class Warehouse:
         )
         store.publish(batch, {"rows": dim}, buckets)
 
-    def _load_fact(self, name: str, batch_rows: DataFrame, batch: int, as_of: date) -> None:
-        waiting = f"{self.root}/pending/{name}"
+    def _held(self, name: str, rows: DataFrame) -> DataFrame | None:
+        """What the fact has already of the main rows: their days, or rows with their keys."""
         main_keys = list(TABLES[FACTS[name]].key)
+        if name == "fact_ensayos_clinicos":
+            return rows_with_keys(self._days(name).read("rows"), rows, main_keys)
+        near = self._loads(name).near(rows, main_keys[0])
+        return None if near is None else near.drop("mes")
+
+    def _load_fact(self, name: str, batch_rows: DataFrame, batch: int, as_of: date) -> None:
+        """Load a batch of main rows. Each step of it is done once, whenever it is repeated."""
+        loads = self._loads(name)
+        follows = [*([self._waiting(name)] if self.retry else []), *self._by_days(name)]
+        if loads.holds(batch) and all(s.holds(loads.loads()[-1].load) for s in follows):
+            return
         rows = materialize(batch_rows, name)
-        if self.retry:
-            held = read_or_none(self.spark, waiting)
-            earlier = None if held is None else held.filter(F.col("lote") < batch)
-            last = None if earlier is None else earlier.agg(F.max("lote")).first()[0]
-            if last is not None:
-                before = earlier.filter(F.col("lote") == last).drop("lote")
-                rows = rows.unionByName(unmatched(before, rows, main_keys))
-        fact, newest = self._fact_before(name, batch)
-        dims, tables = self.dimensions(), self._cleansed_tables()
-        fresh = load_fact(name, rows, tables, dims, as_of, fact, self.parity)
-        placed = numbered(fresh, name, newest).withColumns({
-            "mes": F.floor(F.col("sk_fecha") / 100).cast("int"), "lote": F.lit(batch),
-        })
-        # a repeated batch replaces what it wrote before
-        (
-            placed.hint("rebalance", "mes").write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("mes", "lote")
-            .parquet(f"{self.root}/conformed/{name}")
+        if not loads.holds(batch):
+            self._add(name, loads, rows, batch, as_of)
+        self._follow(name, loads, rows)
+
+    def _by_days(self, name: str) -> list[MergedTables]:
+        return [self._days(name)] if name == "fact_ensayos_clinicos" else []
+
+    def _add(self, name: str, loads: Loads, rows: DataFrame, batch: int, as_of: date) -> Load:
+        self._cover(name, loads)
+        fresh = load_fact(
+            name, rows, self._cleansed_tables(), self.dimensions(), as_of, self._held(name, rows), self.parity
         )
-        if self.retry and (loaded := self.fact(name)) is not None:
-            loaded = loaded.withColumnRenamed(FACT_KEYS[name][0], main_keys[0])
-            left = unmatched(rows, loaded, main_keys)
-            left.write.mode("overwrite").parquet(f"{waiting}/lote={batch}")
+        placed = numbered(fresh, name, loads.last_key()).withColumn("mes", F.floor(F.col("sk_fecha") / 100).cast("int"))
+        return loads.publish(batch, placed, "mes")
+
+    def _cover(self, name: str, loads: Loads) -> None:
+        """Enter the days of loads that are not entered yet. They are taken from the loads
+        themselves, so a load that was cut off in between is made up for."""
+        for days in self._by_days(name):
+            for entry in loads.loads():
+                if days.holds(entry.load):
+                    continue
+                key, loaded = days.keys[0], loads.read([entry.load])
+                log = days.read("rows").limit(0).select(F.lit(INSERT).alias(ACTION), "*")
+                if loaded is not None:
+                    runs = trial_coverage(loaded)
+                    before = materialize(rows_with_keys(days.read("rows"), runs, [key]), "days")
+                    each = runs.unionByName(before).select(key, F.inline("tramos"))
+                    after = materialize(joined_runs(each, key).withColumn(ACTION, F.lit(INSERT)), "days")
+                    log = change_log(before, after, [key])
+                days.publish(entry.load, {"rows": log})
+
+    def _follow(self, name: str, loads: Loads, rows: DataFrame) -> None:
+        """Enter what the newest load covers, and which of its main rows wait."""
+        self._cover(name, loads)
+        newest = loads.loads()[-1].load
+        if self.retry and not (waiting := self._waiting(name)).holds(newest):
+            asked = with_missing(rows, name, self._cleansed_tables(), self.dimensions())
+            asked = materialize(asked, "missing")
+            before = materialize(rows_with_keys(waiting.read("rows"), asked, waiting.keys), "waiting")
+            acts = F.when(F.size("falta") > 0, INSERT).otherwise(DELETE)
+            waiting.publish(newest, {"rows": change_log(before, asked.withColumn(ACTION, acts), waiting.keys)})
+
+    def _wake(self, name: str, as_of: date) -> None:
+        """Load waiting rows that no longer miss what they waited for.
+
+        Rows are found by the keys they miss, so those that still wait are not looked at.
+        """
+        waiting, loads = self._waiting(name), self._loads(name)
+        held = waiting.read("rows")
+        if not loads.loads() or held.isEmpty():
+            return
+        index = materialize(held.select(*waiting.keys, F.explode("falta").alias("falta")), "index")
+        wanted = index.select("falta").distinct()
+        there = found_keys(name, self._cleansed_tables(), self.dimensions()).join(wanted, "falta", "left_semi").distinct()
+        still = index.join(materialize(there, "there"), "falta", "left_anti").select(*waiting.keys).distinct()
+        woken = materialize(unmatched(held, still, waiting.keys).drop("falta"), "woken")
+        if not woken.isEmpty():
+            self._add(name, loads, woken, loads.batch(), as_of)
+            self._follow(name, loads, woken)
 
     # --- refresh ------------------------------------------------------------
 
@@ -214,17 +277,35 @@ class Warehouse:
             ),
             {n: logs[main] for n, main in FACTS.items() if main in logs},
         )
+        if self.retry:
+            for name, main in FACTS.items():
+                if main in logs:
+                    self._wake(name, as_of)
 
     def load_object(self, name: str, as_of: date) -> DataFrame:
-        """A dimension, or the missing rows of a fact, computed from all cleansed rows.
+        """Load one dimension, or the missing rows of a fact, from all cleansed rows.
 
         Brings attributes looked up in other tables up to date and extends open
         intervals to ``as_of``, which a refresh does only for changed rows.
+        What is loaded is stored as a refresh would store it, and read back:
+        the dimension, or the rows that the fact gained.
         """
-        tables = self._cleansed_tables()
-        if name in FACTS:
-            main = tables[FACTS[name]]
-            return load_fact(name, main, tables, self.dimensions(), as_of, self.fact(name), self.parity)
         if name == "dim_fecha":
             return self.dimension(name)
-        return load_dimension(self.spark, name, tables, self.dimension(name), as_of)
+        if name in PROFILES:
+            self._load_profile(name)
+            return self.dimension(name)
+        tables = self._cleansed_tables()
+        if name in DIMENSIONS:
+            store = self._store(name)
+            dim = load_dimension(self.spark, name, tables, store.read("rows"), as_of)
+            store.publish(store.batch(), {"rows": dim}, range(self.buckets))
+            return store.read("rows")
+        loads, rows = self._loads(name), materialize(tables[FACTS[name]], name)
+        before = self.fact(name)
+        gained = self._add(name, loads, rows, loads.batch(), as_of)
+        self._follow(name, loads, rows)
+        found = loads.read([gained.load])
+        if found is None:
+            return before if before is None else before.limit(0)
+        return found.drop("mes")

@@ -521,6 +521,12 @@ BODIES: dict[str, str] = {
         SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END AS o_totalprice,
                CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 1 ELSE CAST(o_orderdate AS DATE) END
                AS o_orderdate FROM orders""",
+    "cdc_tombstone_guard": """
+        SELECT o_orderkey AS id_orden,
+               CASE WHEN o_orderkey % 2 = 0 THEN -2.0 WHEN o_orderkey % 3 <> 0 THEN -1.0 ELSE o_totalprice END AS importe,
+               CAST(o_orderdate AS DATE)
+               + CASE WHEN o_orderkey % 2 = 0 THEN 7 WHEN o_orderkey % 3 <> 0 THEN 3 ELSE 0 END AS dia
+        FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0""",
     "cdc_soft_delete": """
         SELECT o_orderkey, o_totalprice, o_totalprice > 200000 AND o_orderstatus = 'P' AS is_deleted FROM orders
         WHERE (o_orderpriority <> '5-LOW' AND (o_totalprice <= 200000 OR o_orderstatus <> 'P'))
@@ -646,6 +652,24 @@ BODIES: dict[str, str] = {
         SELECT s_suppkey, n_days, DATE '1990-01-01' AS primero, CAST(DATE '1990-01-01' + n_days - 1 AS DATE) AS ultimo
         FROM (SELECT s_suppkey, CAST(CASE WHEN s_suppkey % 100 > 50 THEN 3650 ELSE 3600 + s_suppkey % 100 END AS INTEGER)
               AS n_days FROM supplier)""",
+    "fact_daily_gaps": """
+        WITH l AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS d, l_linenumber AS n FROM lineitem),
+        held AS (
+            SELECT l_orderkey, d FROM l UNION
+            SELECT l_orderkey, CAST(unnest(generate_series(d - 3, d + CAST(n AS INTEGER), INTERVAL 1 DAY)) AS DATE) FROM l
+            WHERE n > 2
+        ), days AS (
+            SELECT o_orderkey, CAST(o_orderdate AS DATE) AS desde, CAST(o_orderdate AS DATE) + 60 AS hasta,
+                   CAST(o_orderdate AS DATE) + CAST(unnest(range(0, 61)) AS INTEGER) AS dia FROM orders
+        )
+        SELECT days.*, CAST(l.n AS BIGINT) AS linea
+        FROM days ANTI JOIN held ON held.l_orderkey = days.o_orderkey AND held.d = days.dia
+        LEFT JOIN l ON l.l_orderkey = days.o_orderkey AND l.d + 9 = days.dia""",
+    "fact_asof_version": """
+        SELECT o_orderkey, o_custkey AS c_custkey, DATE '2023-12-20' + CAST(o_orderkey % 100 AS INTEGER) AS dia,
+               sk_customer, c_mktsegment
+        FROM orders LEFT JOIN cli_2 ON c_custkey = o_custkey
+         AND DATE '2023-12-20' + CAST(o_orderkey % 100 AS INTEGER) BETWEEN fecha_inicio AND COALESCE(fecha_fin, DATE '9999-12-31')""",
     "cdc_load_order": """
         SELECT lado, p_partkey, p_name, p_size + 1 AS p_size FROM part,
                (SELECT unnest(['fecha', 'carga']) AS lado)""",

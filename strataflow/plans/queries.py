@@ -19,11 +19,14 @@ from strataflow.functions.rules import (
     within,
 )
 from strataflow.operators import changes as cdc
+from strataflow.operators.asof import as_of_lookup
 from strataflow.operators.dimensions import calendar, junk_dimension
 from strataflow.operators.facts import (
     averages,
     daily_rows,
+    day_runs,
     insert_only,
+    joined_runs,
     outside_ranges,
     recurrence_flag,
 )
@@ -39,7 +42,7 @@ from strataflow.plans.hospital.dimensions import (
     TRIAL_PROFILE,
     load_dimension,
 )
-from strataflow.plans.hospital.facts import FACTS, PARITY_DAYS, load_fact
+from strataflow.plans.hospital.facts import FACTS, PARITY_DAYS, load_fact, trial_coverage
 from strataflow.plans.hospital.views import FACT_VIEWS
 from strataflow.plans.roles import ROLES, base_tables, cleansed_tables, portable, role_tables
 from strataflow.session import materialize, scratch_path
@@ -275,7 +278,7 @@ def cdc_stream_refresh(spark, sf_dir):
         F.col("user_id").alias("id_usuario"), "event_id", "event_type", "value",
         F.col("ts").alias("fecha_modificacion"), F.lit("carga").alias("_dlt_load_id"),
     )
-    hop = Hop("eventos", ("id_usuario",), without_technical(landed).schema, root, buckets=4)
+    hop = Hop("eventos", ("id_usuario",), without_technical(landed).schema, root)
     landed.repartitionByRange(3, "fecha_modificacion").write.parquet(f"{root}/landing/eventos")
     # files of one write come in any order, so older rows must not win
     follow_raw(spark, hop, f"{root}/landing", landed.schema, guard=True, files_per_batch=1).awaitTermination()
@@ -289,6 +292,31 @@ def cdc_stream_refresh(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
+@query
+def cdc_tombstone_guard(spark, sf_dir):
+    """Orders are deleted; older versions that arrive later stay deleted, newer ones come back."""
+    orders = base_tables(spark, sf_dir)["orders"]
+    root = scratch_path(spark, "tombstones")
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    batches = [
+        (F.lit(True), 0, F.col("o_totalprice"), False),
+        (status == "F", 5, F.col("o_totalprice"), True),
+        (key % 3 != 0, 3, F.lit(-1.0), False),
+        (key % 2 == 0, 7, F.lit(-2.0), False),
+    ]
+    hop = None
+    for picked, days, price, deleted in batches:
+        landed = orders.filter(picked).select(
+            key.alias("id_orden"), price.alias("importe"),
+            (F.col("o_orderdate") + F.expr(f"interval {days} days")).cast("timestamp").alias("fecha_modificacion"),
+            F.lit(deleted).alias("is_deleted"), F.lit("carga").alias("_dlt_load_id"),
+        )
+        landed.write.mode("append").parquet(f"{root}/landing/ordenes")
+        hop = hop or Hop("ordenes", ("id_orden",), without_technical(landed).schema, root)
+        follow_raw(spark, hop, f"{root}/landing", landed.schema, guard=True).awaitTermination()
+    return hop.raw(spark).read("rows").select("id_orden", "importe", F.to_date("fecha_modificacion").alias("dia"))
+
+
 @query
 def cdc_load_order(spark, sf_dir):
     """Two deliveries of one key wait together; without a date column the later one wins,
@@ -304,7 +332,7 @@ def cdc_load_order(spark, sf_dir):
             part.withColumn("p_size", F.col("p_size") + k).withColumn(column, F.lit(mark)) for k, mark in enumerate(marks)
         )
         newer.unionByName(older).write.parquet(f"{root}/landing/{side}")
-        hop = Hop(side, ("p_partkey",), without_technical(older).schema, root, buckets=4)
+        hop = Hop(side, ("p_partkey",), without_technical(older).schema, root)
         follow_raw(spark, hop, f"{root}/landing", older.schema).awaitTermination()
         sides.append(hop.raw(spark).read("rows").select(F.lit(side).alias("lado"), "p_partkey", "p_name", "p_size"))
     return sides[0].unionByName(sides[1])
@@ -614,12 +642,12 @@ FACT_INPUTS = {
 }
 
 
-def _fact(spark, sf_dir, name, parity=False, fact=None, as_of=AS_OF):
+def _fact(spark, sf_dir, name, parity=False, held=None, as_of=AS_OF):
     tables = {
         t: stored(spark, sf_dir, t, lambda t=t: cleansed_tables(spark, sf_dir, t)[t]) for t in FACT_INPUTS[name][0]
     }
     dims = star_dimensions(spark, sf_dir, *FACT_INPUTS[name][1])
-    return load_fact(name, tables[FACTS[name]], tables, dims, as_of, fact, parity)
+    return load_fact(name, tables[FACTS[name]], tables, dims, as_of, held, parity)
 
 
 @query
@@ -650,7 +678,8 @@ def fact_ensayos_two_loads(spark, sf_dir):
     earlier = stored(
         spark, sf_dir, f"{name}_earlier", lambda: _fact(spark, sf_dir, name, as_of=date(2001, 6, 1))
     )
-    return earlier.unionByName(_fact(spark, sf_dir, name, fact=earlier))
+    held = stored(spark, sf_dir, f"{name}_days", lambda: trial_coverage(earlier))
+    return earlier.unionByName(_fact(spark, sf_dir, name, held=held))
 
 
 @query
@@ -659,7 +688,7 @@ def fact_mantenimiento_two_loads(spark, sf_dir):
     name = "fact_mantenimiento_equipos"
     whole = stored(spark, sf_dir, name, lambda: _fact(spark, sf_dir, name))
     held = whole.filter(F.col("sk_fecha") < 20000101)
-    return held.unionByName(_fact(spark, sf_dir, name, fact=held))
+    return held.unionByName(_fact(spark, sf_dir, name, held=held))
 
 
 def _view(spark, sf_dir, name, all_versions=False):
@@ -812,6 +841,37 @@ def fact_daily_long_parity(spark, sf_dir):
     return _long_intervals(spark, sf_dir, PARITY_DAYS)
 
 
+@query
+def fact_daily_gaps(spark, sf_dir):
+    """Days of orders that are not loaded yet: what is held has holes and overlaps."""
+    t = base_tables(spark, sf_dir)
+    orders = t["orders"].select(
+        "o_orderkey", F.to_date("o_orderdate").alias("desde"), F.date_add(F.to_date("o_orderdate"), 60).alias("hasta")
+    )
+    lines = t["lineitem"].select(F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("dia"), "l_linenumber")
+    single = day_runs(lines, "o_orderkey", "dia")
+    spread = lines.filter("l_linenumber > 2").select(
+        "o_orderkey", F.date_sub("dia", 3).alias("desde"), F.date_add("dia", F.col("l_linenumber")).alias("hasta")
+    )
+    held = materialize(joined_runs(single.unionByName(spread), "o_orderkey"), "held")
+    visits = lines.select("o_orderkey", F.date_add("dia", 9).alias("visita"), F.col("l_linenumber").cast("long").alias("linea"))
+    return daily_rows(orders, visits, "o_orderkey", "desde", "hasta", "visita", "dia", AS_OF, held)
+
+
+@query
+def fact_asof_version(spark, sf_dir):
+    """Orders take the version of their customer that was valid on a day of their own."""
+    orders = base_tables(spark, sf_dir)["orders"].select(
+        "o_orderkey", F.col("o_custkey").alias("c_custkey"),
+        F.date_add(F.lit(date(2023, 12, 20)), (F.col("o_orderkey") % 100).cast("int")).alias("dia"),
+    )
+    dim = stored(spark, sf_dir, "dim_customer_2", lambda: _customer_rounds(spark, sf_dir, date(2024, 3, 1)))
+    columns = ["sk_customer", "c_mktsegment"]
+    return as_of_lookup(
+        orders, dim, "c_custkey", "dia", "fecha_inicio", columns, end="fecha_fin", tie="sk_customer"
+    )
+
+
 @query
 def fact_insert_only(spark, sf_dir):
     orders = base_tables(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")

@@ -17,67 +17,87 @@ from strataflow.functions.rules import Rule, passes
 from strataflow.operators.changes import (
     ACTION,
     INSERT,
-    apply_changes,
     change_log,
     change_order,
     effective_changes,
     newest_change,
     order_column,
     post_images,
+    rows_with_keys,
+    snapshot_diff,
     soft_delete_column,
+    tombstones_after,
 )
 from strataflow.session import materialize
 from strataflow.sources.schema import without_technical
-from strataflow.streaming.snapshots import Snapshots
+from strataflow.streaming.merged import BATCH, MergedTables, log_schema
 
-BATCH = "lote"
+DELETED = "deleted"  # table of the keys that were deleted, and when
 
 
 @dataclass(frozen=True)
 class Hop:
-    """One table on its way: where it lives and what identifies its rows."""
+    """One table on its way: where it lives and what identifies its rows.
+
+    ``remember`` is how long a deletion is kept against older rows that arrive
+    after it: an SQL interval back from the newest row of a batch, or for ever
+    if none is given.
+    """
 
     name: str
     keys: tuple[str, ...]
     schema: T.StructType
     root: str
-    buckets: int = 64
+    remember: str | None = None
 
-    def raw(self, spark: SparkSession) -> Snapshots:
-        return Snapshots(spark, f"{self.root}/raw/{self.name}", {"rows": self.schema}, self.keys, self.buckets)
+    def raw(self, spark: SparkSession) -> MergedTables:
+        order = order_column(self.schema.names)
+        schemas = {"rows": self.schema}
+        if order is not None:
+            schemas[DELETED] = T.StructType([f for f in self.schema.fields if f.name in (*self.keys, order)])
+        return MergedTables(spark, f"{self.root}/raw/{self.name}", schemas, self.keys)
 
-    def cleansed(self, spark: SparkSession) -> Snapshots:
+    def cleansed(self, spark: SparkSession) -> MergedTables:
         schemas = {"valid": self.schema, "errors": self.schema}
-        return Snapshots(spark, f"{self.root}/cleansed/{self.name}", schemas, self.keys, self.buckets)
+        return MergedTables(spark, f"{self.root}/cleansed/{self.name}", schemas, self.keys)
 
     def log(self, layer: str) -> str:
         return f"{self.root}/{layer}/{self.name}/log"
 
 
-def _write_log(rows: DataFrame, path: str, batch: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
-
-
 def raw_batch(hop: Hop, rows: DataFrame, batch: int, guard: bool = False) -> None:
     """Merge landed rows into the raw table and log what changed.
 
     The newest row of a key is chosen while the loader's columns are still
-    there: they tell deliveries apart in a table without dates of its own.
+    there: they tell deliveries apart in a table without dates of its own. Only
+    rows of the keys that arrive are read from the table to be compared, and
+    only what changes is written.
     """
     spark = rows.sparkSession
     table = hop.raw(spark)
     if table.holds(batch):
         return
-    order = order_column(rows.columns)
+    order = order_column(rows.columns) if guard else None
     changes = newest_change(rows.withColumn(ACTION, F.lit(INSERT)), hop.keys, change_order(rows.columns))
     changes = materialize(without_technical(changes), "changes")
-    buckets = table.touched(changes)
-    target = table.read("rows", buckets)
-    changes = effective_changes(
-        target, changes, hop.keys, soft_delete_column(rows.columns), order if guard else None
-    )
-    _write_log(change_log(target, changes, hop.keys), hop.log("raw"), batch)
-    table.publish(batch, {"rows": apply_changes(target, changes, hop.keys)}, buckets)
+
+    def held(name: str) -> DataFrame:
+        return materialize(rows_with_keys(table.read(name), changes, hop.keys), name)
+
+    before, graves, old = held("rows"), None, None
+    if order is not None:
+        graves = held(DELETED)
+        if hop.remember is not None:
+            newest = F.lit(changes.agg(F.max(order)).first()[0])
+            expired = F.col(order) < newest - F.expr(f"interval {hop.remember}")
+            graves, old = graves.filter(~expired), table.read(DELETED).filter(expired)
+    changes = effective_changes(before, changes, hop.keys, soft_delete_column(rows.columns), order, graves)
+    changes = materialize(changes, "effective")
+    logs = {"rows": change_log(before, changes, hop.keys)}
+    if graves is not None:
+        known = graves if old is None else graves.unionByName(old)
+        logs[DELETED] = snapshot_diff(known, tombstones_after(graves, changes, hop.keys, order), hop.keys)
+    table.publish(batch, logs)
 
 
 def cleansed_batch(hop: Hop, log: DataFrame, batch: int, rules: Sequence[Rule]) -> None:
@@ -96,16 +116,13 @@ def cleansed_batch(hop: Hop, log: DataFrame, batch: int, rules: Sequence[Rule])
         keyed &= F.col(key).isNotNull()
     good = passes(rules, log) & keyed
     log = materialize(log.withColumn("_good", good), "log")
-    buckets = tables.touched(log)
-    merged = {}
+    logs = {}
     for name, side in (("valid", F.col("_good")), ("errors", ~F.col("_good"))):
         newest = newest_change(log.filter(side).drop("_good"), hop.keys, [BATCH]).drop(BATCH)
         changes = materialize(newest, "side")
-        target = tables.read(name, buckets)
-        merged[name] = apply_changes(target, changes, hop.keys)
-        if name == "valid":
-            _write_log(change_log(target, changes, hop.keys), hop.log("cleansed"), batch)
-    tables.publish(batch, merged, buckets)
+        before = materialize(rows_with_keys(tables.read(name), changes, hop.keys), "held")
+        logs[name] = change_log(before, changes, hop.keys)
+    tables.publish(batch, logs)
 
 
 def changed_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -113,10 +130,6 @@ def changed_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     return post_images(newest_change(log, keys, [BATCH])).drop(BATCH)
 
 
-def log_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(ACTION, T.StringType()), *schema.fields, T.StructField(BATCH, T.LongType())])
-
-
 def follow(
     spark: SparkSession,
     path: str,

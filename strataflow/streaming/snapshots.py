@@ -2,7 +2,7 @@
 
 Rows are spread over buckets by a hash of their key. A batch rewrites only the
 buckets it touches, into a folder of its own, and then records in one small
-file which folder holds each bucket. Readers follow the newest record, so a
+file which folder holds each bucket. Readers follow the record, so a
 batch shows up whole, in all its tables at once, or not at all; a batch that is
 repeated finds its record and does nothing.
 """
@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from strataflow.sources.landing import read_or_none
+from strataflow.streaming.merged import Record
 
 RECORD = "batch long, table string, bucket int, version long"
 
@@ -34,7 +34,7 @@ class Snapshots:
     ):
         self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
         self.schemas = dict(schemas)
-
+        self.record = Record(spark, f"{path}/record", RECORD)
         self._known: tuple[int, dict[tuple[str, int], int]] | None = None
 
     def _record(self) -> tuple[int, dict[tuple[str, int], int]]:
@@ -43,22 +43,16 @@ class Snapshots:
         One stream writes a table, so what this object has seen stays true.
         """
         if self._known is None:
-            self._known = self._newest_record()
+            rows = self.record.read()  # at most one row per table and bucket, plus one
+            last = rows[0].batch if rows else -1
+            self._known = last, {(r.table, r.bucket): r.version for r in rows if r.table is not None}
         return self._known
 
-    def _newest_record(self) -> tuple[int, dict[tuple[str, int], int]]:
-        listing = read_or_none(self.spark, f"{self.path}/records", RECORD)
-        # file names only; of all records one is opened
-        files = {_number("at", f): f for f in listing.inputFiles()} if listing is not None else {}
-        if not files:
-            return -1, {}
-        last = max(files)
-        # at most one row per table and bucket, plus one for the batch itself
-        rows = self.spark.read.schema(RECORD).parquet(files[last]).collect()
-        return last, {(r.table, r.bucket): r.version for r in rows if r.table is not None}
+    def batch(self) -> int:
+        return self._record()[0]
 
     def holds(self, batch: int) -> bool:
-        return self._record()[0] >= batch
+        return self.batch() >= batch
 
     def bucket(self):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -88,16 +82,16 @@ class Snapshots:
     def publish(self, batch: int, rows: Mapping[str, DataFrame], buckets: Sequence[int]) -> None:
         """Replace the given buckets of the given tables by ``rows``."""
         _, held = self._record()
-        replaced = set(buckets)
+        replaced, version = set(buckets), max(held.values(), default=-1) + 1
         for table, df in rows.items():
-            target = f"{self.path}/{table}/version={batch}"
+            target = f"{self.path}/{table}/version={version}"
             # buckets of any size: large ones are split over tasks, small ones merged
             placed = df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
-            placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
+            writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.partitionBy("bucket").parquet(target)
             written = {_number("bucket", f) for f in self.spark.read.schema("bucket int").parquet(target).inputFiles()}
             held = {k: v for k, v in held.items() if k[0] != table or k[1] not in replaced}
-            held |= {(table, bucket): batch for bucket in written}
+            held |= {(table, bucket): version for bucket in written}
         lines = [(batch, None, None, None)] + [(batch, t, b, v) for (t, b), v in held.items()]
-        record = self.spark.createDataFrame(lines, RECORD).coalesce(1)
-        record.write.mode("overwrite").parquet(f"{self.path}/records/at={batch}")
+        self.record.write(lines)
         self._known = batch, held

@@ -1,13 +1,17 @@
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from strataflow.operators.asof import as_of_lookup
 from strataflow.operators.facts import (
     averages,
     daily_rows,
+    day_runs,
     insert_only,
+    joined_runs,
     outside_ranges,
     recurrence_flag,
 )
@@ -122,7 +126,63 @@ def test_daily_rows(spark):
 
 def test_daily_rows_leave_loaded_days_out(spark):
     j = lambda d: date(2024, 1, d)
-    loaded = spark.createDataFrame([(1, j(1)), (1, j(2)), (2, j(3))], "k int, dia date")
+    loaded = joined_runs(day_runs(spark.createDataFrame([(1, j(1)), (1, j(2)), (2, j(3))], "k int, dia date"), "k", "dia"), "k")
     visits = [(1, datetime(2024, 1, 2), 1), (1, datetime(2024, 1, 3), 2)]
     out = _daily(spark, [(1, j(1), j(4))], visits, loaded)
     assert sorted((r.dia, r.n) for r in out.collect()) == [(j(3), 2), (j(4), None)]
+
+
+def test_runs_against_sets_of_days(spark):
+    rng = random.Random(3)
+    day = lambda n: date(2024, 1, 1) + timedelta(days=n)
+    held = {k: {rng.randrange(60) for _ in range(rng.randrange(40))} for k in range(30)}
+    days = spark.createDataFrame([(k, day(n)) for k, ns in held.items() for n in ns for _ in range(2)] + [(None, day(1)), (99, None)], "k int, dia date")
+    runs = day_runs(days, "k", "dia")
+    got = {}
+    for r in runs.collect():
+        got.setdefault(r.k, []).append(((r.desde - day(0)).days, (r.hasta - day(0)).days))
+    for k, ns in held.items():
+        mine = sorted(got.get(k, []))
+        assert {n for a, b in mine for n in range(a, b + 1)} == ns
+        assert all(b + 1 < c for (_, b), (c, _) in zip(mine, mine[1:]))  # no two of them touch
+    assert set(got) == {k for k, ns in held.items() if ns}
+    # overlapping and touching runs are joined, whatever their order
+    loose = [(k, day(a), day(a + rng.randrange(9))) for k in range(30) for a in (rng.randrange(60) for _ in range(k % 7))]
+    joined = joined_runs(spark.createDataFrame(loose, "k int, desde date, hasta date"), "k")
+    for r in joined.collect():
+        mine = [((x.desde - day(0)).days, (x.hasta - day(0)).days) for x in r.tramos]
+        assert {n for a, b in mine for n in range(a, b + 1)} == {
+            n for k, a, b in loose if k == r.k for n in range((a - day(0)).days, (b - day(0)).days + 1)}
+        assert all(b + 1 < c for (_, b), (c, _) in zip(mine, mine[1:]))
+    # what an interval has left
+    spans = [(k, day(rng.randrange(-5, 50)), day(rng.randrange(5, 80))) for k in range(30)]
+    out = _daily(spark, spans, [(3, datetime(2024, 1, 9), 7)], joined_runs(runs, "k"))
+    left = {}
+    for r in out.collect():
+        left.setdefault(r.k, set()).add((r.dia - day(0)).days)
+    for k, a, b in spans:
+        whole = set(range((a - day(0)).days, (b - day(0)).days + 1))
+        assert left.get(k, set()) == whole - held[k]
+
+
+def test_as_of_lookup_against_a_loop(spark):
+    rng = random.Random(4)
+    day = lambda n: date(2024, 1, 1) + timedelta(days=n)
+    versions = [(10 * k + v, k if k else None, day(rng.randrange(40)), None if rng.random() < 0.5 else day(rng.randrange(60)), f"v{k}{v}")
+                for k in range(6) for v in range(4)]
+    rows = [(i, rng.choice([None, 1, 1, 1, 2, 3, 4, 5, 77]), None if rng.random() < 0.1 else day(rng.randrange(-5, 60))) for i in range(300)]
+
+    def expected(k, at):
+        mine = [v for v in versions if k is not None and at is not None and v[1] == k and v[2] <= at]
+        best = max(mine, key=lambda v: (v[2], v[0]), default=None)
+        return (best[0], best[4]) if best and (best[3] is None or at <= best[3]) else (None, None)
+
+    dim = spark.createDataFrame(versions, "sk int, k int, desde date, hasta date, texto string")
+    facts = spark.createDataFrame(rows, "i int, k int, dia date").repartition(3)
+    for slice_rows in (10**6, 7):
+        got = as_of_lookup(facts, dim, "k", "dia", "desde", ["sk", "texto"], "hasta", tie="sk", slice_rows=slice_rows)
+        assert sorted(map(tuple, got.collect())) == sorted([(*r, *expected(r[1], r[2])) for r in rows], key=lambda r: r[0])
+    inner = as_of_lookup(facts, dim, "k", "dia", "desde", ["sk"], "hasta", tie="sk", inner=True)
+    assert sorted((r.i, r.sk) for r in inner.collect()) == [(r[0], expected(r[1], r[2])[0]) for r in rows if expected(r[1], r[2])[0] is not None]
+    assert as_of_lookup(facts.limit(0), dim, "k", "dia", "desde", ["sk"]).count() == 0
+    assert as_of_lookup(facts, dim.limit(0), "k", "dia", "desde", ["sk"]).filter("sk is null").count() == 300

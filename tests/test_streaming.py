@@ -12,9 +12,10 @@ from strataflow.streaming.refresh import (
     cleansed_batch,
     follow_cleansed,
     follow_raw,
-    log_schema,
     raw_batch,
 )
+from strataflow.streaming.loads import Loads
+from strataflow.streaming.merged import MergedTables, Record, log_schema
 from strataflow.streaming.snapshots import Snapshots
 
 ROW = T.StructType([
@@ -33,7 +34,7 @@ def _landed(spark, *data):
 
 
 def _hop(root):
-    return Hop("cosas", ("id",), ROW, str(root), buckets=3)
+    return Hop("cosas", ("id",), ROW, str(root))
 
 
 def test_later_deliveries_win_without_a_date_column(spark, tmp_path):
@@ -45,7 +46,7 @@ def test_later_deliveries_win_without_a_date_column(spark, tmp_path):
     )):
         landed = spark.createDataFrame(data, rows)
         schema = T.StructType([f for f in landed.schema.fields if not f.name.startswith("_")])
-        hop = Hop("sin_fecha", ("id",), schema, f"{tmp_path}/{n}", buckets=2)
+        hop = Hop("sin_fecha", ("id",), schema, f"{tmp_path}/{n}")
         raw_batch(hop, landed, 0)
         assert [(r.id, r.v) for r in hop.raw(spark).read("rows").collect()] == [(1, 9)]
 
@@ -113,6 +114,145 @@ def test_snapshots_rewrite_only_touched_buckets(spark, tmp_path):
     assert versions == {"0", "1"}
 
 
+def _many(spark, n, v):
+    return spark.range(n).select(
+        F.col("id").cast("int"), F.lit(v).alias("v"), F.lit(datetime(2024, 1, v)).alias("fecha_modificacion"),
+        F.lit(False).alias("is_deleted"),
+    )
+
+
+def _written(root):
+    return {f: f.stat().st_size for f in root.rglob("*.parquet")}
+
+
+def test_what_a_batch_writes_does_not_grow_with_the_table(spark, tmp_path):
+    """A thousand spread keys, in tables of 20,000 and 200,000 rows, through both layers."""
+    sizes = {}
+    for n in (20_000, 200_000):
+        root = tmp_path / str(n)
+        hop, rules = _hop(root), positive("v")
+        raw_batch(hop, _many(spark, n, 1), 0)
+        cleansed_batch(hop, _log(spark, hop), 0, rules)
+        before = _written(root)
+        raw_batch(hop, _many(spark, n, 2).filter(F.col("id") % (n // 1000) == 3), 1)
+        cleansed_batch(hop, _log(spark, hop).filter("lote = 1"), 1, rules)
+        sizes[n] = sum(size for f, size in _written(root).items() if before.get(f) != size)
+        assert hop.cleansed(spark).read("valid").groupBy("v").count().orderBy("v").collect() == [(1, n - 1000), (2, 1000)]
+    assert sizes[200_000] < 1.5 * sizes[20_000]
+    assert sizes[200_000] < sum(before.values()) / 20
+
+
+def test_changes_are_folded_by_their_share(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.IntegerType())])
+
+    def store():  # read from the record each time
+        return MergedTables(spark, str(tmp_path), {"a": schema, "b": schema}, ["id"], most_logs=4)
+
+    def changes(lo, hi, v, accion="INSERT"):
+        return spark.range(lo, hi).select(F.lit(accion).alias("accion"), "id", F.lit(v).alias("v"))
+
+    none = changes(0, 0, 0)
+    assert not store().holds(0) and store().read("a").isEmpty()
+    store().publish(0, {"a": changes(0, 100, 0), "b": none})
+    store().publish(1, {"a": changes(0, 10, 1), "b": none})
+    held = store()._state()[1]["a"]
+    assert (held.base, held.base_rows, dict(held.logs)) == (0, 100, {1: 10})
+    store().publish(2, {"a": changes(5, 15, 2).union(changes(90, 100, 0, "DELETE")), "b": changes(0, 3, 7)})
+    held = store()._state()[1]["a"]
+    assert (held.base, held.base_rows, dict(held.logs)) == (2, 90, {})
+    for batch in range(3, 7):  # few rows each: folded by their number
+        store().publish(batch, {"a": changes(20, 21, batch), "b": none})
+    held = store()._state()[1]["a"]
+    assert (held.base, dict(held.logs)) == (6, {})
+    expected = {i: 1 if i < 5 else 2 if i < 15 else 6 if i == 20 else 0 for i in range(90)}
+    assert {r.id: r.v for r in store().read("a").collect()} == expected
+    assert sorted(r.id for r in store().read("b").collect()) == [0, 1, 2] and store().holds(6)
+
+
+def test_a_batch_without_its_record_is_not_seen_and_repeated(spark, tmp_path):
+    hop = _hop(tmp_path)
+    raw_batch(hop, _landed(spark, *((i, 1, 1, None) for i in range(20))), 0)
+    # what a batch that was cut off has left
+    _landed(spark, (1, 66, 2, None)).select(F.lit("INSERT").alias("accion"), "*").write.parquet(f"{hop.log('raw')}/lote=1")
+    assert {r.v for r in hop.raw(spark).read("rows").collect()} == {1} and not hop.raw(spark).holds(1)
+    raw_batch(hop, _landed(spark, (2, 5, 2, None)), 1)
+    assert {(r.id, r.v) for r in hop.raw(spark).read("rows").filter("v > 1").collect()} == {(2, 5)}
+
+
+def test_records_survive_a_slot_that_was_cut_off(spark, tmp_path):
+    def record():
+        return Record(spark, str(tmp_path), "batch long, v int")
+
+    def seen():
+        return sorted((r.batch, r.v) for r in record().read())
+
+    assert seen() == []
+    for batch in (0, 1, 1, 2):
+        record().write([(batch, batch * 10), (batch, 5)])
+        assert seen() == sorted([(batch, batch * 10), (batch, 5)])
+    # the fifth write was cut off after its slot was emptied: the fourth is still there
+    spark.createDataFrame([], "serial long, batch long, v int").write.mode("overwrite").parquet(f"{tmp_path}/slot=0")
+    assert seen() == [(2, 5), (2, 20)]
+    record().write([(3, 1)])
+    assert seen() == [(3, 1)]
+
+
+def test_deletions_are_remembered_for_a_while(spark, tmp_path):
+    for remember, back in ((None, False), ("20 seconds", False), ("5 seconds", True)):
+        hop = Hop("cosas", ("id",), ROW, f"{tmp_path}/{remember}", remember)
+        deliveries = [
+            [(1, 1, 1, False), (2, 1, 1, False), (None, 1, 1, False)],
+            [(1, 1, 5, True), (2, 1, 5, True)],
+            [(1, 2, 3, False), (2, 3, 7, False)],  # older than the deletion, and newer
+            [(3, 1, 15, False)],
+            [(1, 4, 4, False)],  # older still, ten seconds later
+            [(2, 9, 6, False)],  # older than the row that came back
+        ]
+        for batch, rows in enumerate(deliveries):
+            raw_batch(hop, _landed(spark, *rows), batch, guard=True)
+        held = sorted(((r.id, r.v) for r in hop.raw(spark).read("rows").collect()), key=repr)
+        assert held == sorted([(2, 3), (3, 1), (None, 1)] + ([(1, 4)] if back else []), key=repr)
+        # without the guard a later delivery wins
+    hop = _hop(f"{tmp_path}/plain")
+    for batch, rows in enumerate(deliveries[:3]):
+        raw_batch(hop, _landed(spark, *rows), batch)
+    assert sorted((r.id, r.v) for r in hop.raw(spark).read("rows").filter("id is not null").collect()) == [(1, 2), (2, 3)]
+
+
+def _loads(spark, path):
+    return Loads(spark, str(path), "id", "sk")
+
+
+def _numbers(spark, lo, hi):
+    return spark.range(lo, hi).select("id", (F.col("id") + 1000).alias("sk"), (F.col("id") % 3).cast("int").alias("mes"))
+
+
+def test_loads_show_up_whole_and_are_read_by_their_keys(spark, tmp_path):
+    loads = _loads(spark, tmp_path)
+    assert loads.read() is None and loads.near(_numbers(spark, 0, 1), "id") is None and loads.last_key() == 0
+    loads.publish(0, _numbers(spark, 0, 100), "mes")
+    loads.publish(1, _numbers(spark, 200, 300), "mes")
+    loads.publish(1, _numbers(spark, 0, 0), "mes")  # nothing new
+    # a load that was cut off: files without an entry, of a month that its repetition does not have
+    spark.range(3).select(F.lit(999).alias("id"), F.lit(9).alias("sk")).write.parquet(f"{tmp_path}/rows/carga=3/mes=77")
+    assert _loads(spark, tmp_path).read().count() == 200
+    _loads(spark, tmp_path).publish(2, _numbers(spark, 90, 250).filter("id < 110 or id >= 240"), "mes")
+    fresh = _loads(spark, tmp_path)
+    assert fresh.read().count() == 230 and fresh.read().filter("mes = 77").isEmpty()
+    assert (fresh.batch(), fresh.last_key()) == (2, 1299)
+
+    def read(*ids):
+        found = _loads(spark, tmp_path).near(spark.createDataFrame([(i,) for i in ids], "k long"), "k")
+        return {f.split("carga=")[1][0] for f in found.inputFiles()}, found
+
+    assert read(150)[0] == {"3"}  # inside its range, in no other
+    assert read(5, 150)[0] == {"0", "3"} and read(5, 260)[0] == {"0", "1"}
+    assert read(400)[0] == set() and read(400)[1].isEmpty()
+    files, found = read(210, 220)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert files == {"1", "3"} and "GreaterThanOrEqual(id,210)" in plan and "LessThanOrEqual(id,220)" in plan
+
+
 SF = "/root/testdata/sf0.001"
 USED = ("departamentos", "ubicaciones", "fabricantes", "tecnicos", "equipos", "ordenes_mantenimiento",
         "consumo_repuestos")
@@ -164,8 +304,9 @@ def test_refresh_follows_changes(spark, warehouse):
     moved = in_fact.agg(F.min("id_equipo")).first()[0]
     size, last = before.count(), before.agg(F.max("sk_equipo")).first()[0]
     facts = store.fact("fact_mantenimiento_equipos").count()
-    waiting = spark.read.parquet(f"{store.root}/pending/fact_mantenimiento_equipos").count()
-    assert waiting > 0
+    waiting = store.waiting("fact_mantenimiento_equipos")
+    assert waiting.filter("size(falta) = 0").isEmpty()
+    assert not waiting.filter(F.array_contains("falta", "dim_departamento=24")).isEmpty()
 
     equipment = tables["equipos"].filter(F.col("id_equipo") == moved)
     land("equipos", equipment.withColumn("estado_codigo", F.lit(4)), "2024-01-02 00:00:00")
@@ -227,7 +368,9 @@ def test_repeated_fact_batch_replaces_itself(spark, warehouse):
 
 def test_load_object(spark, warehouse):
     store = warehouse[0]
+    before = store.fact("fact_mantenimiento_equipos").count()
     assert store.load_object("fact_mantenimiento_equipos", DAY2).isEmpty()
+    assert store.fact("fact_mantenimiento_equipos").count() == before
     assert store.load_object("dim_ubicacion", DAY2).count() == store.dimension("dim_ubicacion").count()
     assert store.load_object("dim_perfil_ensayo", DAY2).count() == 360
     assert store.load_object("dim_fecha", DAY2).count() > 5844
