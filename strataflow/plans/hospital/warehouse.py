@@ -204,7 +204,7 @@ class Warehouse:
                 log = days.read("rows").limit(0).select(F.lit(INSERT).alias(ACTION), "*")
                 if loaded is not None:
                     runs = trial_coverage(loaded)
-                    before = materialize(rows_with_keys(days.read("rows"), runs, [key]), "days")
+                    before = days.held("rows", runs)
                     each = runs.unionByName(before).select(key, F.inline("tramos"))
                     after = materialize(joined_runs(each, key).withColumn(ACTION, F.lit(INSERT)), "days")
                     log = change_log(before, after, [key])
@@ -217,7 +217,7 @@ class Warehouse:
         if self.retry and not (waiting := self._waiting(name)).holds(newest):
             asked = with_missing(rows, name, self._cleansed_tables(), self.dimensions())
             asked = materialize(asked, "missing")
-            before = materialize(rows_with_keys(waiting.read("rows"), asked, waiting.keys), "waiting")
+            before = waiting.held("rows", asked)
             acts = F.when(F.size("falta") > 0, INSERT).otherwise(DELETE)
             waiting.publish(newest, {"rows": change_log(before, asked.withColumn(ACTION, acts), waiting.keys)})
 
@@ -241,7 +241,7 @@ class Warehouse:
 
     # --- refresh ------------------------------------------------------------
 
-    def _run(self, start, paths: Mapping[str, str], at_once: int = 4) -> None:
+    def _run(self, start, paths: Mapping[str, str], at_once: int = 8) -> None:
         """Run one pass of a hop for several tables side by side.
 
         ``paths`` tells where each reads from; one with nothing there yet waits.

@@ -670,6 +670,19 @@ BODIES: dict[str, str] = {
                sk_customer, c_mktsegment
         FROM orders LEFT JOIN cli_2 ON c_custkey = o_custkey
          AND DATE '2023-12-20' + CAST(o_orderkey % 100 AS INTEGER) BETWEEN fecha_inicio AND COALESCE(fecha_fin, DATE '9999-12-31')""",
+    "dw_refresh_two_rounds": """
+        SELECT 'fact_mantenimiento_equipos' AS hecho, id_orden AS id, sk_fecha, CAST(costo_total AS DOUBLE) AS medida
+        FROM fact_mantenimiento_equipos
+        UNION ALL SELECT 'fact_monitorizacion_pacientes', id_sesion, sk_fecha, CAST(presion_sistolica AS DOUBLE)
+        FROM fact_monitorizacion_pacientes
+        UNION ALL SELECT 'fact_ensayos_clinicos', id_participacion, sk_fecha, CAST(dosis_administrada AS DOUBLE)
+        FROM fact_ensayos_clinicos WHERE sk_fecha <= 20010601""",
+    "fact_late_dimension": """
+        SELECT f.id_orden, o.id_equipo, f.costo_total, f.indicador_reincidencia
+        FROM fact_mantenimiento_equipos f JOIN v_ordenes_mantenimiento o ON o.id_orden = f.id_orden
+        JOIN v_equipos e ON e.id_equipo = o.id_equipo
+        WHERE e.id_departamento >= 20 AND o.fecha_inicio_trabajo < TIMESTAMP '2000-01-01'""",
+    "dw_load_object": "SELECT * EXCLUDE (sk_departamento) FROM fact_ensayos_clinicos",
     "cdc_load_order": """
         SELECT lado, p_partkey, p_name, p_size + 1 AS p_size FROM part,
                (SELECT unnest(['fecha', 'carga']) AS lado)""",

@@ -44,6 +44,7 @@ from strataflow.plans.hospital.dimensions import (
 )
 from strataflow.plans.hospital.facts import FACTS, PARITY_DAYS, load_fact, trial_coverage
 from strataflow.plans.hospital.views import FACT_VIEWS
+from strataflow.plans.hospital.warehouse import Warehouse
 from strataflow.plans.roles import ROLES, base_tables, cleansed_tables, portable, role_tables
 from strataflow.session import materialize, scratch_path
 from strataflow.sources.files import FILE, INGESTED, stream_csv_feed
@@ -921,4 +922,77 @@ def view_order_wide_all_versions(spark, sf_dir):
     return _order_wide(spark, sf_dir, all_versions=True)
 
 
+# --- the stored warehouse --------------------------------------------------------------
+
+BEFORE = date(2001, 6, 1)  # day of the first refresh
+
+
+def _two_rounds(spark, sf_dir):
+    """A warehouse of all three facts, refreshed twice: its facts after each round, what waited
+    in between, and the trials once they are loaded again as a whole. Built once per application."""
+    slot = (spark.sparkContext.applicationId, sf_dir, "warehouse")
+    if slot in _STORED:
+        return _STORED[slot]
+    root = scratch_path(spark, "warehouse")
+    mains = {DIMENSIONS[d].main for d in DIMENSIONS}
+    used = sorted({*mains, "especialidades", *(t for tables, _ in FACT_INPUTS.values() for t in tables)})
+    tables = role_tables(spark, sf_dir, *used)
+    for name, number in (("consumo_repuestos", "id_consumo"), ("visitas_ensayo", "id_visita")):
+        tables[name] = tables[name].withColumn(number, F.monotonically_increasing_id())
+    late = {
+        "departamentos": F.col("id_departamento") >= 20,
+        "ordenes_mantenimiento": F.col("fecha_inicio_trabajo") >= F.lit("2000-01-01").cast("timestamp"),
+        "monitorizaciones": F.col("fecha_monitorizacion") >= F.lit("2024-01-10").cast("date"),
+    }
+    schemas = {}
+
+    def land(name, rows, when):
+        rows = rows.withColumns({"fecha_modificacion": F.lit(when).cast("timestamp"), "_dlt_load_id": F.lit("carga")})
+        rows.write.mode("append").parquet(f"{root}/landing/{name}")
+        schemas[name] = rows.schema
+
+    for name, rows in tables.items():
+        land(name, rows.filter(~F.coalesce(late[name], F.lit(False))) if name in late else rows, "2024-01-01")
+    store = Warehouse(spark, f"{root}/dw", schemas, buckets=4, calendar_days=(date(1995, 1, 1), date(2030, 12, 31)), retry=True)
+    store.refresh(f"{root}/landing", BEFORE)
+    waited = materialize(store.waiting("fact_mantenimiento_equipos"), "waited")
+    for name, picked in late.items():
+        land(name, tables[name].filter(picked), "2024-02-01")
+    store.refresh(f"{root}/landing", AS_OF)
+    facts = {name: store.fact(name) for name in FACTS}  # these loads: later ones have files of their own
+    store.load_object("fact_ensayos_clinicos", AS_OF)
+    _STORED[slot] = facts, waited, store.fact("fact_ensayos_clinicos")
+    return _STORED[slot]
+
+
+@query
+def dw_refresh_two_rounds(spark, sf_dir):
+    """All facts after two refreshes; of the trials the days up to the first."""
+    facts, _, _ = _two_rounds(spark, sf_dir)
+    parts = [
+        facts[name].select(F.lit(name).alias("hecho"), F.col(key).alias("id"), "sk_fecha", F.col(measure).cast("double").alias("medida"))
+        for name, key, measure in (
+            ("fact_mantenimiento_equipos", "id_orden", "costo_total"),
+            ("fact_monitorizacion_pacientes", "id_sesion", "presion_sistolica"),
+            ("fact_ensayos_clinicos", "id_participacion", "dosis_administrada"),
+        )
+    ]
+    parts[2] = parts[2].filter(F.col("sk_fecha") <= fx.date_key(F.lit(BEFORE)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def fact_late_dimension(spark, sf_dir):
+    """Orders that waited for their department, and have arrived with it."""
+    facts, waited, _ = _two_rounds(spark, sf_dir)
+    fact = facts["fact_mantenimiento_equipos"].select("id_orden", "costo_total", "indicador_reincidencia")
+    return waited.select("id_orden", "id_equipo").join(fact, "id_orden")
+
+
+@query
+def dw_load_object(spark, sf_dir):
+    """The trials loaded as a whole: open participations reach the day of the load."""
+    return _two_rounds(spark, sf_dir)[2].drop("sk_ensayo_clinico", "sk_departamento")
+
+
 assert set(FACT_VIEWS) == set(FACT_INPUTS) == set(FACTS) and set(ROLES) >= set(FACTS.values())

@@ -16,7 +16,8 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from strataflow.operators.changes import ACTION, merged_state
+from strataflow.operators.changes import ACTION, merged_state, rows_with_keys
+from strataflow.session import materialize
 from strataflow.sources.landing import read_or_none
 
 BATCH = "lote"
@@ -113,6 +114,13 @@ class MergedTables:
         """The table as of the newest record."""
         return self._merged(table, self._state()[1].get(table, Held()))
 
+    def held(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows of the table with the keys of ``rows``, stored: a batch needs them more than once."""
+        state = self._state()[1].get(table, Held())
+        if state.base < 0 and not state.logs:
+            return self.read(table)
+        return materialize(rows_with_keys(self.read(table), rows, self.keys), "held")
+
     def _merged(self, table: str, held: Held) -> DataFrame:
         schema = self.schemas[table]
         if held.base < 0:

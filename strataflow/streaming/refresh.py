@@ -23,7 +23,6 @@ from strataflow.operators.changes import (
     newest_change,
     order_column,
     post_images,
-    rows_with_keys,
     snapshot_diff,
     soft_delete_column,
     tombstones_after,
@@ -81,18 +80,16 @@ def raw_batch(hop: Hop, rows: DataFrame, batch: int, guard: bool = False) -> Non
     changes = newest_change(rows.withColumn(ACTION, F.lit(INSERT)), hop.keys, change_order(rows.columns))
     changes = materialize(without_technical(changes), "changes")
 
-    def held(name: str) -> DataFrame:
-        return materialize(rows_with_keys(table.read(name), changes, hop.keys), name)
-
-    before, graves, old = held("rows"), None, None
+    before, graves, old = table.held("rows", changes), None, None
     if order is not None:
-        graves = held(DELETED)
+        graves = table.held(DELETED, changes)
         if hop.remember is not None:
             newest = F.lit(changes.agg(F.max(order)).first()[0])
             expired = F.col(order) < newest - F.expr(f"interval {hop.remember}")
             graves, old = graves.filter(~expired), table.read(DELETED).filter(expired)
     changes = effective_changes(before, changes, hop.keys, soft_delete_column(rows.columns), order, graves)
-    changes = materialize(changes, "effective")
+    if graves is not None:
+        changes = materialize(changes, "effective")
     logs = {"rows": change_log(before, changes, hop.keys)}
     if graves is not None:
         known = graves if old is None else graves.unionByName(old)
@@ -120,8 +117,7 @@ def cleansed_batch(hop: Hop, log: DataFrame, batch: int, rules: Sequence[Rule])
     for name, side in (("valid", F.col("_good")), ("errors", ~F.col("_good"))):
         newest = newest_change(log.filter(side).drop("_good"), hop.keys, [BATCH]).drop(BATCH)
         changes = materialize(newest, "side")
-        before = materialize(rows_with_keys(tables.read(name), changes, hop.keys), "held")
-        logs[name] = change_log(before, changes, hop.keys)
+        logs[name] = change_log(tables.held(name, changes), changes, hop.keys)
     tables.publish(batch, logs)
 
 

@@ -3,14 +3,16 @@
 from contextlib import contextmanager
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strataflow.functions.rules import not_null, positive
 from strataflow.operators import changes as cdc
-from strataflow.operators.facts import daily_rows, recurrence_flag
+from strataflow.operators.asof import as_of_lookup
+from strataflow.operators.facts import daily_rows, day_runs, joined_runs, recurrence_flag
 from strataflow.operators.quality import valid_rows
-from strataflow.operators.scd import scd2_merge
+from strataflow.operators.scd import scd1_rows, scd2_merge, scd2_rows
 from strataflow.session import materialize
 
 SF = "/root/testdata/sf0.01"
@@ -92,15 +94,6 @@ def test_small_batches_leave_the_table_unshuffled(spark, hot):
     table = materialize(table)
     changes = materialize(table.limit(5).withColumn(cdc.ACTION, F.lit(cdc.DELETE)))
     assert "Exchange hashpartitioning" not in executed(cdc.apply_changes(table, changes, ["k"]))
-    dim = materialize(table.select(
-        F.col("id").alias("sk"), "k", "kind", F.to_date("at").alias("fecha_inicio"),
-        F.lit(None).cast("date").alias("fecha_fin"), F.lit(True).alias("es_actual"),
-    ))
-    source = materialize(dim.limit(5).select("k", F.lit("z").alias("kind")))
-    loaded = scd2_merge(dim, source, "k", [], ["kind"], "sk", date(2024, 1, 1), last=10**9)
-    kept = executed(loaded).split("Union")[1].split("_part")[0]
-    assert "BroadcastHashJoin" in kept and "hashpartitioning(k" not in kept
-    assert loaded.count() == dim.count() + 5
 
 
 def test_rules_reach_the_scan(spark):
@@ -109,3 +102,44 @@ def test_rules_reach_the_scan(spark):
     plan = valid_rows(orders, rules)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_totalprice,0.0)" in plan and "IsNotNull(o_orderkey)" in plan
     assert "o_custkey" not in plan
+
+
+def test_scd_reads_its_source_and_the_dimension_once(spark, hot):
+    dim = materialize(hot.dropDuplicates(["k"]).select(
+        F.col("id").alias("sk"), "k", "kind", F.to_date("at").alias("fecha_inicio"),
+        F.lit(None).cast("date").alias("fecha_fin"), F.lit(True).alias("es_actual"),
+    ))
+    source = materialize(dim.select("k", F.lit("z").alias("kind")))
+    for rows in (scd2_rows(dim, source, "k", [], ["kind"], date(2024, 1, 1)), scd1_rows(dim.select("sk", "k", "kind"), source, "k", ["kind"])):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2 and plan.count("Join ") == 1
+    loaded = scd2_merge(dim, source, "k", [], ["kind"], "sk", date(2024, 1, 1), last=10**9)
+    assert loaded.count() == 2 * dim.count() and loaded.filter("es_actual").count() == dim.count()
+
+
+def test_as_of_lookup_deals_a_hot_key_to_several_tasks(spark, hot):
+    versions = spark.range(40).select((F.col("id") % 4 - 1).alias("k"), F.col("id").alias("sk"), F.timestamp_seconds(F.lit(800000000) + F.col("id") * 9000000).alias("desde"))
+    found = as_of_lookup(hot, versions, "k", "at", "desde", ["sk"], tie="sk", slice_rows=1000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_key" in plan and "_slice" in plan.split("hashpartitioning(_key")[1][:80]
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    seen = []
+
+    def sizes(batches):
+        n = sum(b.num_rows for b in batches)
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    with conf(spark, adaptive__enabled="false", shuffle__partitions="32"):
+        seen = [r.n for r in found.mapInArrow(sizes, "n long").collect()]
+    share = hot.filter("k = -1").count()
+    assert sum(seen) == hot.count() and max(seen) < share / 3
+
+
+def test_loaded_days_are_taken_from_runs(spark, hot):
+    spans = materialize(hot.groupBy("k").agg(F.min("at").alias("a"), F.max("at").alias("b")))
+    held = materialize(joined_runs(day_runs(hot.filter("id % 2 = 0"), "k", "at"), "k"))
+    daily = daily_rows(spans, hot.select("k", "at", F.col("id").alias("n")), "k", "a", "b", "at", "dia", date(2002, 1, 1), held)
+    gone = hot.filter("id % 2 = 0").select("k", F.to_date("at").alias("dia"))
+    assert daily.join(gone, ["k", "dia"], "left_semi").isEmpty()
+    whole = daily_rows(spans, hot.select("k", "at", F.col("id").alias("n")), "k", "a", "b", "at", "dia", date(2002, 1, 1))
+    assert daily.count() == whole.join(gone.distinct(), ["k", "dia"], "left_anti").count()
