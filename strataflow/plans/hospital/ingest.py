@@ -14,8 +14,17 @@ from strataflow.sources.relational import jdbc_table
 SYSTEMS = {"equipment": EQUIPMENT_TABLES, "clinical": CLINICAL_TABLES}
 
 
-def _feed(spec: TableSpec, options: Mapping[str, str]) -> Feed:
-    return Feed(spec.name, lambda spark: jdbc_table(spark, dict(options), spec.source), spec.cursor, spec.key)
+PARTS = 8  # connections that read a table for its first load
+
+
+def _feed(spec: TableSpec, options: Mapping[str, str], parts: int = PARTS) -> Feed:
+    return Feed(
+        spec.name,
+        lambda spark: jdbc_table(spark, options, spec.source),
+        spec.cursor,
+        spec.key,
+        lambda spark: jdbc_table(spark, options, spec.source, spec.key[0], parts),
+    )
 
 
 def feeds(databases: Mapping[str, Mapping[str, str]], product_folder: str | None = None) -> list[Feed | CsvFeed]:

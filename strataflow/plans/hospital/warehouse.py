@@ -30,8 +30,7 @@ from strataflow.plans.hospital.facts import (
     with_missing,
 )
 from strataflow.plans.hospital.views import serving_views
-from strataflow.session import materialize
-from strataflow.sources.landing import read_or_none
+from strataflow.session import materialize, read_or_none
 from strataflow.sources.schema import TECHNICAL_COLUMNS
 from strataflow.streaming.loads import Load, Loads
 from strataflow.streaming.merged import MergedTables

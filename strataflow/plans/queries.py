@@ -48,7 +48,7 @@ from strataflow.plans.hospital.warehouse import Warehouse
 from strataflow.plans.roles import ROLES, base_tables, cleansed_tables, portable, role_tables
 from strataflow.session import materialize, scratch_path
 from strataflow.sources.files import FILE, INGESTED, stream_csv_feed
-from strataflow.sources.landing import CsvFeed, land
+from strataflow.sources.landing import CsvFeed, land, landed_rows
 from strataflow.sources.relational import high_water_mark, incremental_rows
 from strataflow.sources.schema import landing_columns, without_technical
 from strataflow.streaming.refresh import Hop, follow_cleansed, follow_raw
@@ -100,7 +100,7 @@ def src_csv_new_files(spark, sf_dir):
     for delivery in (F.coalesce(cheap, F.lit(False)), ~F.coalesce(cheap, F.lit(False))):
         products.filter(delivery).write.mode("append").csv(feed.folder, sep=";", header=True)
         land(spark, feed, landing, datetime(2024, 1, 1))
-    rows = spark.read.parquet(f"{landing}/{feed.table}")
+    rows = landed_rows(spark, landing, feed.table)
     return rows.withColumns({
         FILE: F.col(FILE).endswith(".csv"),
         INGESTED: F.to_date(INGESTED),
@@ -123,7 +123,7 @@ def src_csv_dialect(spark, sf_dir):
     for picked, columns in ((F.col("pequeno"), ("codigo", "nombre", "nota")), (~F.col("pequeno"), ("nota", "codigo", "nombre"))):
         rows.filter(picked).select(*columns).write.mode("append").csv(feed.folder, sep=";", header=True, escape='"')
     land(spark, feed, f"{root}/landing", datetime(2024, 1, 1))
-    return spark.read.parquet(f"{root}/landing/{feed.table}").select("codigo", "nombre", "nota")
+    return landed_rows(spark, f"{root}/landing", feed.table).select("codigo", "nombre", "nota")
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution re-plans joins from measured sizes: small sides become
@@ -62,3 +63,13 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     path = scratch_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """A parquet table, or None when nothing was written there yet."""
+    try:
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

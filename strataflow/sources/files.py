@@ -8,7 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-FILE, INGESTED = "fichero_origen", "fecha_ingestion"
+from strataflow.sources.ledger import FILE
+
+INGESTED = "fecha_ingestion"
 
 # Format of the product feed. A quoted field may hold separators,
 # doubled quotes and line breaks; nothing between separators is NULL, while a
@@ -31,15 +33,23 @@ def _with_lineage(df: DataFrame, ingested_at) -> DataFrame:
     return df.select(*(f"`{c}`" for c in df.columns[:-1]), name.alias(FILE)).withColumn(INGESTED, ingested_at)
 
 
+def file_names(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Names of files given by the paths that Spark lists them with."""
+    if not paths:
+        return []
+    rows = spark.createDataFrame([(p,) for p in paths], "path string")
+    return [r[0] for r in rows.select(F.substring_index("path", "/", -1)).collect()]
+
+
 def new_files(spark: SparkSession, folder: str, landed: DataFrame | None) -> list[str]:
-    """Paths of ``.csv`` files whose name is not in the landed table.
+    """Paths of ``.csv`` files whose name is not in ``landed``, the ledger's list.
 
     Only names are listed; no file is opened.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
     files = listing.select("path", F.substring_index("path", "/", -1).alias(FILE))
     if landed is not None:
-        files = files.join(landed.select(FILE).distinct(), FILE, "left_anti")
+        files = files.join(landed.select(FILE), FILE, "left_anti")
     return sorted(row.path for row in files.select("path").collect())
 
 

@@ -17,8 +17,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from strataflow.operators.changes import ACTION, merged_state, rows_with_keys
-from strataflow.session import materialize
-from strataflow.sources.landing import read_or_none
+from strataflow.session import materialize, read_or_none
 
 BATCH = "lote"
 FOLD_SHARE = 0.25  # changes, as a share of the base, that are folded

@@ -134,9 +134,13 @@ def follow(
     handle: Callable[[DataFrame, int], None],
     every: str | None = None,
     files_per_batch: int | None = None,
+    folders: bool = False,
 ) -> StreamingQuery:
-    """Run ``handle`` on what is new under ``path``; once, or ``every`` interval."""
-    reader = spark.readStream.schema(schema)
+    """Run ``handle`` on what is new under ``path``; once, or ``every`` interval.
+
+    With ``folders`` files are taken from folders of any name, which then are no columns.
+    """
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", str(folders).lower())
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     writer = reader.parquet(path).writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
@@ -151,7 +155,7 @@ def follow_raw(
     only if its rows are not older."""
     return follow(
         spark, f"{landing}/{hop.name}", schema, f"{hop.root}/raw/{hop.name}/checkpoint",
-        lambda rows, batch: raw_batch(hop, rows, batch, guard), **options,
+        lambda rows, batch: raw_batch(hop, rows, batch, guard), folders=True, **options,
     )
 
 
