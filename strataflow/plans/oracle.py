@@ -14,7 +14,7 @@ from strataflow.functions.rules import Rule
 from strataflow.operators.dimensions import MONTHS, WEEKDAYS
 from strataflow.plans.hospital import dimensions as dim, facts as fact
 from strataflow.plans.hospital.catalog import EMAIL, quality_rules
-from strataflow.plans.roles import ROLES
+from strataflow.plans.roles import ROLES, row_key
 
 AS_OF = "DATE '2001-08-10'"
 TEXT_NUMBERS = ("vida_util_anios", "precio_referencia_eur")
@@ -41,6 +41,11 @@ def _test(rule: Rule) -> str:
     return f"{column} BETWEEN {low} AND {high}"
 
 
+def _named(columns: Sequence[str]) -> str:
+    """Columns as one text."""
+    return " || '|' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '~')" for c in columns)
+
+
 VALID = {table: " AND ".join(f"({_test(r)})" for r in rules) for table, rules in quality_rules().items()}
 
 
@@ -553,8 +558,8 @@ BODIES: dict[str, str] = {
         for (c, k), t in _EVENT_TESTS.items()
     ),
     "cleansed_layer": " UNION ALL ".join(
-        f"SELECT '{t}' AS tabla, count(*) FILTER (WHERE {VALID[t]}) AS validas, "
-        f"count(*) - count(*) FILTER (WHERE {VALID[t]}) AS errores FROM r_{t}"
+        f"SELECT '{t}' AS tabla, {_named(row_key(t))} AS clave, "
+        f"CASE WHEN {VALID[t]} THEN 'valida' ELSE 'error' END AS lado FROM r_{t}"
         for t in ROLES
     ),
     "dim_scd1_merge": """

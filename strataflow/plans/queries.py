@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,7 +46,7 @@ from strataflow.plans.hospital.dimensions import (
 from strataflow.plans.hospital.facts import FACTS, PARITY_DAYS, load_fact, trial_coverage
 from strataflow.plans.hospital.views import FACT_VIEWS
 from strataflow.plans.hospital.warehouse import Warehouse
-from strataflow.plans.roles import ROLES, base_tables, cleansed_tables, portable, role_tables
+from strataflow.plans.roles import ROLES, base_tables, cleansed_tables, portable, role_tables, row_key
 from strataflow.session import materialize, scratch_path
 from strataflow.sources.files import FILE, INGESTED, stream_csv_feed
 from strataflow.sources.landing import CsvFeed, land, landed_rows
@@ -382,17 +383,13 @@ def dq_failure_report(spark, sf_dir):
 
 @query
 def cleansed_layer(spark, sf_dir):
-    """Valid and quarantined rows of all 21 source tables."""
-    rules, counts = quality_rules(), []
+    """Every row of all 21 source tables, by its key, with the side of the rules that it is on."""
+    rules, sides = quality_rules(), []
     for name, df in role_tables(spark, sf_dir).items():
         good = passes(rules_of(rules, name.upper()), df)
-        counts.append(df.agg(
-            F.lit(name).alias("tabla"), F.count_if(good).alias("validas"), F.count_if(~good).alias("errores")
-        ))
-    result = counts[0]
-    for df in counts[1:]:
-        result = result.unionByName(df)
-    return result
+        key = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in row_key(name)))
+        sides.append(df.select(F.lit(name).alias("tabla"), key.alias("clave"), F.when(good, "valida").otherwise("error").alias("lado")))
+    return reduce(DataFrame.unionByName, sides)
 
 
 # --- dimension operators ---------------------------------------------------------
