@@ -21,6 +21,7 @@ from strataflow.llm.text import chunks, hash_words, mix, text_column, whole_ids,
 
 ANCHOR = 5  # words of an anchor, and longest prefix before the whole window
 GROUP = 400_000  # suffixes that a group is meant to hold
+DEAL_BYTES = 4 << 20  # text whose own copies are settled before the shuffle
 MOST_PREFIXES = 100_000  # bound of the list of common prefixes: groups grow beyond
 
 _SCHEMA = pa.schema([("grp", pa.int64()), ("kind", pa.int8()), ("blob", pa.binary())])
@@ -211,7 +212,7 @@ def repeat_spans(df: DataFrame, size: int = 13, *, id_col: str = "doc_id", text_
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in chunks(batch, "text"):
+            for lo, hi in chunks(batch, "text", limit=DEAL_BYTES):
                 rows = list(_suffixes(batch.slice(lo, hi - lo), size, shared.value, groups))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)

@@ -25,6 +25,7 @@ ORDER_BITS = 21  # size of the table of shingle counts: fixed, whatever the corp
 SLICES = 64
 GROUP = 400_000  # postings that one task is meant to hold
 MAP_BITS = 512  # of a node's bitmap
+DEAL_BYTES = 2 << 20  # text whose copies are found before the shuffle
 SEEN = 100_000  # sets that a task remembers having sent
 BROADCAST_IDS = 2_000_000  # 16 MB; beyond, documents are found by a shuffle join
 
@@ -318,7 +319,7 @@ def similar_sets(
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in chunks(batch, "text"):
+            for lo, hi in chunks(batch, "text", limit=DEAL_BYTES):
                 rows = list(_postings(batch.slice(lo, hi - lo), size, num, den, order.value, groups))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -370,10 +371,12 @@ def similar_sets(
         """Nodes with their component so far, and the members of lists that hold several components."""
         out = nodes.join(roots, nodes["sid"] == roots["node"], "left").select(nodes["*"], F.coalesce("root", "sid").alias("root"))
         out = materialize(out, "placed")
-        members = lists.join(out.select("gid", "sid", "id", "n", "root", *_BITS), "gid")
-        several = members.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("tok")
+        # Groups tell which lists are open; only those are expanded to members with their bitmaps.
+        groups = out.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        several = lists.join(groups, "gid").groupBy("tok").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("tok")
         several = materialize(several, "several")  # stored, so that the members of a hot token can be split
-        return out, materialize(members.join(several, "tok"), "open")
+        members = lists.join(several, "tok").join(out.select("gid", "sid", "id", "n", "root", *_BITS), "gid")
+        return out, materialize(members, "open")
 
     ends = [F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")]
 
@@ -396,10 +399,10 @@ def similar_sets(
 
     # Second stars: the centre is now the member that most open lists hold. An
     # original is in more of them than its copies, whose own words are rare.
-    _, left = placed(roots)
+    nodes_placed, left = placed(roots)
     often = left.groupBy("sid").agg(F.count("*").alias("lists"))
-    whole = F.struct("sid", "id", "n", "root", *_BITS)
-    centres = left.join(often, "sid").groupBy("tok").agg(F.max_by(whole, F.struct("lists", "sid")).alias("c")).select("tok", "c.*")
+    chosen = left.select("tok", "sid").join(often, "sid").groupBy("tok").agg(F.max_by("sid", F.struct("lists", "sid")).alias("sid"))
+    centres = chosen.join(nodes_placed.select("sid", "id", "n", "root", *_BITS), "sid")
     links, roots = linked(
         unordered(
             centres.alias("x").join(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACES = b" \t\n\v\f\r"
-CHUNK_BYTES = 4 << 20  # text worked on at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # text worked on at once; a longer text is a chunk of its own
 BLOCK_BYTES = 1 << 18  # text whose bytes are hashed at once
 
 _IS_SPACE = np.zeros(256, bool)
