@@ -43,6 +43,9 @@ class _Ranks(dict):
 
 
 _NEVER = 1 << 60
+
+PIECE = 1 << 19  # characters of a long text that are encoded at once
+_CUT = re.compile(" (?=[A-Za-z0-9])")
 _SPREAD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(43)
 
 
@@ -356,13 +359,31 @@ def _loaded(model: str) -> tuple[Encoder, Decoder]:
     return _LOADED[key]
 
 
+def pieces(text: str, size: int = PIECE) -> Iterator[str]:
+    """A text cut into pieces of about ``size`` characters that are encoded alike one by one.
+
+    Cuts are between a space and an ASCII letter or digit: no word, no special
+    token without spaces and no composed character reaches over one. A stretch
+    without such a place stays whole.
+    """
+    at = 0
+    while len(text) - at > size:
+        found = _CUT.search(text, at + size)
+        if found is None:
+            break
+        yield text[at : found.start() + 1]
+        at = found.start() + 1
+    yield text[at:]
+
+
 def encode_decode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, ``n_tokens``, ``ids`` (packed unsigned 32-bit, little-endian) and ``decoded``.
 
     One pass without a shuffle. Null and empty texts give no tokens and an
     empty decoded text; null ids and repeated rows are kept as they are; other
     columns are not read; an empty table gives an empty result. Texts of any
-    length are read whole. The vocabulary file (a bounded few MB) is read on
+    length are read whole: long ones in pieces, so that beside a text and its
+    result a task holds arrays of one piece. The vocabulary file (a bounded few MB) is read on
     the driver and sent to the tasks.
     """
     spark = df.sparkSession
@@ -373,10 +394,16 @@ def encode_decode(df: DataFrame, model_path: str, *, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _loaded(shared.value)
+        cuttable = not any(" " in token for token in encoder.special)
         for batch in batches:
             for lo, hi in chunks(batch, "text"):
                 part = batch.slice(lo, hi - lo)
-                flat, at = encoder.encode_batch(text_column(part, "text").to_pylist())
+                texts = text_column(part, "text").to_pylist()
+                if cuttable and max(map(len, texts)) > PIECE:
+                    each = [np.concatenate([encoder.encode(p) for p in pieces(t)]) for t in texts]
+                    flat, at = np.concatenate(each), np.cumsum([0, *map(len, each)])
+                else:
+                    flat, at = encoder.encode_batch(texts)
                 ids = [flat[a:b] for a, b in zip(at[:-1], at[1:])]
                 columns = [np.diff(at), [x.astype("<u4").tobytes() for x in ids], [decoder.joined(x) for x in ids]]
                 arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]

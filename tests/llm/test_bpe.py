@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strataflow.llm.bpe import BLOCK, Decoder, Encoder, encode_decode
+from strataflow.llm.bpe import BLOCK, Decoder, Encoder, encode_decode, pieces
 from strataflow.llm.queries import QUERIES, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -69,9 +70,9 @@ def test_incremental_decoder_restores_bytes(model):
     encoder, decoder = Encoder(model), Decoder(model)
     text = "naïve 中日 😀 abc"
     ids = encoder.encode(text).tolist()
-    pieces = [decoder.feed(i) for i in ids] + [decoder.flush()]
-    assert "".join(pieces) == text + " "
-    assert "�" not in "".join(pieces)
+    parts = [decoder.feed(i) for i in ids] + [decoder.flush()]
+    assert "".join(parts) == text + " "
+    assert "�" not in "".join(parts)
 
 
 def test_cases(spark, model):
@@ -94,3 +95,41 @@ def test_query_over_the_whole_table(spark, library):
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         text = library.decode(ids, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_pieces_are_encoded_like_the_whole(model, library):
+    rng = random.Random(7)
+    bits = ["a", "Σ", "é", "e\u0301", " ", "  ", "\n", "'s", "'", "don't", "3", "日本", "<", "|", "😀", "word", "\u00a0", " \u0301", "x" * 40]
+    encoder = Encoder(model)
+    for _ in range(60):
+        text = "".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randrange(200)))
+        cut = list(pieces(text, rng.randrange(1, 30)))
+        assert "".join(cut) == text
+        ids = np.concatenate([encoder.encode(p) for p in cut])
+        assert ids.tolist() == encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert list(pieces("x" * 50, 10)) == ["x" * 50] and list(pieces("")) == [""]
+
+
+def test_memory_follows_a_piece_not_the_text(model):
+    encoder = Encoder(model)
+    peak = {}
+    for n in (1, 8):
+        text = "some plain words that come again and again, " * (n * 24_000)
+        encoder.encode(text[:1000])
+        tracemalloc.start()
+        held = sum(len(encoder.encode(p)) for p in pieces(text))
+        peak[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert held > n * 24_000 * 8
+    assert peak[8] < 1.3 * peak[1]
+
+
+def test_long_texts_beside_short_ones(spark, library):
+    long = "the quick brown fox isn't here, 42 times! " * 30_000
+    rows = [(1, "abc"), (2, long), (3, "def ghi"), (4, None), (5, long + "é")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in encode_decode(df, tokenizer_path()).collect()}
+    for i, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(got[i].ids, "<u4").tolist() == ids and got[i].n_tokens == len(ids)
+        assert got[i].decoded == library.decode(ids, skip_special_tokens=False)
