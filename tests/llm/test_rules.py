@@ -134,3 +134,18 @@ def test_cases(spark):
     alone = rules.judge(df, marks.limit(0)).collect()
     assert all(r.kept == (not r.base_failed) for r in alone)
     assert rules.judge(df.limit(0), marks).count() == 0
+
+
+def test_the_sample_is_bounded_and_the_same_each_time(spark):
+    stats = rules.measure(spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("word "), 60), F.sequence(F.col("id"), F.col("id") + 40).cast("string")).alias("text")))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    seen = []
+    learn = rules.learn
+    try:
+        rules.learn = lambda x, good, names: seen.append((x.tolist(), good.tolist())) or learn(x, good, names)
+        for rows in (50, 50, 10_000):
+            rules.fit(stats, labels, rows=rows)
+    finally:
+        rules.learn = learn
+    few = stats.where(~rules.base_failed()).count()
+    assert seen[0] == seen[1] and len(seen[0][0]) == min(50, few) and len(seen[2][0]) == few
