@@ -76,6 +76,9 @@ class Warehouse:
         self.spark, self.root, self.landed = spark, root, dict(schemas)
         self.buckets, self.days, self.parity, self.retry = buckets, calendar_days, parity, retry
         self.rules = quality_rules(parity)
+        # what is read again and again while one refresh loads dimensions, then facts
+        self._tables: dict[str, DataFrame] = {}
+        self._dims: dict[str, DataFrame] = {}
         self.hops = {name: self._hop(name, schema) for name, schema in self.landed.items()}
 
     def _hop(self, name: str, schema: T.StructType) -> Hop:
@@ -94,7 +97,8 @@ class Warehouse:
         return self.hops[name].cleansed(self.spark).read("errors")
 
     def _cleansed_tables(self) -> dict[str, DataFrame]:
-        return {name: self.cleansed(name) for name in self.hops}
+        """All cleansed tables; during a refresh as its hops have left them."""
+        return self._tables or {name: self.cleansed(name) for name in self.hops}
 
     def _store(self, dimension: str) -> Snapshots:
         key = DIMENSIONS[dimension].key
@@ -110,6 +114,8 @@ class Warehouse:
         return self._store(name).read("rows")
 
     def dimensions(self) -> dict[str, DataFrame]:
+        if self._dims:
+            return self._dims
         found = ((name, self.dimension(name)) for name in ALL_DIMENSIONS)
         return {name: dim for name, dim in found if dim is not None}
 
@@ -251,6 +257,12 @@ class Warehouse:
 
     def refresh(self, landing: str, as_of: date, **options) -> None:
         """One pass of all hops; dimensions before facts."""
+        try:
+            self._refresh(landing, as_of, **options)
+        finally:
+            self._tables, self._dims = {}, {}
+
+    def _refresh(self, landing: str, as_of: date, **options) -> None:
         spark = self.spark
         self._run(
             lambda n: follow_raw(spark, self.hops[n], landing, self.landed[n], **options),
@@ -260,6 +272,7 @@ class Warehouse:
             lambda n: follow_cleansed(spark, self.hops[n], rules_of(self.rules, n)),
             {n: hop.log("raw") for n, hop in self.hops.items()},
         )
+        self._tables = self._cleansed_tables()
         for name in PROFILES:
             self._load_profile(name)
         logs = {n: hop.log("cleansed") for n, hop in self.hops.items()}
@@ -270,6 +283,7 @@ class Warehouse:
             ),
             {n: logs[spec.main] for n, spec in DIMENSIONS.items() if spec.main in logs},
         )
+        self._dims = self.dimensions()
         self._run(
             lambda n: follow_changed(
                 spark, self.hops[FACTS[n]], n, lambda rows, batch: self._load_fact(n, rows, batch, as_of)
