@@ -1,10 +1,15 @@
-"""Passages that repeat across documents, by prefix-partitioned window hashes.
-
-No suffix tree is built. Windows meet by their anchor, the smallest five-word
-hash of each, so equal windows have equal anchors. They are dealt out by a
-prefix of the anchor of one to five words, longer where a prefix is too common
-for one group, up to the whole window. A group takes the smallest document of
-each window hash ("node" below); neighbouring marked windows are joined.
+"""Passages that repeat across documents, by prefix-partitioned suffix trees.
+
+Suffixes begin at anchors: the smallest four-word hash of a window, so equal
+windows have equal anchors at equal offsets. A suffix takes along the words
+before its anchor that its windows need. Suffixes are dealt out by a prefix of
+one to four words, longer where a prefix is too common for one group, up to the
+whole window. A group sorts its suffixes by their words and reads the tree off
+the common prefixes of neighbours: a node of depth d is a stretch of neighbours
+that share d words. A second tree of the words before the anchors, read
+backwards, extends nodes to the left. Two windows are equal if they share a node
+of both trees and the depths add up to the window; a window whose pair of nodes
+has a smaller document repeats it. Neighbouring marked windows are joined.
 """
 
 from __future__ import annotations
@@ -17,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.text import chunks, hash_words, mix, text_column, whole_ids, window_hashes, window_rows
+from strataflow.llm.text import chunks, gather, hash_words, mix, text_column, whole_ids, window_hashes, window_rows
 
-ANCHOR = 5  # words of an anchor, and longest prefix before the whole window
+ANCHOR = 4  # words of an anchor, and longest prefix before the whole window
 GROUP = 400_000  # suffixes that a group is meant to hold
 DEAL_BYTES = 4 << 20  # text whose own copies are settled before the shuffle
-MOST_PREFIXES = 100_000  # bound of the list of common prefixes: groups grow beyond
+MOST_PREFIXES = 1_000_000  # bound of a list of common prefixes: groups grow beyond 12 TB
+TASK_GROUPS = 4  # groups that a task is meant to read
+CODE_BYTES = 3  # of a word's fingerprint in the trees
 
 _SCHEMA = pa.schema([("grp", pa.int64()), ("kind", pa.int8()), ("blob", pa.binary())])
 
@@ -89,10 +96,10 @@ def _common(source: DataFrame, size: int, expected: float, group: int) -> list[n
 
     rows = (
         source.mapInArrow(count, "level int, prefix bigint, n bigint")
-        .groupBy("level", "prefix").agg(F.sum("n").alias("n")).where(F.col("n") > group).collect()
+        .groupBy("level", "prefix").agg(F.sum("n").alias("n")).where(F.col("n") > group).select("level", "prefix").toArrow()
     )
-    found = [np.array(sorted(r.prefix for r in rows if r.level == k), np.int64).view(np.uint64) for k in range(min(ANCHOR, size))]
-    return [np.sort(f) for f in found]
+    levels, found = (rows.column(c).to_numpy() for c in ("level", "prefix"))
+    return [np.sort(found[levels == k].astype(np.int64).view(np.uint64)) for k in range(min(ANCHOR, size))]
 
 
 def _in(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -101,24 +108,85 @@ def _in(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)] == x
 
 
+def word_codes(words: np.ndarray) -> np.ndarray:
+    """A row of ``CODE_BYTES`` bytes for each word, never all zero: zeros fill up short suffixes."""
+    code = np.maximum(words >> np.uint64(64 - 8 * CODE_BYTES), np.uint64(1))
+    return code.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - CODE_BYTES :]
+
+
+class Tree:
+    """The tree of many word sequences: their sorted order, and the words that neighbours share.
+
+    Sequence i has ``lengths[i]`` words of ``codes``, from ``starts[i]`` on in
+    steps of ``step``; words beyond ``depth`` do not count.
+    """
+
+    def __init__(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, depth: int, step: int) -> None:
+        if not depth:
+            self.order, self.shared = np.arange(len(starts)), -(np.arange(len(starts)) == 0).astype(np.int64)
+            return
+        place = np.arange(depth)
+        inside = place < lengths[:, None]
+        rows = codes[np.where(inside, starts[:, None] + step * place, 0)]
+        rows[~inside] = 0
+        rows = rows.reshape(len(starts), depth * CODE_BYTES)
+        padded = np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8))).view(">u8").astype(np.uint64)
+        self.order = np.lexsort(padded.T[::-1])
+        rows = rows[self.order]
+        unlike = np.ones((len(rows), depth + 1), bool)
+        unlike[1:, :depth] = (rows[1:] != rows[:-1]).reshape(-1, depth, CODE_BYTES).any(2)
+        self.shared = unlike.argmax(1)
+        self.shared[:1] = -1
+
+    def nodes(self, depth: int) -> np.ndarray:
+        """For each sequence, its node of that depth."""
+        out = np.empty(len(self.order), np.int64)
+        out[self.order] = np.cumsum(self.shared < depth) - 1
+        return out
+
+
+def smaller_elsewhere(
+    codes: np.ndarray, anchors: np.ndarray, before: np.ndarray, counts: np.ndarray, ids: np.ndarray, size: int
+) -> np.ndarray:
+    """For all windows of all suffixes in a row, whether a smaller id has the window too.
+
+    Suffix i has ``counts[i]`` windows, the first one begins ``before[i]`` words before its anchor.
+    """
+    reach = size - min(ANCHOR, size)
+    right = Tree(codes, anchors, counts + size - 1 - before, size, 1)
+    left = Tree(codes, anchors - 1, before, reach, -1)
+    base = np.cumsum(counts) - counts
+    later = np.zeros(int(counts.sum()), bool)
+    for offset in range(reach + 1):
+        mine = np.flatnonzero((before >= offset) & (before - counts < offset))
+        if not len(mine):
+            continue
+        node = right.nodes(size - offset)[mine] * len(anchors) + left.nodes(offset)[mine]
+        order = np.argsort(node, kind="stable")
+        begin = np.flatnonzero(np.diff(node[order], prepend=-1))
+        least = np.minimum.reduceat(ids[mine][order], begin)
+        mine = mine[order]
+        later[base[mine] + before[mine] - offset] = ids[mine] > np.repeat(least, np.diff(np.append(begin, len(mine))))
+    return later
+
+
 def _suffixes(part: pa.RecordBatch, size: int, common: list[np.ndarray], groups: int) -> Iterator[tuple[int, int, bytes]]:
-    """(group, kind, blob): repeats found within the chunk (kind 0), and the suffixes of
+    """(group, kind, blob): repeats found by the tree of the chunk (kind 0), and the suffixes of
     its distinct windows (kind 1), each window with the smallest id that has it here."""
     w = _Windows(part, size)
     if not len(w.at):
         return
-    ids = w.ids[w.row]
-    order = np.lexsort((w.at, ids, w.prints))
-    same = np.zeros(len(order), bool)
-    same[1:] = w.prints[order][1:] == w.prints[order][:-1]
-    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    later = ids[order] > ids[order][first]
+    ids = w.ids[w.row].astype(np.int64)
     place = w.at - w.bounds[:-1][w.row]
-    marks = np.sort(order[later])
+    codes = word_codes(w.words)
+    begins = w.runs(np.arange(len(w.at)))
+    counts = np.diff(np.append(begins, len(w.at)))
+    later = smaller_elsewhere(codes, w.anchor[begins], w.anchor[begins] - w.at[begins], counts, ids[begins], size)
+    marks = np.flatnonzero(later)
     if len(marks):
         yield int(mix(w.prints[:1])[0] % np.uint64(groups)), 0, _pack_spans(ids[marks], w.tags[w.row[marks]], place[marks])
     # All rows with the smallest id here go on: they may be copies of a document elsewhere.
-    keep = np.sort(order[~later])
+    keep = np.flatnonzero(~later)
     begins = w.runs(keep)
     anchors = w.anchor[keep[begins]]
     prefixes = w.prefixes(anchors, size)
@@ -127,34 +195,30 @@ def _suffixes(part: pa.RecordBatch, size: int, common: list[np.ndarray], groups:
         still &= _in(common[level], prefixes[level])
         key[still] = prefixes[level + 1][still]
     whole = still & _in(common[-1], prefixes[-1])  # too common at any length: each window by itself
-    counts = np.diff(np.append(begins, len(keep)))
-    run = np.repeat(np.arange(len(begins)), counts)
     if whole.any():
-        alone = whole[run]
-        begins = np.union1d(begins, np.flatnonzero(alone))
-        counts = np.diff(np.append(begins, len(keep)))
+        run = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(keep))))
+        begins = np.union1d(begins, np.flatnonzero(whole[run]))
         key = np.where(whole[run[begins]], w.prints[keep[begins]], key[run[begins]])
-        run = np.repeat(np.arange(len(begins)), counts)
+    counts = np.diff(np.append(begins, len(keep)))
     group = (mix(key) % np.uint64(groups)).astype(np.int64)
     by_group = np.argsort(group, kind="stable")
-    head = keep[begins]
-    base = prefixes[-1] if not whole.any() else window_hashes(w.words, min(ANCHOR, size))[w.anchor[head]]
-    window_order = np.argsort(group[run], kind="stable")
-    edges = np.flatnonzero(np.diff(group[by_group], prepend=-1, append=-1))
-    sizes = np.concatenate([[0], np.cumsum(counts[by_group])])
+    head = keep[begins][by_group]
+    counts, group = counts[by_group], group[by_group]
+    sizes = counts + size - 1
+    words = gather(codes, w.at[head], sizes)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
     for lo, hi in zip(edges[:-1], edges[1:]):
-        mine = by_group[lo:hi]
-        prints = w.prints[keep[window_order[sizes[lo] : sizes[hi]]]]
-        yield int(group[mine[0]]), 1, b"".join(
+        mine = head[lo:hi]
+        yield int(group[lo]), 1, b"".join(
             (
-                np.array([hi - lo, len(prints)], np.int64).tobytes(),
-                base[mine].tobytes(),
-                ids[head[mine]].astype(np.int64).tobytes(),
-                w.tags[w.row[head[mine]]].tobytes(),
-                place[head[mine]].astype(np.uint32).tobytes(),
-                counts[mine].astype(np.uint8).tobytes(),
-                (prints >> np.uint64(32)).astype(np.uint32).tobytes(),
-                ((prints >> np.uint64(24)) & np.uint64(255)).astype(np.uint8).tobytes(),
+                np.array([hi - lo, ends[hi] - ends[lo]], np.int64).tobytes(),
+                ids[mine].tobytes(),
+                w.tags[w.row[mine]].tobytes(),
+                place[mine].astype(np.uint32).tobytes(),
+                (w.anchor[mine] - w.at[mine]).astype(np.uint16).tobytes(),
+                counts[lo:hi].astype(np.uint16).tobytes(),
+                words[ends[lo] : ends[hi]].tobytes(),
             )
         )
 
@@ -171,32 +235,27 @@ def _pack_spans(ids: np.ndarray, tags: np.ndarray, place: np.ndarray) -> bytes:
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
-    runs, windows = np.frombuffer(blob, np.int64, 2)
+    suffixes, words = np.frombuffer(blob, np.int64, 2)
     out, at = [], 16
-    for kind, n in ((np.uint64, runs), (np.int64, runs), (np.uint32, runs), (np.uint32, runs), (np.uint8, runs), (np.uint32, windows), (np.uint8, windows)):
-        out.append(np.frombuffer(blob, kind, n, at))
+    for kind in (np.int64, np.uint32, np.uint32, np.uint16, np.uint16):
+        out.append(np.frombuffer(blob, kind, suffixes, at))
         at += out[-1].nbytes
-    return out
+    return [*out, np.frombuffer(blob, np.uint8, words * CODE_BYTES, at).reshape(-1, CODE_BYTES)]
 
 
-def _deep_nodes(table: pa.Table) -> pa.Table:
-    """The windows of a group whose node has a smaller document, as spans."""
+def _deep_nodes(table: pa.Table, size: int) -> pa.Table:
+    """The windows of a group whose deep node has a smaller document, as spans."""
     marks, parts = [], []
     for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob").to_pylist()):
         (parts if kind else marks).append(blob)
     if parts:
-        base, ids, tags, place, counts, high, low = (np.concatenate(c) for c in zip(*map(_unpack, parts)))
-        run = np.repeat(np.arange(len(base)), counts)
-        ends = np.cumsum(counts.astype(np.int64))
-        at = place[run].astype(np.int64) + np.arange(len(run)) - (ends - counts)[run]
-        node = mix(base[run] + mix((high.astype(np.uint64) << np.uint64(8)) | low))
-        order = np.argsort(node)
-        begin = np.flatnonzero(np.diff(node[order].view(np.int64), prepend=~node[order[:1]].view(np.int64)))
-        least = np.minimum.reduceat(ids[run[order]], begin)
-        smallest = np.empty(len(node), np.int64)
-        smallest[order] = np.repeat(least, np.diff(np.append(begin, len(node))))
-        hit = np.flatnonzero(ids[run] > smallest)
-        marks.append(_pack_spans(ids[run[hit]], tags[run[hit]], at[hit]))
+        ids, tags, place, before, counts, codes = (np.concatenate(c) for c in zip(*map(_unpack, parts)))
+        before, counts = before.astype(np.int64), counts.astype(np.int64)
+        sizes = counts + size - 1
+        hit = np.flatnonzero(smaller_elsewhere(codes, np.cumsum(sizes) - sizes + before, before, counts, ids, size))
+        ends = np.cumsum(counts)
+        run = np.searchsorted(ends, hit, "right")
+        marks.append(_pack_spans(ids[run], tags[run], place[run].astype(np.int64) + hit - (ends - counts)[run]))
     spans = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 4)
     return pa.table({"id": spans[:, 0], "tag": spans[:, 1], "first": spans[:, 2].astype(np.int32), "n": spans[:, 3].astype(np.int32)})
 
@@ -205,7 +264,7 @@ def repeat_spans(df: DataFrame, size: int = 13, *, id_col: str = "doc_id", text_
     """(id, tag, first, n): ``n`` windows from word ``first`` on that a smaller id also has."""
     source = df.select(whole_ids(df, id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    expected = total / 30  # six bytes a word, five windows an anchor
+    expected = total / 33  # six bytes a word, five and a half windows an anchor
     group = int(max(group, expected / MOST_PREFIXES))
     shared = df.sparkSession.sparkContext.broadcast(_common(source, size, expected, group))
     groups = max(1, int(2 * expected / group))
@@ -217,11 +276,11 @@ def repeat_spans(df: DataFrame, size: int = 13, *, id_col: str = "doc_id", text_
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
-    return (
-        source.mapInArrow(deal, "grp bigint, kind tinyint, blob binary")
-        .groupBy("grp")
-        .applyInArrow(_deep_nodes, "id bigint, tag bigint, first int, n int")
-    )
+    dealt = source.mapInArrow(deal, "grp bigint, kind tinyint, blob binary")
+    tasks = groups // TASK_GROUPS
+    if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        dealt = dealt.repartition(tasks, "grp")
+    return dealt.groupBy("grp").applyInArrow(lambda table: _deep_nodes(table, size), "id bigint, tag bigint, first int, n int")
 
 
 def remove_repeats(df: DataFrame, size: int = 13, *, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
@@ -233,8 +292,8 @@ def remove_repeats(df: DataFrame, size: int = 13, *, id_col: str = "doc_id", tex
     Null and empty texts have no words, texts shorter than a window lose none.
     Rows that share an id are no copies of each other, and rows without an id
     neither lose words nor make others lose them. Other columns are not read;
-    an empty table gives an empty result. Windows are compared by 40 bits of
-    their hash within equal anchors (64 bits).
+    an empty table gives an empty result. Words are compared by 24 bits of their
+    hash, windows word by word.
     """
     spans = repeat_spans(df, size, id_col=id_col, text_col=text_col, group=group)
     per_row = spans.groupBy(F.col("id").alias("key")).agg(F.collect_list(F.struct("tag", "first", "n")).alias("spans"))

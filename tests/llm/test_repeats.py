@@ -3,11 +3,13 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strataflow.llm.queries import QUERIES
-from strataflow.llm.repeats import remove_repeats
+from strataflow.llm.repeats import Tree, remove_repeats, word_codes
+from strataflow.llm.text import mix
 
 
 def _brute(docs, size):
@@ -57,3 +59,35 @@ def test_cases(spark):
     got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in remove_repeats(df, 13).collect()]
     assert sorted(got, key=repr) == sorted(_brute(docs, 13), key=repr)
     assert remove_repeats(df.limit(0), 13).count() == 0
+
+
+def _shared(a, b):
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("step", [1, -1])
+def test_tree_nodes_are_common_prefixes(step):
+    rng = np.random.default_rng(step + 5)
+    codes = word_codes(mix(rng.integers(1, 3, 400).astype(np.uint64)))
+    lengths = rng.integers(0, 9, 120)
+    starts = rng.integers(10, 390, 120)
+    tree = Tree(codes, starts, lengths, 8, step)
+    read = [[codes[s + step * j].tobytes() for j in range(n)] for s, n in zip(starts, lengths)]
+    for depth in range(9):
+        node = tree.nodes(depth)
+        long = np.flatnonzero(lengths >= depth)
+        for i in long:
+            assert [node[i] == node[j] for j in long] == [_shared(read[i], read[j]) >= depth for j in long]
+
+
+@pytest.mark.parametrize("size", [1, 3, 4, 5, 13])
+def test_windows_of_a_smaller_id(spark, size):
+    rng = random.Random(size)
+    base = [rng.choice("abcdefghijkl") for _ in range(40)]
+    docs = []
+    for i in range(60):  # copies with a word replaced here and there
+        copy = [w if rng.random() > 0.05 else rng.choice("xyz") for w in base[rng.randrange(10) : rng.randrange(15, 41)]]
+        docs.append((rng.randrange(40), " ".join(copy)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in remove_repeats(df, size).collect()]
+    assert sorted(got) == sorted(_brute(docs, size))
