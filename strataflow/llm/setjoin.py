@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.components import components
+from strataflow.llm.components import components, tasks_for
 from strataflow.llm.text import chunks, free_name, hash_words, mix, text_column, whole_ids, window_hashes, window_rows
 from strataflow.session import materialize
 
@@ -27,6 +27,7 @@ GROUP = 400_000  # postings that one task is meant to hold
 MAP_BITS = 512  # of a node's bitmap
 DEAL_BYTES = 2 << 20  # text whose copies are found before the shuffle
 SEEN = 100_000  # sets that a task remembers having sent
+TASK_PAIRS = 2_000  # pairs whose texts one task is meant to compare
 BROADCAST_IDS = 2_000_000  # 16 MB; beyond, documents are found by a shuffle join
 
 _WORDS = MAP_BITS // 64
@@ -227,9 +228,11 @@ def _close(num: int, den: int, left: str = "x", right: str = "y"):
 def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Of pairs (a, b, id_a, id_b) of nodes, those whose texts are similar enough."""
     pairs = materialize(pairs, "pairs")
+    count = pairs.count()
     # The node with more pairs becomes the left one: few left texts meet many right ones.
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).groupBy("node").agg(F.count("*").alias("deg"))
     left = F.struct(F.col("p.deg"), F.col("a")) >= F.struct(F.col("q.deg"), F.col("b"))
+    ends = materialize(tasks_for(ends, 2 * count), "ends")
     pairs = materialize(
         pairs.join(ends.alias("p"), F.col("a") == F.col("p.node")).join(ends.alias("q"), F.col("b") == F.col("q.node")).select(
             F.when(left, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(left, F.col("b")).otherwise(F.col("a")).alias("b"),
@@ -242,7 +245,7 @@ def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int)
         .union(pairs.select("id_b", F.lit(False), F.lit(True)))
         .groupBy("id").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b"))
     )
-    needed = materialize(needed, "needed")
+    needed = materialize(tasks_for(needed, 2 * count), "needed")
     small = needed.count() <= BROADCAST_IDS
     texts = source.join(F.broadcast(needed) if small else needed, "id")
 
@@ -270,7 +273,7 @@ def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int)
     ends = pairs.select("a", "b")
     both = (
         named.where("is_b").select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
-        .join(F.broadcast(ends) if pairs.count() <= BROADCAST_IDS else ends, "b")
+        .join(F.broadcast(ends) if count <= BROADCAST_IDS else ends, "b")
         .join(named.where("is_a").select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
     )
 
@@ -287,7 +290,7 @@ def _verify(pairs: DataFrame, source: DataFrame, size: int, num: int, den: int)
                 good = den * common >= num * (x.n + y.n - common)
                 yield part.select(["a", "b"]).filter(pa.array(good))
 
-    return both.mapInArrow(test, "a bigint, b bigint")
+    return tasks_for(both, count, TASK_PAIRS).mapInArrow(test, "a bigint, b bigint")
 
 
 def similar_sets(
