@@ -213,11 +213,11 @@ def _suffixes(part: pa.RecordBatch, size: int, common: list[np.ndarray], groups:
         yield int(group[lo]), 1, b"".join(
             (
                 np.array([hi - lo, ends[hi] - ends[lo]], np.int64).tobytes(),
-                ids[mine].tobytes(),
-                w.tags[w.row[mine]].tobytes(),
-                place[mine].astype(np.uint32).tobytes(),
-                (w.anchor[mine] - w.at[mine]).astype(np.uint16).tobytes(),
-                counts[lo:hi].astype(np.uint16).tobytes(),
+                _planes(ids[mine], np.int64),
+                _planes(w.tags[w.row[mine]], np.uint32),
+                _planes(place[mine], np.uint32),
+                _planes(w.anchor[mine] - w.at[mine], np.uint16),
+                _planes(counts[lo:hi], np.uint16),
                 words[ends[lo] : ends[hi]].tobytes(),
             )
         )
@@ -234,11 +234,21 @@ def _pack_spans(ids: np.ndarray, tags: np.ndarray, place: np.ndarray) -> bytes:
     return np.stack([ids[begin].astype(np.int64), tags[begin].astype(np.int64), place[begin].astype(np.int64), n]).T.tobytes()
 
 
+def _planes(values: np.ndarray, kind: type) -> bytes:
+    """Numbers as byte planes: the upper ones are nearly all zero, which compresses well."""
+    return values.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes, n: int, at: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel()
+
+
 def _unpack(blob: bytes) -> list[np.ndarray]:
     suffixes, words = np.frombuffer(blob, np.int64, 2)
     out, at = [], 16
     for kind in (np.int64, np.uint32, np.uint32, np.uint16, np.uint16):
-        out.append(np.frombuffer(blob, kind, suffixes, at))
+        out.append(_numbers(blob, suffixes, at, kind))
         at += out[-1].nbytes
     return [*out, np.frombuffer(blob, np.uint8, words * CODE_BYTES, at).reshape(-1, CODE_BYTES)]
 
