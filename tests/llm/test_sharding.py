@@ -59,3 +59,12 @@ def test_written_shards_hold_all_rows(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == docs.count()
     assert back.groupBy("_shard").agg(F.sum(F.octet_length("text")).alias("b")).where("b > 300000").isEmpty()
+
+
+def test_query_splits_a_small_corpus(spark, tmp_path):
+    """The query's limit lets three megabytes fall into several shards."""
+    rows = [(k, "x" * 100_000) for k in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op4_extendible_sharding"](spark, str(tmp_path)).collect()
+    assert len(got) == 30 and len({r.shard for r in got}) > 2
+    assert all(r.shard_bytes <= 1 << 20 for r in got)
