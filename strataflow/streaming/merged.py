@@ -123,7 +123,8 @@ class MergedTables:
     def _merged(self, table: str, held: Held) -> DataFrame:
         schema = self.schemas[table]
         if held.base < 0:
-            base = self.spark.createDataFrame([], schema)
+            # a limit that Spark knows to be empty, so that joins with it are left out of the plan
+            base = self.spark.createDataFrame([], schema).limit(0)
         else:
             base = self.spark.read.schema(schema).parquet(f"{self.path}/{table}/base={held.base}")
         if not held.logs:
@@ -138,8 +139,7 @@ class MergedTables:
         held = dict(self._state()[1])
         for table, changes in logs.items():
             path = f"{self.log(table)}/{BATCH}={batch}"
-            changes.write.mode("overwrite").parquet(path)
-            rows = self.spark.read.schema(changes.schema).parquet(path).count()  # from the files' footers
+            rows = written_rows(changes, path)
             before = held.get(table, Held())
             if rows:
                 held[table] = replace(before, logs={**before.logs, batch: rows})
@@ -156,8 +156,13 @@ class MergedTables:
         if waiting <= self.fold_share * held.base_rows and len(held.logs) < self.most_logs:
             return held
         path = f"{self.path}/{table}/base={batch}"
-        self._merged(table, held).write.mode("overwrite").parquet(path)
-        return Held(batch, self.spark.read.schema(self.schemas[table]).parquet(path).count())
+        return Held(batch, written_rows(self._merged(table, held), path))
+
+
+def written_rows(df: DataFrame, path: str) -> int:
+    """Replace what is at ``path`` by ``df``, and count it from the files' footers."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def log_schema(schema: T.StructType) -> T.StructType:

@@ -374,3 +374,16 @@ def test_load_object(spark, warehouse):
     assert store.load_object("dim_ubicacion", DAY2).count() == store.dimension("dim_ubicacion").count()
     assert store.load_object("dim_perfil_ensayo", DAY2).count() == 360
     assert store.load_object("dim_fecha", DAY2).count() > 5844
+
+
+def test_first_batch_joins_nothing(spark, tmp_path):
+    """A table without rows is known to be empty, so the plan compares with nothing."""
+    from strataflow.operators.changes import change_log
+    from strataflow.streaming.merged import MergedTables
+
+    changes = spark.createDataFrame([("INSERT", 1, "a"), ("INSERT", 2, "b")], "accion string, id long, v string")
+    table = MergedTables(spark, str(tmp_path / "table"), {"rows": changes.drop("accion").schema}, ["id"])
+    log = change_log(table.held("rows", changes), changes, ["id"])
+    assert "Join" not in log._jdf.queryExecution().optimizedPlan().toString()
+    table.publish(0, {"rows": log})
+    assert sorted(tuple(r) for r in table.read("rows").collect()) == [(1, "a"), (2, "b")]
