@@ -132,19 +132,10 @@ def maintenance_fact(
         .join(_keys(current_rows(dims["dim_tecnico"]), "id_tecnico", "sk_tecnico"), "id_tecnico"),
         "technicians",
     )
-    corrective = CORRECTIVE_PARITY if parity else CORRECTIVE
-    flagged = recurrence_flag(
-        orders, history, "id_equipo", "fecha_inicio_trabajo",
-        F.col("tipo_mantenimiento") == corrective, "indicador_reincidencia",
-    )
+    # first, as the profile is narrower than its codes, and orders that find no equipment are lost
     types = MAINTENANCE_TYPE if parity else MAINTENANCE_TYPE_ADMITTED
-    named = flagged.join(equipment, "id_equipo").join(technicians, "id_tecnico")
-    if by_date:
-        named = named.drop("sk_equipo", "sk_tecnico").withColumn("_day", F.to_date("fecha_inicio_trabajo"))
-        for dim, key, sk in (("dim_equipo", "id_equipo", "sk_equipo"), ("dim_tecnico", "id_tecnico", "sk_tecnico")):
-            named = as_of_lookup(named, dims[dim], key, "_day", VALID_FROM, [sk], VALID_TO, tie=sk, inner=True)
     profiled = _profiled(
-        named,
+        orders,
         dims["dim_perfil_mantenimiento"],
         {
             "tipo_mantenimiento": decode(F.col("tipo_mantenimiento"), types),
@@ -154,8 +145,18 @@ def maintenance_fact(
             "requiere_parada_equipo": F.col("requiere_parada"),
         },
     )
+    corrective = CORRECTIVE_PARITY if parity else CORRECTIVE
+    flagged = recurrence_flag(
+        profiled.join(equipment, "id_equipo"), history, "id_equipo", "fecha_inicio_trabajo",
+        F.col("tipo_mantenimiento") == corrective, "indicador_reincidencia",
+    )
+    named = flagged.join(technicians, "id_tecnico")
+    if by_date:
+        named = named.drop("sk_equipo", "sk_tecnico").withColumn("_day", F.to_date("fecha_inicio_trabajo"))
+        for dim, key, sk in (("dim_equipo", "id_equipo", "sk_equipo"), ("dim_tecnico", "id_tecnico", "sk_tecnico")):
+            named = as_of_lookup(named, dims[dim], key, "_day", VALID_FROM, [sk], VALID_TO, tie=sk, inner=True)
     labour = F.col("horas_trabajadas") * F.col("tarifa_hora")
-    return profiled.join(part_costs(consumption), "id_orden", "left").select(
+    return named.join(part_costs(consumption), "id_orden", "left").select(
         date_key(F.col("fecha_inicio_trabajo")).alias("sk_fecha"),
         "sk_equipo", "sk_tecnico", "sk_departamento", "sk_ubicacion", "sk_fabricante",
         "sk_perfil_mantenimiento", "id_orden",

@@ -1,4 +1,9 @@
-"""Serving views: three wide facts and the dimensions in their current state."""
+"""Serving views: three wide facts and the dimensions in their current state.
+
+What a fact row gains from a dimension is not shuffled again if it can be
+helped: large dimensions come first, the widest last of them, and small ones
+and the calendar, which Spark broadcasts, after them.
+"""
 
 from __future__ import annotations
 
@@ -12,11 +17,15 @@ from strataflow.plans.hospital.dimensions import ALL_DIMENSIONS, CURRENT_ONLY
 
 Tables = Mapping[str, DataFrame]
 
-
 def _pick(dim: DataFrame, key: str, columns: Sequence[str], **renamed: str) -> DataFrame:
     return dim.select(key, *columns, *(F.col(c).alias(alias) for alias, c in renamed.items()))
 
 
+def _placed(wide: DataFrame, *parts: Sequence[str]) -> DataFrame:
+    """The columns of the parts, in order, without keys."""
+    return wide.select(*(c for part in parts for c in part if not c.startswith("sk_")))
+
+
 def _versions(dim: DataFrame, all_versions: bool) -> DataFrame:
     """Facts of closed versions are left out of a view unless asked for."""
     return dim if all_versions else current_rows(dim)
@@ -40,15 +49,17 @@ def maintenance_view(fact: DataFrame, dims: Tables, all_versions: bool = False)
     profile = _pick(dims["dim_perfil_mantenimiento"], "sk_perfil_mantenimiento", (
         "tipo_mantenimiento", "prioridad", "gravedad", "es_garantia", "requiere_parada_equipo"))
     wide = (
-        with_day(fact, dims["dim_fecha"], "sk_fecha", **{c: c for c in day})
-        .join(equipment, "sk_equipo")
+        fact.join(equipment, "sk_equipo")
         .join(technician, "sk_tecnico")
+        .join(maker, "sk_fabricante")
         .join(department, "sk_departamento")
         .join(place, "sk_ubicacion")
-        .join(maker, "sk_fabricante")
         .join(F.broadcast(profile), "sk_perfil_mantenimiento")
     )
-    return wide.drop(*(c for c in wide.columns if c.startswith("sk_")))
+    wide = with_day(wide, dims["dim_fecha"], "sk_fecha", **{c: c for c in day})
+    return _placed(
+        wide, fact.columns, day, *(x.columns for x in (equipment, technician, department, place, maker, profile))
+    )
 
 
 def monitoring_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> DataFrame:
@@ -66,15 +77,17 @@ def monitoring_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -
         "codigo_cie10", "descripcion_diagnostico", "es_cronico"),
         categoria_diagnostico="categoria", subcategoria_diagnostico="subcategoria")
     wide = (
-        with_day(fact, dims["dim_fecha"], "sk_fecha", **{c: c for c in day})
+        fact.join(equipment, "sk_equipo")
+        .join(diagnosis, "sk_diagnostico")
         .join(patient, "sk_paciente")
         .join(physician, "sk_medico")
-        .join(equipment, "sk_equipo")
         .join(department, "sk_departamento")
         .join(place, "sk_ubicacion")
-        .join(diagnosis, "sk_diagnostico")
     )
-    return wide.drop(*(c for c in wide.columns if c.startswith("sk_")))
+    wide = with_day(wide, dims["dim_fecha"], "sk_fecha", **{c: c for c in day})
+    return _placed(
+        wide, fact.columns, day, *(x.columns for x in (patient, physician, equipment, department, place, diagnosis))
+    )
 
 
 def trial_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> DataFrame:

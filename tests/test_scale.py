@@ -1,11 +1,13 @@
 """Shapes of plans that matter on large data."""
 
+import re
 from contextlib import contextmanager
 from datetime import date
+from functools import reduce
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from strataflow.functions.rules import not_null, positive
 from strataflow.operators import changes as cdc
@@ -13,6 +15,8 @@ from strataflow.operators.asof import as_of_lookup
 from strataflow.operators.facts import daily_rows, day_runs, joined_runs, recurrence_flag
 from strataflow.operators.quality import valid_rows
 from strataflow.operators.scd import scd1_rows, scd2_merge, scd2_rows
+from strataflow.plans import queries
+from strataflow.plans.hospital import views
 from strataflow.session import materialize
 
 SF = "/root/testdata/sf0.01"
@@ -143,3 +147,17 @@ def test_loaded_days_are_taken_from_runs(spark, hot):
     assert daily.join(gone, ["k", "dia"], "left_semi").isEmpty()
     whole = daily_rows(spans, hot.select("k", "at", F.col("id").alias("n")), "k", "a", "b", "at", "dia", date(2002, 1, 1))
     assert daily.count() == whole.join(gone.distinct(), ["k", "dia"], "left_anti").count()
+
+
+def _star(spark, name):
+    """A fact, its dimensions and what its view returns, as the registered queries have them."""
+    fact = queries.stored(spark, SF, name, lambda: queries._fact(spark, SF, name))
+    return fact, queries.star_dimensions(spark, SF, "dim_fecha", *queries.FACT_INPUTS[name][1])
+
+
+@pytest.mark.parametrize("name", ["fact_mantenimiento_equipos", "fact_monitorizacion_pacientes"])
+def test_views_look_up_days_after_the_shuffles(spark, unhinted, name):
+    plan = executed(views.FACT_VIEWS[name](*_star(spark, name)))
+    shuffles = [at for at, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning(sk_" in line]
+    days = [at for at, line in enumerate(plan.splitlines()) if "BroadcastHashJoin" in line and "sk_fecha" in line]
+    assert days and len(shuffles) > 3 and max(days) < min(shuffles)
