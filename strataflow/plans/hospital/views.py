@@ -17,6 +17,8 @@ from strataflow.plans.hospital.dimensions import ALL_DIMENSIONS, CURRENT_ONLY
 
 Tables = Mapping[str, DataFrame]
 
+DAYS_PER_TASK = 500_000  # rows of a day-grain fact that one task joins
+
 def _pick(dim: DataFrame, key: str, columns: Sequence[str], **renamed: str) -> DataFrame:
     return dim.select(key, *columns, *(F.col(c).alias(alias) for alias, c in renamed.items()))
 
@@ -91,6 +93,10 @@ def monitoring_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -
 
 
 def trial_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> DataFrame:
+    """Lookups are made once for each combination of keys, as the days of a
+    participation share theirs; the days themselves are joined once, in tasks of
+    about ``DAYS_PER_TASK``. ``fact`` is counted and read twice: store it.
+    """
     days = dims["dim_fecha"]
     last = days.select(F.col("sk_fecha").alias("sk_fecha_fin"),
                        F.col("fecha").alias("fecha_fin_participacion"))
@@ -105,24 +111,36 @@ def trial_view(fact: DataFrame, dims: Tables, all_versions: bool = False) -> Dat
     diagnosis = _pick(dims["dim_diagnostico"], "sk_diagnostico", (
         "codigo_cie10", "descripcion_diagnostico", "es_cronico"), categoria_diagnostico="categoria")
     department = _pick(dims["dim_departamento"], "sk_departamento", ("nombre_departamento",))
-    dated = with_day(
-        fact, days, "sk_fecha", fecha_visita="fecha", anio_visita="anio", trimestre_visita="trimestre",
-        mes_visita="mes", nombre_mes_visita="nombre_mes",
-    )
-    dated = with_day(dated, days, "sk_fecha_inicio", fecha_inicio_participacion="fecha")
     profile = _pick(dims["dim_perfil_ensayo"], "sk_perfil_ensayo", (
         "fase_ensayo", "tipo_ciego", "tipo_aleatorizacion", "grupo_tratamiento", "via_administracion"))
-    wide = (
-        dated.join(F.broadcast(last), "sk_fecha_fin", "left")
-        .withColumn("fecha_fin_participacion", F.coalesce("fecha_fin_participacion", key_date("sk_fecha_fin")))
-        .join(trial, "sk_ensayo")
-        .join(patient, "sk_paciente")
-        .join(physician, "sk_medico")
-        .join(diagnosis, "sk_diagnostico")
-        .join(department, "sk_departamento")
-        .join(F.broadcast(profile), "sk_perfil_ensayo")
+    lookups = {
+        "sk_diagnostico": diagnosis, "sk_paciente": patient, "sk_ensayo": trial, "sk_medico": physician,
+        "sk_departamento": department,
+    }
+    found = fact.select(*lookups).dropna().distinct()
+    for key, lookup in lookups.items():
+        found = found.join(lookup, key)
+    days_held = fact.count()
+    if days_held > DAYS_PER_TASK:
+        least = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(least, days_held // DAYS_PER_TASK)
+        named = fact.repartition(tasks, *lookups).join(found, list(lookups))
+    else:
+        named = fact.join(found, list(lookups))
+    wide = named.join(F.broadcast(profile), "sk_perfil_ensayo")
+    visited = {
+        "fecha_visita": "fecha", "anio_visita": "anio", "trimestre_visita": "trimestre", "mes_visita": "mes",
+        "nombre_mes_visita": "nombre_mes",
+    }
+    wide = with_day(wide, days, "sk_fecha", **visited)
+    wide = with_day(wide, days, "sk_fecha_inicio", fecha_inicio_participacion="fecha")
+    wide = wide.join(F.broadcast(last), "sk_fecha_fin", "left").withColumn(
+        "fecha_fin_participacion", F.coalesce("fecha_fin_participacion", key_date("sk_fecha_fin"))
+    )
+    return _placed(
+        wide, fact.columns, visited, ["fecha_inicio_participacion", "fecha_fin_participacion"],
+        *(x.columns for x in (trial, patient, physician, diagnosis, department, profile)),
     )
-    return wide.drop(*(c for c in wide.columns if c.startswith("sk_")))
 
 
 FACT_VIEWS = {

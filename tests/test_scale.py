@@ -161,3 +161,18 @@ def test_views_look_up_days_after_the_shuffles(spark, unhinted, name):
     shuffles = [at for at, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning(sk_" in line]
     days = [at for at, line in enumerate(plan.splitlines()) if "BroadcastHashJoin" in line and "sk_fecha" in line]
     assert days and len(shuffles) > 3 and max(days) < min(shuffles)
+
+
+def test_days_of_trials_are_shuffled_once_in_counted_tasks(spark, unhinted, rows, monkeypatch):
+    fact, dims = _star(spark, "fact_ensayos_clinicos")
+    keys = [c for c in fact.columns if c.startswith("sk_")]
+    odd = [fact.limit(3).withColumn(k, F.lit(None).cast(dict(fact.dtypes)[k])) for k in keys if k != "sk_fecha_fin"]
+    some = materialize(reduce(DataFrame.unionByName, [fact, fact.limit(500), *odd]))
+    monkeypatch.setattr(views, "DAYS_PER_TASK", fact.count() // 50)
+    view = views.trial_view(some, dims)
+    plan = executed(view)
+    shuffled = [x for x in plan.splitlines() if "Exchange hashpartitioning(sk_" in x and "ENSURE" not in x]
+    assert len(shuffled) == 1 and int(re.search(r", (\d+)\)", shuffled[0])[1]) >= 50
+    monkeypatch.setattr(views, "DAYS_PER_TASK", some.count())
+    assert rows(view) == rows(views.trial_view(some, dims))
+    assert view.count() == views.trial_view(fact, dims).count() + views.trial_view(materialize(fact.limit(500)), dims).count()
