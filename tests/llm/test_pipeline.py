@@ -45,3 +45,16 @@ def test_cases(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         assert sorted(r.doc_id or 0 for r in docs.collect()) == expected
+
+
+def test_stages_hold_arrow_batches_small_and_keep_smaller_ones(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(1, "a b c", "en", "web")], "doc_id long, text string, lang string, source string")
+    before = spark.conf.get(name)
+    try:
+        for given, then in (("10000", "1000"), ("0", "1000"), ("1500", "1000"), ("300", "300")):
+            spark.conf.set(name, given)
+            corpus_pipeline.secret_scans(spark, docs, "")
+            assert spark.conf.get(name) == then
+    finally:
+        spark.conf.set(name, before)
