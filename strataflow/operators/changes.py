@@ -165,6 +165,16 @@ def merged_state(base: DataFrame, log: DataFrame, keys: Sequence[str], order: Se
     return apply_changes(base, newest, keys)
 
 
+def first_state(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``merged_state`` of one batch of log, as ``change_log`` writes it, over nothing.
+
+    Such a log inserts each key once, so only rows without a key are compared.
+    """
+    fresh, keyless = log.filter(F.col(ACTION) == INSERT), _keyless(keys)
+    rows = fresh.filter(~keyless).unionByName(newest_change(fresh.filter(keyless), keys, order))
+    return rows.drop(ACTION, *order)
+
+
 def merge_changes(
     target: DataFrame,
     changes: DataFrame,

@@ -6,9 +6,10 @@ facts. Called again, each hop continues where its checkpoint stands.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -55,6 +56,12 @@ def initial_star(
     return dims, facts
 
 
+def _side_by_side(work: Callable[[str], Any], names: Iterable[str], at_once: int = 8) -> list:
+    """What ``work`` gives for each name. Its many small jobs leave most cores idle one by one."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(work, names))
+
+
 class Warehouse:
     """``schemas`` are those of the landing tables in use, by table name.
 
@@ -98,7 +105,7 @@ class Warehouse:
 
     def _cleansed_tables(self) -> dict[str, DataFrame]:
         """All cleansed tables; during a refresh as its hops have left them."""
-        return self._tables or {name: self.cleansed(name) for name in self.hops}
+        return self._tables or dict(zip(self.hops, _side_by_side(self.cleansed, self.hops)))
 
     def _store(self, dimension: str) -> Snapshots:
         key = DIMENSIONS[dimension].key
@@ -116,7 +123,7 @@ class Warehouse:
     def dimensions(self) -> dict[str, DataFrame]:
         if self._dims:
             return self._dims
-        found = ((name, self.dimension(name)) for name in ALL_DIMENSIONS)
+        found = zip(ALL_DIMENSIONS, _side_by_side(self.dimension, ALL_DIMENSIONS))
         return {name: dim for name, dim in found if dim is not None}
 
     def _loads(self, name: str) -> Loads:
@@ -251,9 +258,12 @@ class Warehouse:
 
         ``paths`` tells where each reads from; one with nothing there yet waits.
         """
-        names = [n for n, path in paths.items() if read_or_none(self.spark, path, "lote long") is not None]
-        with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(lambda name: start(name).awaitTermination(), names))
+
+        def run(name: str) -> None:
+            if read_or_none(self.spark, paths[name], "lote long") is not None:
+                start(name).awaitTermination()
+
+        _side_by_side(run, paths, at_once)
 
     def refresh(self, landing: str, as_of: date, **options) -> None:
         """One pass of all hops; dimensions before facts."""
@@ -273,8 +283,7 @@ class Warehouse:
             {n: hop.log("raw") for n, hop in self.hops.items()},
         )
         self._tables = self._cleansed_tables()
-        for name in PROFILES:
-            self._load_profile(name)
+        _side_by_side(self._load_profile, PROFILES)
         logs = {n: hop.log("cleansed") for n, hop in self.hops.items()}
         self._run(
             lambda n: follow_changed(
@@ -291,9 +300,8 @@ class Warehouse:
             {n: logs[main] for n, main in FACTS.items() if main in logs},
         )
         if self.retry:
-            for name, main in FACTS.items():
-                if main in logs:
-                    self._wake(name, as_of)
+            # no fact reads what another one loads
+            _side_by_side(lambda n: self._wake(n, as_of), [n for n, main in FACTS.items() if main in logs])
 
     def load_object(self, name: str, as_of: date) -> DataFrame:
         """Load one dimension, or the missing rows of a fact, from all cleansed rows.

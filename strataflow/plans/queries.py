@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
 
@@ -948,8 +949,9 @@ def _two_rounds(spark, sf_dir):
         rows.write.mode("append").parquet(f"{root}/landing/{name}")
         schemas[name] = rows.schema
 
-    for name, rows in tables.items():
-        land(name, rows.filter(~F.coalesce(late[name], F.lit(False))) if name in late else rows, "2024-01-01")
+    early = {n: rows.filter(~F.coalesce(late[n], F.lit(False))) if n in late else rows for n, rows in tables.items()}
+    with ThreadPoolExecutor(8) as pool:  # each table has a folder of its own
+        list(pool.map(lambda name: land(name, early[name], "2024-01-01"), early))
     store = Warehouse(spark, f"{root}/dw", schemas, buckets=4, calendar_days=(date(1995, 1, 1), date(2030, 12, 31)), retry=True)
     store.refresh(f"{root}/landing", BEFORE)
     waited = materialize(store.waiting("fact_mantenimiento_equipos"), "waited")

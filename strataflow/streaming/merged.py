@@ -16,7 +16,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from strataflow.operators.changes import ACTION, merged_state, rows_with_keys
+from strataflow.operators.changes import ACTION, first_state, merged_state, rows_with_keys
 from strataflow.session import materialize, read_or_none
 
 BATCH = "lote"
@@ -109,14 +109,18 @@ class MergedTables:
     def holds(self, batch: int) -> bool:
         return self.batch() >= batch
 
+    def empty(self, table: str) -> bool:
+        """Has nothing been recorded for the table yet?"""
+        state = self._state()[1].get(table, Held())
+        return state.base < 0 and not state.logs
+
     def read(self, table: str) -> DataFrame:
         """The table as of the newest record."""
         return self._merged(table, self._state()[1].get(table, Held()))
 
     def held(self, table: str, rows: DataFrame) -> DataFrame:
         """Rows of the table with the keys of ``rows``, stored: a batch needs them more than once."""
-        state = self._state()[1].get(table, Held())
-        if state.base < 0 and not state.logs:
+        if self.empty(table):
             return self.read(table)
         return materialize(rows_with_keys(self.read(table), rows, self.keys), "held")
 
@@ -132,6 +136,8 @@ class MergedTables:
         folder = self.log(table)
         paths = [f"{folder}/{BATCH}={batch}" for batch in held.logs]
         log = self.spark.read.schema(log_schema(schema)).option("basePath", folder).parquet(*paths)
+        if held.base < 0 and len(held.logs) == 1:
+            return first_state(log, self.keys, [BATCH])
         return merged_state(base, log, self.keys, [BATCH])
 
     def publish(self, batch: int, logs: Mapping[str, DataFrame]) -> None:

@@ -70,7 +70,8 @@ def raw_batch(hop: Hop, rows: DataFrame, batch: int, guard: bool = False) -> Non
     The newest row of a key is chosen while the loader's columns are still
     there: they tell deliveries apart in a table without dates of its own. Only
     rows of the keys that arrive are read from the table to be compared, and
-    only what changes is written.
+    only what changes is written. Where there is nothing to compare with, the
+    newest rows are used once, and not stored in between.
     """
     spark = rows.sparkSession
     table = hop.raw(spark)
@@ -78,7 +79,9 @@ def raw_batch(hop: Hop, rows: DataFrame, batch: int, guard: bool = False) -> Non
         return
     order = order_column(rows.columns) if guard else None
     changes = newest_change(rows.withColumn(ACTION, F.lit(INSERT)), hop.keys, change_order(rows.columns))
-    changes = materialize(without_technical(changes), "changes")
+    changes = without_technical(changes)
+    if order is not None or not table.empty("rows"):
+        changes = materialize(changes, "changes")
 
     before, graves, old = table.held("rows", changes), None, None
     if order is not None:
@@ -112,11 +115,11 @@ def cleansed_batch(hop: Hop, log: DataFrame, batch: int, rules: Sequence[Rule])
     for key in hop.keys:
         keyed &= F.col(key).isNotNull()
     good = passes(rules, log) & keyed
-    log = materialize(log.withColumn("_good", good), "log")
     logs = {}
-    for name, side in (("valid", F.col("_good")), ("errors", ~F.col("_good"))):
-        newest = newest_change(log.filter(side).drop("_good"), hop.keys, [BATCH]).drop(BATCH)
-        changes = materialize(newest, "side")
+    for name, side in (("valid", good), ("errors", ~good)):
+        changes = newest_change(log.filter(side), hop.keys, [BATCH]).drop(BATCH)
+        if not tables.empty(name):  # then they are used more than once
+            changes = materialize(changes, "side")
         logs[name] = change_log(tables.held(name, changes), changes, hop.keys)
     tables.publish(batch, logs)
 

@@ -387,3 +387,34 @@ def test_first_batch_joins_nothing(spark, tmp_path):
     assert "Join" not in log._jdf.queryExecution().optimizedPlan().toString()
     table.publish(0, {"rows": log})
     assert sorted(tuple(r) for r in table.read("rows").collect()) == [(1, "a"), (2, "b")]
+
+
+def test_first_batch_stores_nothing_in_between(spark, tmp_path, monkeypatch):
+    """Newest rows are used once where there is nothing to compare with; a later batch stores them."""
+    from strataflow.streaming import refresh
+
+    tags, keep = [], refresh.materialize
+    monkeypatch.setattr(refresh, "materialize", lambda df, tag: tags.append(tag) or keep(df, tag))
+    hop = _hop(tmp_path)
+    data = [(1, 5, 1, False), (1, 6, 2, False), (2, -7, 1, True), (None, 1, 1, False), (None, 1, 1, False)]
+    raw_batch(hop, _landed(spark, *data), 0)
+    cleansed_batch(hop, _log(spark, hop), 0, positive("v"))
+    assert tags == []
+    assert _sides(spark, hop) == [[(1, 6)], [(2, -7), (None, 1)]]
+    raw_batch(hop, _landed(spark, (1, -6, 3, False), (3, 1, 1, False)), 1)
+    cleansed_batch(hop, _log(spark, hop).filter("lote = 1"), 1, positive("v"))
+    assert tags == ["changes", "side", "side"]
+    assert _sides(spark, hop) == [[(3, 1)], [(1, -6), (2, -7), (None, 1)]]
+
+
+def test_first_state_is_the_merged_state(spark, rows):
+    """Of one log over nothing, also where equal rows without a key repeat; keys are not ranked."""
+    from strataflow.operators.changes import first_state, merged_state
+
+    data = [("INSERT", 1, "a", 0), ("INSERT", 2, None, 0), ("INSERT", None, "x", 0), ("INSERT", None, "x", 0), ("INSERT", None, "y", 0)]
+    log = spark.createDataFrame(data, "accion string, id long, v string, lote long")
+    nothing = log.select("id", "v").limit(0)
+    first = first_state(log, ["id"], ["lote"])
+    assert first.columns == ["id", "v"]
+    assert rows(first) == rows(merged_state(nothing, log, ["id"], ["lote"]))
+    assert rows(first_state(log.filter("id is not null"), ["id"], ["lote"])) == [(1, "a"), (2, None)]
