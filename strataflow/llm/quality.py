@@ -163,18 +163,22 @@ class LinearScorer:
     def train(cls, texts: list[np.ndarray], targets: np.ndarray, epochs: int = 20, rate: float = 1.0) -> LinearScorer:
         weights, total, bias = np.zeros(BUCKETS), np.full(BUCKETS, 1e-4), 0.0
         rng = np.random.default_rng(3)
-        packed = []
-        for t in texts:
-            index, n = np.unique(t, return_counts=True)
-            packed.append((index, n / max(1, len(t))))
+        sizes = [max(1, len(t)) for t in texts]
+        # a few large arrays, which go back to the system when they are done with, unlike thousands of small ones
+        index, counts = np.empty(sum(sizes), np.int32), np.empty(sum(sizes), np.int32)
+        ends = np.zeros(len(texts) + 1, np.int64)
+        for k, t in enumerate(texts):
+            known, n = np.unique(t, return_counts=True)
+            ends[k + 1] = ends[k] + len(known)
+            index[ends[k] : ends[k + 1]], counts[ends[k] : ends[k + 1]] = known, n
         for epoch in range(epochs):
             step = rate / (1 + epoch / 4)
             for i in rng.permutation(len(texts)):
-                index, x = packed[i]
-                wrong = 1 / (1 + np.exp(-np.clip(weights[index] @ x + bias, -50, 50))) - targets[i]
+                at, x = index[ends[i] : ends[i + 1]], counts[ends[i] : ends[i + 1]] / sizes[i]
+                wrong = 1 / (1 + np.exp(-np.clip(weights[at] @ x + bias, -50, 50))) - targets[i]
                 g = wrong * x
-                total[index] += g * g
-                weights[index] -= step * g / np.sqrt(total[index])
+                total[at] += g * g
+                weights[at] -= step * g / np.sqrt(total[at])
                 bias -= 0.02 * wrong
         return cls(weights.astype(np.float64), float(bias))
 
@@ -220,11 +224,15 @@ def _fit(docs: DataFrame, text_col: str, rows: int) -> Broadcast:
             .mapInArrow(read, "text_hash bigint, votes string, features binary")
             .groupBy("text_hash").agg(F.min_by(F.struct("votes", "features"), "votes").alias("x"))
             .orderBy("text_hash")
-            .collect()
+            .select("x.votes", "x.features")
+            .toArrow()
         )
-        texts = [np.frombuffer(r["x"]["features"], np.int32) for r in sample]
-        targets = [1 - bad[r["x"]["votes"]] for r in sample]
-    return spark.sparkContext.broadcast((LinearScorer.train(texts, np.array(targets)), bad))  # fixed size
+        texts = [np.frombuffer(x.as_buffer(), np.int32) for x in sample.column("features")]
+        targets = [1 - bad[v] for v in sample.column("votes").to_pylist()]
+    scorer = LinearScorer.train(texts, np.array(targets))
+    sample = texts = None
+    pa.default_memory_pool().release_unused()  # the driver goes on to other work
+    return spark.sparkContext.broadcast((scorer, bad))  # fixed size
 
 
 def _judge(column: pa.Array, model: tuple[LinearScorer, dict[str, float]], reject: float):

@@ -1,9 +1,12 @@
 """Weak labels: expectation-maximisation on made votes, measures by hand, and accuracy on held labels."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from strataflow.llm import quality
 from strataflow.llm.quality import BAD, GOOD, LABELLERS, SILENT, _Texts, classify, estimate
 from strataflow.llm.queries import QUERIES
 
@@ -54,3 +57,31 @@ def test_cases(spark):
     wrong = [(i, r) for i, r, _ in got if i != 502 and r != (i is None or 100 <= i < 200)]
     assert wrong == []
     assert classify(df.limit(0)).count() == 0
+
+
+def test_training_holds_eight_bytes_a_feature():
+    """The driver trains beside Spark: features and their counts are held in a few arrays of whole numbers."""
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, quality.BUCKETS, 400).astype(np.int32) for _ in range(3000)]
+    targets = rng.integers(0, 2, len(texts)).astype(float)
+    tracemalloc.start()
+    quality.LinearScorer.train(texts, targets, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * 8 * quality.BUCKETS + 9 * sum(map(len, texts))
+
+
+def test_training_weighs_repeated_features_by_their_share():
+    texts = [np.array(t, np.int32) for t in ([1, 1, 1, 2], [2, 3], [], [7])]
+    targets, rate = np.array([1.0, 0.0, 0.5, 0.25]), 1.0
+    scorer = quality.LinearScorer.train(texts, targets, epochs=3, rate=rate)
+    weights, total, bias, rng = np.zeros(quality.BUCKETS), np.full(quality.BUCKETS, 1e-4), 0.0, np.random.default_rng(3)
+    for epoch in range(3):
+        for i in rng.permutation(len(texts)):
+            index, n = np.unique(texts[i], return_counts=True)
+            x = n / max(1, len(texts[i]))
+            wrong = 1 / (1 + np.exp(-np.clip(weights[index] @ x + bias, -50, 50))) - targets[i]
+            total[index] += (wrong * x) ** 2
+            weights[index] -= rate / (1 + epoch / 4) * wrong * x / np.sqrt(total[index])
+            bias -= 0.02 * wrong
+    assert np.array_equal(scorer.weights, weights) and scorer.bias == float(bias)
