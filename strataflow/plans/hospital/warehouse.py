@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from strataflow.functions.rules import rules_of
-from strataflow.operators.changes import ACTION, DELETE, INSERT, change_log, rows_with_keys, unmatched
+from strataflow.operators.changes import ACTION, DELETE, INSERT, change_log, unmatched
 from strataflow.operators.dimensions import calendar, junk_dimension
 from strataflow.operators.facts import RUN_TYPE, joined_runs
 from strataflow.operators.keys import last_key
@@ -177,10 +177,9 @@ class Warehouse:
 
     def _held(self, name: str, rows: DataFrame) -> DataFrame | None:
         """What the fact has already of the main rows: their days, or rows with their keys."""
-        main_keys = list(TABLES[FACTS[name]].key)
         if name == "fact_ensayos_clinicos":
-            return rows_with_keys(self._days(name).read("rows"), rows, main_keys)
-        near = self._loads(name).near(rows, main_keys[0])
+            return self._days(name).held("rows", rows)
+        near = self._loads(name).near(rows, TABLES[FACTS[name]].key[0])
         return None if near is None else near.drop("mes")
 
     def _load_fact(self, name: str, batch_rows: DataFrame, batch: int, as_of: date) -> None:

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from strataflow.operators.changes import ACTION, first_state, merged_state, rows_with_keys
-from strataflow.session import materialize, read_or_none
+from strataflow.session import deal_unions_again, materialize, read_or_none
 
 BATCH = "lote"
 FOLD_SHARE = 0.25  # changes, as a share of the base, that are folded
@@ -85,6 +85,7 @@ class MergedTables:
         self.fold_share, self.most_logs = fold_share, most_logs
         self.record = Record(spark, f"{path}/record", self.LINE)
         self._known: tuple[int, dict[str, Held]] | None = None
+        deal_unions_again(spark)  # the current state is a union
 
     def log(self, table: str) -> str:
         """Folder of a table's changes, one folder in it for each batch."""

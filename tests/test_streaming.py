@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from strataflow.functions.rules import positive
+from strataflow.operators.changes import change_log, rows_with_keys
 from strataflow.plans.hospital.warehouse import Warehouse
 from strataflow.plans.queries import _fact
 from strataflow.plans.roles import role_tables
+from strataflow.session import materialize
 from strataflow.streaming.refresh import (
     Hop,
     cleansed_batch,
@@ -418,3 +420,45 @@ def test_first_state_is_the_merged_state(spark, rows):
     assert first.columns == ["id", "v"]
     assert rows(first) == rows(merged_state(nothing, log, ["id"], ["lote"]))
     assert rows(first_state(log.filter("id is not null"), ["id"], ["lote"])) == [(1, "a"), (2, None)]
+
+
+def _base_and_log(table, rows):
+    """A base of 100 keys, then changes of ten of them and ten new keys, not folded."""
+    for batch, changed in enumerate((rows(0, 100), rows(90, 110))):
+        table.publish(batch, {"rows": change_log(table.held("rows", changed), changed, table.keys)})
+    assert table._state()[1]["rows"].logs
+
+
+def test_a_merged_table_is_shuffled_before_it_is_joined(spark, tmp_path):
+    """Its parts come one after the other, so they must not count as dealt by the key."""
+    schema = T.StructType().add("id", T.LongType()).add("v", T.LongType())
+    table = MergedTables(spark, str(tmp_path), {"rows": schema}, ["id"], fold_share=10.0)
+    _base_and_log(table, lambda a, b: spark.range(a, b).select(F.lit("INSERT").alias("accion"), "id", F.lit(b).alias("v")))
+    asked = materialize(spark.range(50, 120), "asked")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = asked.join(rows_with_keys(table.read("rows"), asked, ["id"]), "id", "left")
+        plan = met._jdf.queryExecution().executedPlan().toString().splitlines()
+        above = [plan[n - 1] for n, line in enumerate(plan) if line.strip(" :+-") == "Union"]
+        assert above and all("Exchange" in line for line in above)
+        assert met.count() == 70 and met.filter("v is null").count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_days_that_are_held_are_stored(spark, tmp_path):
+    """They are joined more than once, and must not be a union then."""
+    name, main = "fact_ensayos_clinicos", T.StructType().add("id_participacion", T.LongType())
+    store = Warehouse(spark, str(tmp_path), {"participacion_ensayos": main})
+    runs = "array(struct(date'2024-01-01' as desde, date_add(date'2024-01-01', {0}) as hasta))"
+    for batch, (first, last, days) in enumerate(((0, 100, 1), (95, 105, 2)), 1):
+        changed = spark.range(first, last).select(
+            F.lit("INSERT").alias("accion"), F.col("id").alias("id_participacion"), F.expr(runs.format(days)).alias("tramos")
+        )
+        days_table = store._days(name)
+        days_table.publish(batch, {"rows": change_log(days_table.held("rows", changed), changed, days_table.keys)})
+    assert store._days(name)._state()[1]["rows"].logs
+    held = store._held(name, spark.range(90, 200).withColumnRenamed("id", "id_participacion"))
+    assert "Union" not in held._jdf.queryExecution().executedPlan().toString()
+    longer = held.filter("datediff(tramos[0].hasta, tramos[0].desde) = 2")
+    assert (held.count(), longer.count()) == (15, 10)
